@@ -29,7 +29,7 @@ from reviewlens.session import scratch_path, settle
 from reviewlens.sources import reviews as review_files
 from reviewlens.sources import snapshots, tables
 
-YEARS = range(1992, 1999)
+YEARS = range(1995, 2002)
 CAT = "category"
 
 
