@@ -54,9 +54,9 @@ def reviews(spark: SparkSession, sf: str) -> DataFrame:
     facts = events.join(orders, F.col("event_id") == F.col("o_orderkey")).join(
         part, F.col("event_id") == F.col("p_partkey")
     )
-    documents = spread(table(spark, sf, "documents").select("doc_id", "source", "lang", "text"))
+    documents = table(spark, sf, "documents").select("doc_id", "source", "lang", "text")
     votes = (whole * (F.col("doc_id") % 7) % (whole % 9 + 1)).cast("int")
-    return documents.join(facts, F.col("doc_id") == F.col("event_id")).select(
+    joined = documents.join(facts, F.col("doc_id") == F.col("event_id")).select(
         F.col("doc_id").alias("Id"),
         F.col("source").alias("ProductId"),
         F.col("user_id").alias("UserId"),
@@ -69,6 +69,7 @@ def reviews(spark: SparkSession, sf: str) -> DataFrame:
         F.col("p_name").alias("Summary"),
         F.col("text").alias("Text"),
     )
+    return spread(joined, documents, "Id")
 
 
 def prepared(spark: SparkSession, sf: str) -> DataFrame:

@@ -299,7 +299,7 @@ def sentiment_classifier(spark: SparkSession, sf: str) -> DataFrame:
 
 def _features(spark: SparkSession, sf: str) -> DataFrame:
     df = fx.scored(spark, sf, "text_length", "word_count", "Score", "Time", "helpfulness_ratio")
-    return helpfulness.feature_table(df)
+    return helpfulness.feature_table(df, ratings=fx.reviews(spark, sf))
 
 
 def feature_table(spark: SparkSession, sf: str) -> DataFrame:

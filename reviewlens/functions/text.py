@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every character Python's str.split() and \s treat as blank; Java's \s alone is ASCII.
-SPACES = r"\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+# Blanks as Python's str.split() sees them: the Unicode ones and four separators.
+SPACES = r"\s\x1C-\x1F"
 WORD_CHARS = r"\p{L}\p{N}_"
 
 
@@ -19,12 +19,12 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def clean(text: Column) -> Column:
     """Lower case without punctuation."""
-    return F.regexp_replace(F.lower(text), f"[^{WORD_CHARS}{SPACES}]", "")
+    return F.regexp_replace(F.lower(text), f"(?U)[^{WORD_CHARS}{SPACES}]", "")
 
 
 def words(text: Column) -> Column:
     """Pieces between runs of blanks."""
-    return F.array_remove(F.split(text, f"[{SPACES}]+"), "")
+    return F.array_remove(F.split(text, f"(?U)[{SPACES}]+"), "")
 
 
 def terms(text: Column) -> Column:

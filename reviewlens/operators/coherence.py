@@ -11,24 +11,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.functions import text
+from reviewlens.session import settle
 
 WINDOW = 110
 EPSILON = 1e-12
 
 
-def _last_start(window: int) -> Column:
-    return F.greatest(F.lit(0), F.col("n_words") - window)
+# A token and pair of every review that stands for its windows as a whole.
+EVERY = ""
 
 
-def window_totals(
-    df: DataFrame, keys: Sequence[str] = (), text_col: str = "clean_text", window: int = WINDOW
-) -> DataFrame:
-    """``_all, *keys, n_windows``: sliding windows per group; a short text is one window."""
-    counted = df.select(*keys, F.size(text.words(F.col(text_col))).alias("n_words"))
-    windows = F.sum((_last_start(window) + 1).cast("bigint"))
-    return (
-        counted.withColumn("_all", F.lit(0)).groupBy("_all", *keys).agg(windows.alias("n_windows"))
-    )
+def _ranges(words: Column, window: int) -> Column:
+    """Window starts that hold each word, as ``array<struct<term, start, end>>``.
+
+    The closing entry covers all windows of the review; a short text is one window.
+    """
+
+    def spans(w: Column) -> Column:
+        last = F.greatest(F.lit(0), F.size(w) - window)
+
+        def one(word: Column, pos: Column) -> Column:
+            start = F.greatest(F.lit(0), pos - (window - 1))
+            return F.struct(
+                word.alias("term"), start.alias("start"), F.least(pos, last).alias("end")
+            )
+
+        every = F.struct(
+            F.lit(EVERY).alias("term"), F.lit(0).alias("start"), last.alias("end")
+        )
+        return F.concat(F.transform(w, one), F.array(every))
+
+    return text.bind(words, spans)
 
 
 def pair_counts(
@@ -44,25 +57,15 @@ def pair_counts(
     merged ranges per review. Two terms share ``|A| + |B| - |A or B|`` windows, and all three
     lengths come from ordered ranges. Only occurrences of listed terms are shuffled, once, by
     review; the sums per pair are partial before their own shuffle. A pair of a term with
-    itself counts the term.
+    itself counts the term, the pair of ``EVERY`` all windows.
     """
     by_review = ["Id", *keys]
-    split = df.select(*by_review, text.words(F.col(text_col)).alias("words"))
-    tokens = split.select(
-        *by_review, F.size("words").alias("n_words"), F.posexplode("words").alias("pos", "term")
+    pairs = pairs.unionByName(
+        pairs.select(*keys, F.lit(EVERY).alias("a"), F.lit(EVERY).alias("b")).distinct()
     )
+    tokens = df.select(*by_review, F.inline(_ranges(text.words(F.col(text_col)), window)))
     listed = pairs.select(*keys, F.explode(F.array("a", "b")).alias("term")).distinct()
-    last = _last_start(window)
-    ranges = (
-        tokens.join(listed, [*keys, "term"])
-        .select(
-            *by_review,
-            "term",
-            F.greatest(F.lit(0), F.col("pos") - (window - 1)).alias("start"),
-            F.least(F.col("pos"), last).alias("end"),
-        )
-        .repartition("Id")
-    )
+    ranges = tokens.join(listed, [*keys, "term"]).repartition("Id")
     in_order = Window.partitionBy(*by_review, "term").orderBy("start", "end")
     fresh = F.col("start") > F.coalesce(F.lag("end").over(in_order), F.lit(-1))
     merged = (
@@ -96,7 +99,8 @@ def coherence(
 
     ``keys`` tie topics to their group of reviews; ``model_keys`` tell several models of one
     group apart. Every distinct pair of terms is counted once per group, whichever topics hold
-    it, so one pass over the texts scores all models.
+    it, so one pass over the texts scores all models. The pairs and their counts, a table of
+    the topics' size, are settled; the rest is arithmetic on it.
     """
     keys, model = list(keys), [*keys, *model_keys, "topic"]
     terms = topics.select(*model, "rnk", "term")
@@ -105,10 +109,12 @@ def coherence(
     grid = left.join(right, model).withColumns(
         {"a": F.least("term_a", "term_b"), "b": F.greatest("term_a", "term_b")}
     )
-    pairs = grid.select(*keys, "a", "b").distinct()
-    counts = pair_counts(df, pairs, keys, text_col, window)
-    totals = window_totals(df, keys, text_col, window)
+    pairs = settle(grid.select(*keys, "a", "b").distinct(), "term-pairs")
+    counts = settle(pair_counts(df, pairs, keys, text_col, window), "pair-counts")
     single = counts.where(F.col("a") == F.col("b"))
+    totals = single.where(F.col("a") == EVERY).select(
+        F.lit(0).alias("_all"), *keys, F.col("n_both").alias("n_windows")
+    )
 
     def alone(side: str) -> DataFrame:
         return single.select(*keys, F.col("a").alias(f"term_{side}"), F.col("n_both").alias(f"n_{side}"))

@@ -18,15 +18,20 @@ from reviewlens.schema import FEATURES, require
 
 
 def feature_table(
-    df: DataFrame, keep: Sequence[str] = (), train_mean_only: bool = False
+    df: DataFrame,
+    keep: Sequence[str] = (),
+    train_mean_only: bool = False,
+    ratings: DataFrame | None = None,
 ) -> DataFrame:
     """``Id, *keep``, the feature columns and the target ``helpfulness_ratio``.
 
-    The mean rating is one scalar over all reviews, or over the training part only. Sentiment
-    features are left out when the input has no sentiment.
+    The mean rating is one scalar over all reviews, or over the training part only; where
+    ``df`` is costly to derive, ``ratings`` names a plainer source of ``Id`` and ``Score``.
+    Sentiment features are left out when the input has no sentiment.
     """
     require(df, "Id", "text_length", "word_count", "Score", "Time", "helpfulness_ratio")
-    base = df.where(split_name() == "train") if train_mean_only else df
+    base = df if ratings is None else ratings
+    base = base.where(split_name() == "train") if train_mean_only else base
     mean_score = base.agg(F.avg("Score")).scalar()
     columns: dict[str, Column] = {
         "text_length": F.col("text_length"),

@@ -58,7 +58,10 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give an input of fewer scan tasks than cores one task per core; leave any other alone."""
+def spread(df: DataFrame, scan: DataFrame, by: str) -> DataFrame:
+    """Give rows that come from a scan of fewer tasks than cores one task per core.
+
+    A larger input keeps the partitioning its scan and joins give it.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, by) if scan.rdd.getNumPartitions() < cores else df
