@@ -36,8 +36,17 @@ def parameter(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(PARAMETERS[name])
 
 
+SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def reviews(spark: SparkSession, sf: str) -> DataFrame:

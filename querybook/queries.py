@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -213,8 +214,6 @@ def tf_vectors(spark: SparkSession, sf: str) -> DataFrame:
     df, tokens = fx.prepared(spark, sf), text.terms(F.col("clean_text"))
     vocab = terms.vocabulary(terms.term_stats(terms.bag_of_words(df, tokens)), 1000)
     names = [r["term"] for r in vocab.orderBy("term_idx").collect()]
-    from pyspark.ml.functions import vector_to_array
-
     counts = vector_to_array("counts")
     vectors = terms.count_vectors(df.select("Id", "clean_text"), tokens, names)
     return vectors.select(
@@ -430,7 +429,7 @@ def best_k(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _topic_input(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    df = settle(fx.prepared(spark, sf).select("Id", CAT, "clean_text"), "topic-reviews")
+    df = settle(fx.prepared(spark, sf).select("Id", CAT, "clean_text"), "topic-reviews", CAT)
     tokens = text.terms(F.col("clean_text"))
     return df, terms.fit_vocabulary(df, tokens, 1000, [CAT], fx.parameter(spark, "stop_words"))
 

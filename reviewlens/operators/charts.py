@@ -16,8 +16,11 @@ def rating_histogram(df: DataFrame) -> DataFrame:
     return df.groupBy("Score").agg(F.count("*").alias("n_reviews"))
 
 
-def sentiment_pivot(df: DataFrame, years: Sequence[int]) -> DataFrame:
-    """Mean sentiment with one row per month and one column per year."""
+def sentiment_pivot(df: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
+    """Mean sentiment with one row per month and one column per year, of all years by default."""
+    if years is None:
+        found = df.select(F.year("Time").alias("y")).distinct().orderBy("y").collect()
+        years = [r["y"] for r in found if r["y"] is not None]
     dated = df.select(
         dates.month_start(F.col("Time")).alias("month"), F.year("Time").alias("year"), "sentiment_score"
     )

@@ -45,16 +45,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+def settle(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """Write a derived table to the shared folder and read it back.
 
     This cuts the lineage in a place that survives lost executors, and it gives the
     optimizer the table's true size: joins broadcast it below
-    ``spark.sql.autoBroadcastJoinThreshold`` and shuffle it above.
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffle it above. ``by`` names a column to
+    keep in folder names, for readers that filter on it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
