@@ -273,7 +273,7 @@ def nb_predict(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def confidence_threshold(spark: SparkSession, sf: str) -> DataFrame:
-    scored = _classified(spark, sf)
+    scored = settle(_classified(spark, sf), "classified")
     low = categories.low_confidence_count(scored, 0.9)
     kept = categories.apply_threshold(scored, 0.9)
     n_low = F.lit(low.first()["n_low_confidence"])
@@ -438,7 +438,12 @@ def lda_topics(spark: SparkSession, sf: str) -> DataFrame:
     df, vocab = _topic_input(spark, sf)
     models = topics.fit_all_topics(df, vocab, (5,), CAT, passes=5)
     ranked = topics.top_terms(topics.topic_terms(spark, models), [CAT, "k"])
-    return topics.merged_terms(ranked, [CAT, "k"])
+    fit = [
+        (m.category, topics.perplexity(m, topics.document_vectors(df, vocab, m.category, CAT)[0]))
+        for m in models
+    ]
+    bounds = spark.createDataFrame(fit, "category string, log_perplexity double")
+    return r6(topics.merged_terms(ranked, [CAT, "k"]).join(bounds, CAT))
 
 
 def document_topics(spark: SparkSession, sf: str) -> DataFrame:

@@ -160,3 +160,11 @@ def mean_attribution(values: DataFrame, names: list[str]) -> DataFrame:
         F.struct(F.lit(n).alias("feature"), F.col(n).alias("importance")) for n in names
     ]
     return means.select(F.inline(F.array(*pairs))).orderBy(F.desc("importance"), "feature")
+
+
+def gain_importance(model: HelpfulnessModel, spark: SparkSession) -> DataFrame:
+    """``feature, importance`` from the splits alone: no pass over the reviews."""
+    gains = model.trees.featureImportances.toArray()
+    rows = [(n, float(g)) for n, g in zip(model.names, gains)]
+    table = spark.createDataFrame(rows, "feature string, importance double")
+    return table.orderBy(F.desc("importance"), "feature")

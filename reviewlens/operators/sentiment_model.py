@@ -39,6 +39,15 @@ class SentimentModel:
     features: PipelineModel
     classifier: LogisticRegressionModel
 
+    def whole(self) -> PipelineModel:
+        """All steps as one model, for saving."""
+        return PipelineModel([*self.features.stages, self.classifier])
+
+    @staticmethod
+    def of(whole: PipelineModel) -> SentimentModel:
+        """The model from its saved form."""
+        return SentimentModel(PipelineModel(whole.stages[:-1]), whole.stages[-1])
+
 
 def _tokens(df: DataFrame) -> DataFrame:
     return df.withColumn("_tokens", text.terms(F.coalesce(F.col("Text"), F.lit(""))))

@@ -28,6 +28,7 @@ from reviewlens.operators import (
     topics,
 )
 from reviewlens.session import settle
+from reviewlens.sources import models as model_files
 from reviewlens.sources import reviews, snapshots, tables
 
 PROCESSED = "processed_reviews"
@@ -118,17 +119,27 @@ def model_topics(
     scores = settle(topics.coherence_sweep(reviews_by, models, "category", sample=sample), "scores")
     best = {r["category"]: r["k"] for r in topics.best_k(scores).collect()}
     chosen = [m for m in models if best.get(m.category) == m.k]
-    shares = None
+    shares, fit = None, []
     for model in chosen:
         vectors, _ = topics.document_vectors(reviews_by, vocab, model.category, "category")
+        fit.append((model.category, model.k, topics.perplexity(model, vectors)))
         part = topics.document_topics(model, vectors, ["sentiment_score"])
         shares = part if shares is None else shares.unionByName(part)
     if shares is None:
         raise ValueError("no category has a vocabulary to model")
     ranked = topics.top_terms(topics.topic_terms(spark, chosen), ["category", "k"])
     merged = topics.merged_terms(ranked, ["category", "k"]).select("category", "rnk", "term")
+    entries = [(m.category, m.k, m.model) for m in chosen]
+    model_files.register_models(spark, "topic_models", entries, root, run_ts)
     found = _write(
-        {"topic_distributions": shares, "top_terms": merged, "coherence_scores": scores},
+        {
+            "topic_distributions": shares,
+            "top_terms": merged,
+            "coherence_scores": scores,
+            "topic_perplexity": spark.createDataFrame(
+                fit, "category string, k int, log_perplexity double"
+            ),
+        },
         root,
         run_ts,
         topic_distributions="category",
@@ -147,6 +158,7 @@ def analyse_sentiment(
     scored = settle(
         sentiment_model.score_sentiment(model, df, ["Score", "Time", "ProductId"]), "sentiment"
     )
+    model_files.register_models(spark, "sentiment_models", [("", 3, model.whole())], root, run_ts)
     quality = sentiment_model.evaluate_sentiment(scored)
     found = {
         "temporal_trends": metrics.month_trend(scored),
@@ -168,6 +180,9 @@ def predict_helpfulness(
     scaled = settle(helpfulness.scale_features(features), "scaled")
     vectors = helpfulness.assemble(scaled)
     model = helpfulness.fit_helpfulness(vectors, names, n_trees)
+    model_files.register_models(
+        spark, "helpfulness_models", [("", n_trees, model.trees)], root, run_ts
+    )
     predicted = helpfulness.predict_helpfulness(model, vectors).where("split = 'test'")
     values = attribution.shap_values(model, scaled)
     found = {
