@@ -9,7 +9,6 @@ once; a review then only needs its pattern.
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,22 +34,24 @@ class Leaf:
 
 
 def _pattern_table(value: float, shares: list[float]) -> np.ndarray:
-    """``table[pattern, j]``: value of path feature ``j`` when bit ``i`` says feature ``i`` passes."""
+    """``table[pattern, j]``: value of path feature ``j`` when bit ``i`` says feature ``i`` passes.
+
+    The sums over subsets of the other features, by subset size, are the coefficients of
+    ``prod(share + passed * t)``.
+    """
     d = len(shares)
+    passed = (np.arange(1 << d)[:, None] >> np.arange(d)) & 1
+    weights = [math.factorial(s) * math.factorial(d - s - 1) / math.factorial(d) for s in range(d)]
     out = np.zeros((1 << d, d))
-    for pattern in range(1 << d):
-        passed = [(pattern >> i) & 1 for i in range(d)]
-        for j in range(d):
-            others = [i for i in range(d) if i != j]
-            total = 0.0
-            for size in range(d):
-                weight = math.factorial(size) * math.factorial(d - size - 1) / math.factorial(d)
-                for chosen in itertools.combinations(others, size):
-                    product = 1.0
-                    for i in others:
-                        product *= passed[i] if i in chosen else shares[i]
-                    total += weight * product
-            out[pattern, j] = value * (passed[j] - shares[j]) * total
+    for j in range(d):
+        by_size = np.ones((1 << d, 1))
+        for i in range(d):
+            if i != j:
+                grown = np.zeros((1 << d, by_size.shape[1] + 1))
+                grown[:, :-1] += by_size * shares[i]
+                grown[:, 1:] += by_size * passed[:, [i]]
+                by_size = grown
+        out[:, j] = value * (passed[:, j] - shares[j]) * (by_size @ np.array(weights))
     return out
 
 

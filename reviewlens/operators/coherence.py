@@ -59,32 +59,39 @@ def pair_counts(
     review; the sums per pair are partial before their own shuffle. A pair of a term with
     itself counts the term, the pair of ``EVERY`` all windows.
     """
-    by_review = ["Id", *keys]
-    pairs = pairs.unionByName(
-        pairs.select(*keys, F.lit(EVERY).alias("a"), F.lit(EVERY).alias("b")).distinct()
+    every = pairs.select(*keys, F.lit(EVERY).alias("a"), F.lit(EVERY).alias("b")).distinct()
+    number = F.monotonically_increasing_id()
+    numbered = settle(pairs.unionByName(every).withColumn("pair", number), "term-pairs")
+    either = F.explode(F.array_distinct(F.array("a", "b"))).alias("term")
+    listed = settle(
+        numbered.select(*keys, either).distinct().withColumn("word", number), "pair-terms"
     )
-    tokens = df.select(*by_review, F.inline(_ranges(text.words(F.col(text_col)), window)))
-    listed = pairs.select(*keys, F.explode(F.array("a", "b")).alias("term")).distinct()
-    ranges = tokens.join(listed, [*keys, "term"]).repartition("Id")
-    in_order = Window.partitionBy(*by_review, "term").orderBy("start", "end")
+    tokens = df.select("Id", *keys, F.inline(_ranges(text.words(F.col(text_col)), window)))
+    ranges = (
+        tokens.join(listed, [*keys, "term"]).select("Id", "word", "start", "end").repartition("Id")
+    )
+    in_order = Window.partitionBy("Id", "word").orderBy("start", "end")
     fresh = F.col("start") > F.coalesce(F.lag("end").over(in_order), F.lit(-1))
     merged = (
         ranges.withColumn("_new", F.when(fresh, 1).otherwise(0))
         .withColumn("_run", F.sum("_new").over(in_order))
-        .groupBy(*by_review, "term", "_run")
+        .groupBy("Id", "word", "_run")
         .agg(F.min("start").alias("start"), F.max("end").alias("end"))
     )
-    sides = pairs.select(
-        *keys, "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("term")
+    sides = (
+        numbered.select(*keys, either, "pair", (F.col("a") == F.col("b")).alias("same"))
+        .join(listed, [*keys, "term"])
+        .select("word", "pair", "same")
     )
-    by_pair = Window.partitionBy(*by_review, "a", "b")
-    before = by_pair.orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("Id", "pair").orderBy("start", "end")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
     reach = F.coalesce(F.max("end").over(before), F.lit(-1))
     added = F.greatest(F.lit(0), F.col("end") - F.greatest(reach, F.col("start") - 1))
-    covered = merged.join(sides, [*keys, "term"]).withColumn("_added", added)
+    covered = merged.join(sides, "word").withColumn("_added", added)
     own = F.col("end") - F.col("start") + 1
-    both = F.when(F.col("a") == F.col("b"), own).otherwise(own - F.col("_added"))
-    return covered.groupBy(*keys, "a", "b").agg(F.sum(both.cast("bigint")).alias("n_both"))
+    both = F.when(F.col("same"), own).otherwise(own - F.col("_added"))
+    sums = covered.groupBy("pair").agg(F.sum(both.cast("bigint")).alias("n_both"))
+    return sums.join(numbered, "pair").select(*keys, "a", "b", "n_both")
 
 
 def coherence(
@@ -99,8 +106,8 @@ def coherence(
 
     ``keys`` tie topics to their group of reviews; ``model_keys`` tell several models of one
     group apart. Every distinct pair of terms is counted once per group, whichever topics hold
-    it, so one pass over the texts scores all models. The pairs and their counts, a table of
-    the topics' size, are settled; the rest is arithmetic on it.
+    it, so one pass over the texts scores all models. The pairs and their counts are tables of
+    the topics' size and are settled; the rest is arithmetic on them.
     """
     keys, model = list(keys), [*keys, *model_keys, "topic"]
     terms = topics.select(*model, "rnk", "term")
@@ -109,7 +116,7 @@ def coherence(
     grid = left.join(right, model).withColumns(
         {"a": F.least("term_a", "term_b"), "b": F.greatest("term_a", "term_b")}
     )
-    pairs = settle(grid.select(*keys, "a", "b").distinct(), "term-pairs")
+    pairs = grid.select(*keys, "a", "b").distinct()
     counts = settle(pair_counts(df, pairs, keys, text_col, window), "pair-counts")
     single = counts.where(F.col("a") == F.col("b"))
     totals = single.where(F.col("a") == EVERY).select(
