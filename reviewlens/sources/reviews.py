@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewlens.schema import RAW_REVIEWS, require
 
@@ -23,13 +24,17 @@ def read_reviews(
 ) -> DataFrame:
     """Reviews with the fixed column set, picked by name from a wider file.
 
+    All CSV files under ``path`` must have the same header; one that differs is an error.
+
     Quoted line breaks need ``multi_line``, which reads each CSV file in one task: keep the
     files of a large export small, or switch it off where no text holds a line break and
     Spark may split the files.
     """
     if fmt == "csv":
         reader = spark.read.options(**CSV_DIALECT).option("multiLine", multi_line)
-        table = reader.csv(path)
+        names = reader.csv(path).columns
+        texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        table = reader.schema(texts).option("enforceSchema", False).csv(path)
     else:
         table = spark.read.format(fmt).load(path)
     require(table, *RAW_REVIEWS.fieldNames())

@@ -26,3 +26,17 @@ def test_gives_rows(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 6
+
+
+@pytest.mark.parametrize(
+    "name", ["category_performance", "tfidf", "nb_predict", "coherence", "coherence_sample"]
+)
+def test_equals_sql_without_broadcasts(spark, con, name):
+    """Small tables that outgrow a broadcast are shuffled, with the same result."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        assert differences(spark, con, SMALL, name) == []
+    finally:
+        spark.conf.set(limit, before)

@@ -40,6 +40,14 @@ def test_malformed_and_missing_columns_fail(spark, folder):
         reviews.read_reviews(spark, f"{folder}/short", "parquet")
 
 
+def test_files_with_another_header_fail(spark, folder):
+    df = spark.createDataFrame(ROWS, RAW_REVIEWS)
+    for part, columns in (("a", df.columns), ("b", df.columns[::-1])):
+        reviews.write_reviews_csv(df.select(*columns).coalesce(1), f"{folder}/csv/{part}")
+    with pytest.raises(Exception, match="(?i)header"):
+        reviews.read_reviews(spark, f"{folder}/csv/*").collect()
+
+
 def test_newest_complete_run_is_read(spark, folder):
     df = spark.createDataFrame([(1, "007"), (2, "Food & Beverages")], "Id long, predicted_category string")
     with pytest.raises(FileNotFoundError):
