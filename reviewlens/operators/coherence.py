@@ -119,9 +119,7 @@ def coherence(
     pairs = grid.select(*keys, "a", "b").distinct()
     counts = settle(pair_counts(df, pairs, keys, text_col, window), "pair-counts")
     single = counts.where(F.col("a") == F.col("b"))
-    totals = single.where(F.col("a") == EVERY).select(
-        F.lit(0).alias("_all"), *keys, F.col("n_both").alias("n_windows")
-    )
+    totals = single.where(F.col("a") == EVERY).select(*keys, F.col("n_both").alias("n_windows"))
 
     def alone(side: str) -> DataFrame:
         return single.select(*keys, F.col("a").alias(f"term_{side}"), F.col("n_both").alias(f"n_{side}"))
@@ -130,9 +128,8 @@ def coherence(
         grid.join(counts, [*keys, "a", "b"], "left")
         .join(alone("a"), [*keys, "term_a"], "left")
         .join(alone("b"), [*keys, "term_b"], "left")
-        .withColumn("_all", F.lit(0))
-        .join(totals, ["_all", *keys])
     )
+    joined = joined.join(totals, keys) if keys else joined.withColumn("n_windows", totals.scalar())
     n = F.col("n_windows").cast("double")
     p_both = F.coalesce(F.col("n_both"), F.lit(0)) / n + EPSILON
     ratio = F.ln(p_both / ((F.col("n_a") / n) * (F.col("n_b") / n))) / -F.ln(p_both)

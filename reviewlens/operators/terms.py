@@ -63,11 +63,12 @@ def fit_vocabulary(
     """``*keys, term, term_idx, df, cf, n_docs, idf``, settled once for all its uses."""
     group = list(keys)
     bag = bag_of_words(df, tokens, group, stop_words)
-    sizes = df.withColumn("_all", F.lit(0)).groupBy("_all", *group).agg(
-        F.count("*").alias("n_docs")
-    )
-    terms = vocabulary(term_stats(bag, group), max_features, group)
-    joined = terms.withColumn("_all", F.lit(0)).join(sizes, ["_all", *group])
+    kept = vocabulary(term_stats(bag, group), max_features, group)
+    if group:
+        sizes = df.groupBy(*group).agg(F.count("*").alias("n_docs"))
+        joined = kept.join(sizes, group)
+    else:
+        joined = kept.withColumn("n_docs", df.agg(F.count("*")).scalar())
     return settle(
         joined.select(
             *group, "term", "term_idx", "df", "cf", "n_docs",
