@@ -46,7 +46,7 @@ def differences(spark, con, sf: str, name: str) -> list[str]:
 def main(sf: str, names: list[str]) -> int:
     from reviewlens.session import local_session
 
-    spark, con, failed = local_session(), connect(sf), 0
+    spark, con, failed = local_session("/tmp/checkpoints"), connect(sf), 0
     for name in names or SQL:
         start = time.time()
         try:

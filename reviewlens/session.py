@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_settled: list[str] = []
 
-def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
-    """A local session for tests and benchmarks; a cluster brings its own."""
+
+def local_session(folder: str, cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
+    """A local session for tests and benchmarks; a cluster brings its own.
+
+    ``folder`` holds the settled tables.
+    """
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("reviewlens")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", f"{folder}/reviewlens-{uuid.uuid4().hex}")
+        .config("spark.sql.files.maxPartitionBytes", "1m")
+        .config("spark.sql.files.openCostInBytes", "0")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
@@ -26,23 +33,15 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    A local session without one gets a temporary folder; a cluster must name its own.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else one in the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="reviewlens-")
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/reviewlens-work").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; ``release`` removes it."""
+    _settled.append(f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}")
+    return _settled[-1]
 
 
 def settle(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
@@ -60,10 +59,14 @@ def settle(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, scan: DataFrame, by: str) -> DataFrame:
-    """Give rows that come from a scan of fewer tasks than cores one task per core.
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Remove what has been settled, from the ``since``-th on, once nothing reads it any more."""
+    for path in _settled[since:]:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    del _settled[since:]
 
-    A larger input keeps the partitioning its scan and joins give it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, by) if scan.rdd.getNumPartitions() < cores else df
+
+def settled_count() -> int:
+    """How many tables are settled now; the mark to give ``release`` at the end of a stage."""
+    return len(_settled)

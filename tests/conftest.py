@@ -5,14 +5,16 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from reviewlens.session import local_session  # noqa: E402
+from reviewlens.session import local_session, release  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session("8", 4)
+def spark(tmp_path_factory):
+    session = local_session(str(tmp_path_factory.mktemp("settled")), "8", 4)
+    yield session
+    release(session)
 
 
 @pytest.fixture
