@@ -34,25 +34,24 @@ def row_digest(df: DataFrame):
 
 
 def map_texts(
-    df: DataFrame, keep: list[str], text: str, schema: str, make: Callable[[], Callable[[list], list]]
+    df: DataFrame, keep: list[str], inputs: list[str], schema: str, make: Callable[[], Callable[..., list]]
 ) -> DataFrame:
-    """``keep`` as it is, and the columns of ``schema`` computed from the texts of each batch.
+    """``keep`` as it is, and the columns of ``schema`` computed from the ``inputs`` of each batch.
 
-    ``make`` runs once in each task and returns a function from a list of texts to a list of
-    columns, in the order of ``schema``.
+    ``make`` runs once in each task and returns a function from one list for each input to a
+    list of columns, in the order of ``schema``.
     """
     kept = df.select(*(F.col(f"`{c}`") for c in keep))
     added = T.StructType.fromDDL(schema)
     out = T.StructType([*kept.schema, *added])
-    names, kinds = out.names, [to_arrow_type(f.dataType) for f in added]
+    names, kinds, n = out.names, [to_arrow_type(f.dataType) for f in added], len(keep)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()
         for batch in batches:
-            columns = function(batch.column(len(keep)).to_pylist())
+            columns = function(*(c.to_pylist() for c in batch.columns[n:]))
             arrays = [pa.array(x, t) for x, t in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *arrays], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *arrays], names=names)
 
-    return df.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").alias(free_name(df, "llm_text"))).mapInArrow(
-        run, out
-    )
+    given = [F.col(f"`{c}`").alias(f"{free_name(df, 'llm_input')}{i}") for i, c in enumerate(inputs)]
+    return df.select(*(F.col(f"`{c}`") for c in keep), *given).mapInArrow(run, out)

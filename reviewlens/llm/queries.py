@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from reviewlens.llm import simhash
+from reviewlens.llm import quality_fm, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_quality_fm": quality_fm.op2_quality_fm,
 }
 
 SQL: dict[str, str] = {}

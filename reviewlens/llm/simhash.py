@@ -54,7 +54,7 @@ def with_fingerprint(docs: DataFrame, keep: list[str], text: str, words: int, na
     def make():
         return lambda texts: [[fingerprint(t, words) for t in texts]]
 
-    return map_texts(docs, keep, text, f"`{name}` bigint", make)
+    return map_texts(docs, keep, [text], f"`{name}` bigint", make)
 
 
 def segment_plan(max_bits: int, segments: int) -> list[tuple[int, int, int]]:
