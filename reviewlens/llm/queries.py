@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from reviewlens.llm import quality_fm, simhash
+from reviewlens.llm import decontaminate, quality_fm, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_quality_fm": quality_fm.op2_quality_fm,
+    "op6_decontaminate": decontaminate.op6_decontaminate,
 }
 
 SQL: dict[str, str] = {}
