@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from reviewlens.llm import decontaminate, quality_fm, simhash
+from reviewlens.llm import decontaminate, mixing, quality_fm, sharding, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_quality_fm": quality_fm.op2_quality_fm,
+    "op4_sharding": sharding.op4_sharding,
     "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op7_mixing": mixing.op7_mixing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op7_mixing": mixing.SQL}
