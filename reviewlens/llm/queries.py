@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewlens.llm import decontaminate, mixing, quality_fm, sharding, simhash
+from reviewlens.llm import chat, decontaminate, mixing, quality_fm, sharding, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_sharding": sharding.op4_sharding,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_mixing": mixing.op7_mixing,
+    "op8_chat": chat.op8_chat,
 }
 
-SQL: dict[str, str] = {"op7_mixing": mixing.SQL}
+SQL: dict[str, str] = {"op7_mixing": mixing.SQL, "op8_chat": chat.SQL}
