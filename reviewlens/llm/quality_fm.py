@@ -27,10 +27,11 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.llm.columns import LOWER, free_name, map_texts
+from reviewlens.llm.labelled import held_out, sample
 from reviewlens.session import settle
 
 UPPER = bytes(range(65, 91))
@@ -139,27 +140,9 @@ def train(rows: list[tuple[float, float, np.ndarray, np.ndarray]], settings: Set
     return w0, w, v
 
 
-def held_out(id: str = "doc_id") -> Column:
-    """Whether a row is never learnt from: crc32 of the id's text leaves 1 when divided by 3."""
-    return F.coalesce(F.crc32(F.col(id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
-
-
-def sample(labels: DataFrame, settings: Settings, id: str = "doc_id", label: str = "quality") -> DataFrame:
-    """``<id>, y, weight``: at most ``rows_per_class`` labelled rows of each class."""
-    known = labels.where(F.col(label).isin(0, 1) & ~held_out(id)).select(
-        id, F.col(label).cast("double").alias("y"), F.xxhash64(F.col(id).cast("string")).alias("h")
-    )
-    total = known.groupBy("y").agg(F.count("*").alias("n"))
-    parts = [known.where(F.col("y") == y).orderBy("h", id).limit(settings.rows_per_class) for y in (0.0, 1.0)]
-    picked = parts[0].union(parts[1]).join(F.broadcast(total), "y")  # two rows
-    return picked.select(id, "y", (F.col("n") / settings.rows_per_class).alias("n"), "h").select(
-        id, "y", F.greatest(F.lit(1.0), "n").alias("weight"), "h"
-    )
-
-
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings, id: str = "doc_id", text: str = "text", declared: str = "n_chars"):
     """``w0, w, v``. One task trains on the bounded sample's features; the model comes back."""
-    picked = settle(sample(labels, settings, id), "quality-sample")
+    picked = settle(sample(labels, settings.rows_per_class, id), "quality-sample")
     rows = docs.select(id, F.col(text).alias("t"), F.col(declared).cast("bigint").alias("d"))
     learnt = rows.join(F.broadcast(picked), id)  # 2 * rows_per_class rows at most
 
