@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewlens.llm import chat, decontaminate, mixing, quality_fm, quality_rules, sharding, simhash
+from reviewlens.llm import chat, decontaminate, mixing, quality_fm, quality_rules, sharding, simhash, suffix_dedup
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_mixing": mixing.op7_mixing,
     "op8_chat": chat.op8_chat,
+    "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
