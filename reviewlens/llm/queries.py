@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from reviewlens.llm import chat, decontaminate, mixing, quality_fm, quality_rules, sharding, simhash, suffix_dedup
+from reviewlens.llm import chat, decontaminate, line_dedup, mixing, quality_fm, quality_rules, sharding, simhash, suffix_dedup
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_quality_fm": quality_fm.op2_quality_fm,
+    "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_sharding": sharding.op4_sharding,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_mixing": mixing.op7_mixing,
@@ -15,4 +16,4 @@ QUERIES = {
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
-SQL: dict[str, str] = {"op7_mixing": mixing.SQL, "op8_chat": chat.SQL}
+SQL: dict[str, str] = {"op3_line_dedup": line_dedup.SQL, "op7_mixing": mixing.SQL, "op8_chat": chat.SQL}
