@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from reviewlens.llm import chat, decontaminate, line_dedup, mixing, quality_fm, quality_rules, sharding, simhash, suffix_dedup
+from reviewlens.llm import chat, decontaminate, language, line_dedup, mixing, quality_fm, quality_rules, sharding, simhash, suffix_dedup
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_quality_fm": quality_fm.op2_quality_fm,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_sharding": sharding.op4_sharding,
+    "op5_language": language.op5_language,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_mixing": mixing.op7_mixing,
     "op8_chat": chat.op8_chat,
