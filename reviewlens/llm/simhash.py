@@ -59,8 +59,8 @@ def with_fingerprint(docs: DataFrame, keep: list[str], text: str, words: int, na
 
 def segment_plan(max_bits: int, segments: int) -> list[tuple[int, int, int]]:
     """(first bit, width, radius) of each segment; the radii plus one add up to ``max_bits + 1``."""
-    if not 1 <= segments <= max_bits + 1:
-        raise ValueError("one to max_bits + 1 segments")
+    if not 2 <= segments <= max_bits + 1:
+        raise ValueError("two to max_bits + 1 segments")
     widths = [64 // segments + (i < 64 % segments) for i in range(segments)]
     spare = max_bits + 1 - segments
     radii = [spare // segments + (i < spare % segments) for i in range(segments)]
