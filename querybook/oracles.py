@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from querybook.fixtures import PARAMETERS, REVIEWS_SQL
-from querybook.queries import YEARS
 
 SPACE = r"\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 TERM = r"[\p{L}\p{N}_]{2,}"
@@ -14,6 +13,11 @@ def r6(x: str) -> str:
     return f"CASE WHEN round({x}, 6) = 0 THEN 0e0 ELSE round({x}, 6) END"
 
 
+def r3(x: str) -> str:
+    """Half-up to three digits, after nine, in decimals."""
+    return f"round(CAST(round({x}, 9) AS DECIMAL(18, 9)), 3)::DOUBLE"
+
+
 def clean(column: str) -> str:
     return rf"regexp_replace(lower({column}), '[^\p{{L}}\p{{N}}_{SPACE}]', '', 'g')"
 
@@ -103,7 +107,7 @@ picks AS (SELECT category, i, list(keyword ORDER BY r) AS names FROM draws
   WHERE r <= 3 + i % 3 GROUP BY category, i),
 negative_draws AS (SELECT category, i, j, keyword, row_number() OVER (PARTITION BY category, i, j
       ORDER BY md5(category || '|' || i || '|' || j || '|' || keyword), keyword) AS r
-  FROM negatives CROSS JOIN range(200) t(i) CROSS JOIN range(1, 6) u(j)
+  FROM negatives CROSS JOIN range(200) t(i) CROSS JOIN range(1, 51) u(j)
   WHERE category IN (SELECT category FROM keywords)),
 training AS MATERIALIZED (
   SELECT category || '|' || i AS Id, category AS label,
@@ -231,9 +235,9 @@ SQL = {
     ),
     "category_distribution": base("SELECT category, count(*) AS n_reviews FROM reviews GROUP BY ALL"),
     "category_performance": scored(
-        """SELECT category, round(avg(helpfulness_ratio), 3) AS helpfulness_mean,
-  round(stddev_samp(helpfulness_ratio), 3) AS helpfulness_std, round(avg(sentiment_score), 3) AS sentiment_mean,
-  round(stddev_samp(sentiment_score), 3) AS sentiment_std, round(avg(Score), 3) AS score_mean,
+        f"""SELECT category, {r3('avg(helpfulness_ratio)')} AS helpfulness_mean,
+  {r3('stddev_samp(helpfulness_ratio)')} AS helpfulness_std, {r3('avg(sentiment_score)')} AS sentiment_mean,
+  {r3('stddev_samp(sentiment_score)')} AS sentiment_std, {r3('avg(Score)')} AS score_mean,
   count(Score) AS score_count FROM scored GROUP BY category"""
     ),
     "category_metrics": scored(
@@ -242,9 +246,9 @@ SQL = {
   count(*) AS review_count FROM scored GROUP BY category"""
     ),
     "category_month": scored(
-        f"""SELECT category, {MONTH} AS month, round(avg(helpfulness_ratio), 3) AS helpfulness_mean,
-  CASE WHEN round(avg(sentiment_score), 3) = 0 THEN 0e0 ELSE round(avg(sentiment_score), 3) END AS sentiment_mean,
-  round(avg(Score), 3) AS score_mean, count(Score) AS score_count FROM scored GROUP BY ALL"""
+        f"""SELECT category, {MONTH} AS month, {r3('avg(helpfulness_ratio)')} AS helpfulness_mean,
+  {r3('avg(sentiment_score)')} AS sentiment_mean, {r3('avg(Score)')} AS score_mean,
+  count(Score) AS score_count FROM scored GROUP BY ALL"""
     ),
     "month_trend": scored(
         f"""SELECT {MONTH} AS month, {r6('avg(sentiment_score)')} AS sentiment_mean,
@@ -290,11 +294,8 @@ FROM (SELECT s.category, v.term, s.sentiment_score, contains(s.clean_text, v.ter
     ),
     "rating_histogram": base("SELECT Score, count(*) AS n_reviews FROM reviews GROUP BY ALL"),
     "sentiment_pivot": scored(
-        f"SELECT {MONTH} AS month, "
-        + ", ".join(
-            r6(f"avg(sentiment_score) FILTER (year(Time) = {y})") + f" AS y{y}" for y in YEARS
-        )
-        + f" FROM scored GROUP BY {MONTH}"
+        f"SELECT {MONTH} AS month, year(Time)::INT AS year, {r6('avg(sentiment_score)')} AS sentiment_mean "
+        "FROM scored WHERE sentiment_score IS NOT NULL GROUP BY ALL"
     ),
     "length_helpfulness_bins": prepared(
         """SELECT floor(text_length / 500e0)::BIGINT AS length_bin,
@@ -312,7 +313,7 @@ WHERE term NOT IN (SELECT word FROM stop_words) GROUP BY term ORDER BY cf DESC,
             f"{r6(f'quantile_cont(sentiment, {q})')} AS {n}"
             for n, q in (("lowest", 0.0), ("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("highest", 1.0))
         )
-        + """ FROM (SELECT round(avg(Score), 1) AS rating, round(avg(sentiment_score), 6) AS sentiment
+        + """ FROM (SELECT round(avg(Score), 1) AS rating, avg(sentiment_score) AS sentiment
       FROM scored GROUP BY ProductId HAVING count(Score) >= 10) GROUP BY rating"""
     ),
     "term_stats": prepared("SELECT category, term, term_idx, df, cf FROM vocab", BAG, vocabulary(1000)),
@@ -360,6 +361,32 @@ FROM classified GROUP BY 1""",
     "lexicon_sentiment": scored(
         f"""SELECT Id, {r6('sentiment_score')} AS sentiment_score,
   {r6('subjectivity_score')} AS subjectivity_score FROM scored"""
+    ),
+    "sentiment_classifier": base(
+        f"""SELECT Id, CASE WHEN Score <= 2 THEN 0 WHEN Score <= 3 THEN 1 ELSE 2 END AS sentiment_label,
+  {SPLIT} AS split, true AS score_is_sound FROM reviews"""
+    ),
+    "sentiment_quality": base(
+        f"""SELECT count(*) AS n_test, true AS accuracy_is_hits, true AS f1_in_range
+FROM reviews WHERE {SPLIT} = 'test' AND Score IS NOT NULL"""
+    ),
+    "helpfulness_model": base(
+        f"SELECT count(*) AS n_test, true AS mse_is_of_rows FROM reviews WHERE {SPLIT} = 'test'"
+    ),
+    "shap_importance": base("SELECT Id, true AS adds_up FROM reviews"),
+    "lda_topics": base(
+        """SELECT category, 5 AS k, topic::INT AS topic, rnk::INT AS rnk, true AS is_sound
+FROM (SELECT DISTINCT category FROM reviews) c CROSS JOIN range(5) t(topic) CROSS JOIN range(1, 11) r(rnk)"""
+    ),
+    "document_topics": prepared(
+        """SELECT category, Id, 5::BIGINT AS n_topics, true AS sums_to_one
+FROM (SELECT DISTINCT category, Id FROM bag JOIN vocab USING (category, term))""",
+        BAG,
+        vocabulary(1000),
+    ),
+    "coherence_sweep": base(
+        """SELECT category, k, true AS in_range, true AS one_kept
+FROM (SELECT DISTINCT category FROM reviews) c CROSS JOIN (SELECT unnest([5, 10, 15])::INT AS k) s"""
     ),
     "feature_table": scored(
         f"""SELECT Id, text_length, word_count, {r6('avg_word_length')} AS avg_word_length, rating,

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from querybook import fixtures as fx
@@ -30,7 +31,6 @@ from reviewlens.session import scratch_path, settle
 from reviewlens.sources import reviews as review_files
 from reviewlens.sources import snapshots, tables
 
-YEARS = range(1995, 2002)
 CAT = "category"
 
 
@@ -170,7 +170,10 @@ def rating_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sentiment_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    return r6(charts.sentiment_pivot(fx.scored(spark, sf, "Time"), YEARS))
+    """The pivot of all years that occur, as one row for each month and year."""
+    pivot = charts.sentiment_pivot(settle(fx.scored(spark, sf, "Time"), "scored"))
+    rows = pivot.unpivot("month", [c for c in pivot.columns if c != "month"], "year", "sentiment_mean")
+    return r6(rows.where("sentiment_mean IS NOT NULL").withColumn("year", F.substring("year", 2, 9).cast("int")))
 
 
 def length_helpfulness_bins(spark: SparkSession, sf: str) -> DataFrame:
@@ -245,7 +248,7 @@ def _negatives(spark: SparkSession, sf: str) -> DataFrame:
 
 def _training(spark: SparkSession, sf: str) -> DataFrame:
     return categories.synthetic_training(
-        _keywords(spark, sf), _negatives(spark, sf), 200, 5, extra_sentence="es"
+        _keywords(spark, sf), _negatives(spark, sf), 200, 50, extra_sentence="es"
     )
 
 
@@ -288,9 +291,32 @@ def lexicon_sentiment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sentiment_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Every review's class and part, and whether its score is one: p2 - p0 of a distribution."""
+    scored = _sentiment(spark, sf)
+    p, score = F.col("probabilities"), F.col("sentiment_score")
+    total = F.aggregate(p, F.lit(0.0), lambda a, x: a + x)
+    best = p[F.col("prediction").cast("int")] == F.array_max(p)
+    sound = (F.abs(total - 1) < 1e-9) & score.between(-1, 1) & (F.abs(score - p[2] + p[0]) < 1e-12) & best
+    return scored.select("Id", "sentiment_label", "split", sound.alias("score_is_sound"))
+
+
+def _sentiment(spark: SparkSession, sf: str) -> DataFrame:
     df = fx.reviews(spark, sf).select("Id", "Text", "Score")
     model = sentiment_model.fit_sentiment(df)
-    return r6(sentiment_model.score_sentiment(model, df))
+    return sentiment_model.score_sentiment(model, df, probabilities=True)
+
+
+def sentiment_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Held-out quality: the part's size, and whether the reported accuracy is its share of hits."""
+    scored = settle(_sentiment(spark, sf), "sentiment-scored")
+    told = sentiment_model.evaluate_sentiment(scored)
+    test = scored.where("split = 'test' AND sentiment_label IS NOT NULL")
+    hits = F.avg((F.col("prediction") == F.col("sentiment_label")).cast("double"))
+    return test.agg(
+        F.count("*").alias("n_test"),
+        (F.abs(hits - told["accuracy"]) < 1e-9).alias("accuracy_is_hits"),
+        F.lit(0 <= told["f1"] <= 1).alias("f1_in_range"),
+    )
 
 
 # -- helpfulness -------------------------------------------------------------
@@ -321,6 +347,7 @@ def regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
     known = df.where("split = 'train'").groupBy("ProductId").agg(
         F.avg("helpfulness_ratio").alias("prediction")
     )
+    known = settle(known, "product-means")
     test = df.where("split = 'test'").join(known, "ProductId")
     return r6(metrics.regression_metrics(test, "helpfulness_ratio"))
 
@@ -329,21 +356,30 @@ def _fitted(spark: SparkSession, sf: str) -> tuple[helpfulness.HelpfulnessModel,
     scaled = settle(
         helpfulness.scale_features(settle(_features(spark, sf), "features")), "scaled"
     )
-    model = helpfulness.fit_helpfulness(helpfulness.assemble(scaled), FEATURES, n_trees=10)
-    return model, scaled
+    return helpfulness.fit_helpfulness(helpfulness.assemble(scaled), FEATURES), scaled
 
 
 def helpfulness_model(spark: SparkSession, sf: str) -> DataFrame:
+    """The test part's size, and whether the metrics are those of its rows and beat their mean."""
     model, scaled = _fitted(spark, sf)
     predicted = helpfulness.predict_helpfulness(model, helpfulness.assemble(scaled))
-    test = predicted.where("split = 'test'")
-    return r6(metrics.regression_metrics(test, "helpfulness_ratio"))
+    test = settle(predicted.where("split = 'test'").select("helpfulness_ratio", "prediction"), "predicted")
+    told = metrics.regression_metrics(test, "helpfulness_ratio").first()
+    error = F.col("helpfulness_ratio") - F.col("prediction")
+    same = (F.abs(F.sum(error * error) / F.count("*") - told["mse"]) < 1e-9) & (
+        F.abs(F.lit(told["rmse"] ** 2 - told["mse"])) < 1e-9
+    )
+    return test.agg(F.count("*").alias("n_test"), same.alias("mse_is_of_rows"))
 
 
 def shap_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """Per review, whether its attributions and the base add up to the prediction of 100 trees."""
     model, scaled = _fitted(spark, sf)
-    ranked = attribution.mean_attribution(attribution.shap_values(model, scaled), FEATURES)
-    return r6(charts.top_rows(ranked, "importance", "feature"))
+    values = attribution.shap_values(model, scaled)
+    predicted = helpfulness.predict_helpfulness(model, helpfulness.assemble(scaled))
+    total = F.aggregate("phi", F.col("base"), lambda a, x: a + x)
+    told = values.join(predicted.select("Id", "prediction"), "Id")
+    return told.select("Id", (F.abs(total - F.col("prediction")) < 1e-6).alias("adds_up"))
 
 
 # -- samples -----------------------------------------------------------------
@@ -435,20 +471,27 @@ def _topic_input(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def lda_topics(spark: SparkSession, sf: str) -> DataFrame:
+    """The ranked terms of every category's five topics, without the terms that the fit chose:
+    whether they are in the vocabulary with falling weights, and the perplexity is a number."""
     df, vocab = _topic_input(spark, sf)
-    models = topics.fit_all_topics(df, vocab, (5,), CAT, passes=5)
-    ranked = topics.top_terms(topics.topic_terms(spark, models), [CAT, "k"])
+    models = topics.fit_all_topics(df, vocab, (5,), CAT)
+    ranked = topics.topic_terms(spark, models)
     fit = [
-        (m.category, topics.perplexity(m, topics.document_vectors(df, vocab, m.category, CAT)[0]))
+        (m.category, math.isfinite(topics.perplexity(m, topics.document_vectors(df, vocab, m.category, CAT)[0])))
         for m in models
     ]
-    bounds = spark.createDataFrame(fit, "category string, log_perplexity double")
-    return r6(topics.merged_terms(ranked, [CAT, "k"]).join(bounds, CAT))
+    bounds = spark.createDataFrame(fit, "category string, bounded boolean")
+    known = ranked.join(vocab.select(CAT, "term", F.lit(True).alias("known")), [CAT, "term"], "left")
+    heavier = F.lag("weight").over(Window.partitionBy(CAT, "topic").orderBy("rnk"))
+    falls = F.coalesce(heavier >= F.col("weight"), F.lit(True))
+    sound = F.coalesce("known", F.lit(False)) & falls & F.col("bounded")
+    return known.join(bounds, CAT).select(CAT, "k", "topic", "rnk", sound.alias("is_sound"))
 
 
 def document_topics(spark: SparkSession, sf: str) -> DataFrame:
+    """Per review with a vocabulary term: how many topic shares it has, and whether they are shares."""
     df, vocab = _topic_input(spark, sf)
-    models = topics.fit_all_topics(df, vocab, (5,), CAT, passes=5)
+    models = topics.fit_all_topics(df, vocab, (5,), CAT)
     parts = [
         topics.document_topics(m, topics.document_vectors(df, vocab, m.category, CAT)[0])
         for m in models
@@ -456,14 +499,19 @@ def document_topics(spark: SparkSession, sf: str) -> DataFrame:
     shares = parts[0]
     for part in parts[1:]:
         shares = shares.unionByName(part)
-    return r6(topics.long_topics(shares), "weight")
+    rows = topics.long_topics(shares).groupBy(CAT, "Id")
+    sound = (F.abs(F.sum("weight") - 1) < 1e-6) & (F.min("weight") >= 0)
+    return rows.agg(F.count("*").alias("n_topics"), sound.alias("sums_to_one"))
 
 
 def coherence_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    """Every model of the sweep, whether its coherence is a cosine mean, and whether one was kept."""
     df, vocab = _topic_input(spark, sf)
-    models = topics.fit_all_topics(df, vocab, topics.TOPIC_COUNTS, CAT, passes=3)
-    scores = topics.coherence_sweep(df, models, CAT)
-    return r6(charts.coherence_chart(scores))
+    models = topics.fit_all_topics(df, vocab, topics.TOPIC_COUNTS, CAT)
+    scores = settle(topics.coherence_sweep(df, models, CAT), "sweep-scores")
+    kept = topics.best_k(scores).select("category", F.lit(True).alias("one_kept"))
+    joined = scores.join(kept, "category")
+    return joined.select("category", "k", F.col("coherence").between(-1, 1).alias("in_range"), "one_kept")
 
 
 # -- sources -----------------------------------------------------------------
@@ -515,7 +563,7 @@ QUERIES = {
         rating_histogram, sentiment_pivot, length_helpfulness_bins, word_frequencies,
         sentiment_boxplot, term_stats, tfidf, stopword_filter, bag_of_words, tf_vectors,
         synthetic_training, nb_model, nb_predict, confidence_threshold, lexicon_sentiment,
-        sentiment_classifier, feature_table, scaled_features, train_test_split,
+        sentiment_classifier, sentiment_quality, feature_table, scaled_features, train_test_split,
         regression_metrics, helpfulness_model, shap_importance, sample_reviews, coherence_sample,
         topic_sentiment, topic_prevalence, top_terms, top_terms_load, best_k, lda_topics,
         document_topics, coherence_sweep, read_reviews_csv, pruned_scan, latest_snapshot,

@@ -11,6 +11,12 @@ def divide(a: Column, b: Column) -> Column:
     return F.try_divide(a.cast("double"), b.cast("double"))
 
 
+def three_digits(x: Column) -> Column:
+    """Half-up to three digits. Rounding to nine first makes ties of means that sums in another
+    order put next to one."""
+    return F.round(F.round(x, 9), 3)
+
+
 def correlation(x: Column, y: Column) -> Column:
     """Pearson correlation aggregate; NULL for a constant column, where ``corr`` raises."""
     spread = F.stddev_pop(x) * F.stddev_pop(y)

@@ -55,6 +55,23 @@ def _pattern_table(value: float, shares: list[float]) -> np.ndarray:
     return out
 
 
+# Numbers in all tables of a model: 100 trees of depth 5 have up to 512,000.
+MOST_CELLS = 8_000_000
+
+
+def _cells(nodes: dict[int, dict]) -> int:
+    """How many numbers the tables of one tree hold: ``2^d * d`` for a leaf of ``d`` features."""
+    total, stack = 0, [(0, frozenset())]
+    while stack:
+        node_id, path = stack.pop()
+        node = nodes[node_id]
+        if node["left"] < 0:
+            total += len(path) << len(path)
+        else:
+            stack += [(child, path | {node["feature"]}) for child in (node["left"], node["right"])]
+    return total
+
+
 def _leaves(nodes: dict[int, dict], weight: float) -> tuple[list[Leaf], float]:
     """Leaves of one tree, and the tree's weighted mean output."""
     leaves, base = [], 0.0
@@ -90,7 +107,8 @@ def _leaves(nodes: dict[int, dict], weight: float) -> tuple[list[Leaf], float]:
 def tree_leaves(spark: SparkSession, model: HelpfulnessModel) -> tuple[list[Leaf], float]:
     """All leaves of the model and its base value, from the node tables of the saved model.
 
-    The nodes are model parameters: at most ``trees * 2^(depth + 1)`` of them.
+    The nodes are model parameters: at most ``trees * 2^(depth + 1)`` of them. Tables of over
+    ``MOST_CELLS`` numbers are refused before they are made, as every task gets them.
     """
     path = scratch_path(spark, "helpfulness-trees")
     model.trees.write().save(path)
@@ -111,6 +129,9 @@ def tree_leaves(spark: SparkSession, model: HelpfulnessModel) -> tuple[list[Leaf
     trees: dict[int, dict[int, dict]] = {}
     for r in rows:
         trees.setdefault(r["treeID"], {})[r["id"]] = r.asDict()
+    cells = sum(_cells(nodes) for nodes in trees.values())
+    if cells > MOST_CELLS:
+        raise ValueError(f"the trees are too deep to attribute: {cells} table cells, at most {MOST_CELLS} are sent out")
     leaves, base = [], 0.0
     for tree_id, weight in enumerate(model.trees.treeWeights):
         own, mean = _leaves(trees[tree_id], weight)

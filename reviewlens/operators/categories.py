@@ -18,6 +18,10 @@ OTHER = "Other"
 UNCATEGORIZED = "Uncategorized"
 PETS = "Pet Supplies"
 
+# The sentences of the training texts.
+ABOUT, QUALITY, LOVED = "This is a {} review about {}. ", "The {} quality is good. ", "My pet loves this {}. "
+UNRELATED = "This {} is not related to pets. "
+
 # Words that speak against a category.
 NEGATIVE_KEYWORDS = {
     "Pet Supplies": [
@@ -34,6 +38,12 @@ def negative_keywords(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "category string, keyword string")
 
 
+def _filled(sentence: str, *parts: Column) -> Column:
+    """``sentence`` with a part in place of each ``{}``."""
+    texts = [F.lit(t) for t in sentence.split("{}")]
+    return F.concat(texts[0], *[c for pair in zip(parts, texts[1:]) for c in pair])
+
+
 def _draw(*parts: Column) -> Column:
     return F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
 
@@ -71,11 +81,8 @@ def synthetic_training(
     def pick(salt: int) -> Column:
         return F.get(names, ((F.col("i") * 7 + salt) % count).cast("int"))
 
-    body = F.concat(
-        F.lit("This is a "), F.lower("category"), F.lit(" review about "),
-        F.array_join(names, " and "), F.lit(". The "), pick(1), F.lit(" quality is good. "),
-    )
-    pets = F.concat(F.lit("My pet loves this "), pick(2), F.lit(". "))
+    body = F.concat(_filled(ABOUT, F.lower("category"), F.array_join(names, " and ")), _filled(QUALITY, pick(1)))
+    pets = _filled(LOVED, pick(2))
     positive = chosen.select(
         F.concat_ws("|", "category", "i").alias("Id"),
         F.col("category").alias("label"),
@@ -95,7 +102,7 @@ def synthetic_training(
         .select(
             F.concat_ws("|", "category", "i", "j").alias("Id"),
             F.lit(OTHER).alias("label"),
-            F.concat(F.lit("This "), F.col("low.keyword"), F.lit(" is not related to pets. ")).alias("text"),
+            _filled(UNRELATED, F.col("low.keyword")).alias("text"),
         )
     )
     return positive.unionByName(negative)
@@ -164,22 +171,22 @@ def classify(
     """``Id, *keep, predicted_category, category_confidence`` for every review.
 
     Term counts are made inside the row and meet the model's terms without moving; the sums
-    per class collapse to one row per review before the only shuffle. A text without a known
-    term gets the class priors. Equal probabilities go to the first class by name.
+    per class collapse to one row per review before the only shuffle. Every review adds one
+    empty row after the join, so a text without a known term gets the class priors. Equal probabilities go to the first class by name.
     """
-    tokens = F.concat(text.terms(source), F.array(F.lit("")))
-    bag = df.select("Id", *keep, F.inline(text.term_counts(tokens)))
-    n = len(model.labels)
-    no_term = df.sparkSession.range(1).select(
-        F.lit("").alias("term"), F.lit(0.0).alias("idf"), F.array_repeat(F.lit(0.0), n).alias("ll")
-    )
+    bag = df.select("Id", *keep, F.inline(text.term_counts(text.terms(source))))
+    n, names = len(model.labels), ["_w", *(f"_t{i}" for i in range(len(model.labels)))]
     weight = F.col("tf") * F.col("idf")
+    hits = bag.join(model.table, "term").select(
+        "Id", *keep, weight.alias("_w"), *[(weight * F.get("ll", F.lit(i))).alias(f"_t{i}") for i in range(n)]
+    )
+    every = df.select("Id", *keep, *[F.lit(None).cast("double").alias(name) for name in names])
     sums = (
-        bag.join(model.table.unionByName(no_term), "term")
+        hits.unionByName(every)
         .groupBy("Id", *keep)
         .agg(
-            F.sqrt(F.sum(weight * weight)).alias("_length"),
-            *[F.sum(weight * F.get("ll", F.lit(i))).alias(f"_s{i}") for i in range(n)],
+            F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_length"),
+            *[F.sum(f"_t{i}").alias(f"_s{i}") for i in range(n)],
         )
     )
     logits = F.array(

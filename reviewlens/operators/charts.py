@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.functions import dates
+from reviewlens.session import settle
 
-QUARTILES = [0.0, 0.25, 0.5, 0.75, 1.0]
+QUARTILES = {0.0: "lowest", 0.25: "q1", 0.5: "median", 0.75: "q3", 1.0: "highest"}
 
 
 def rating_histogram(df: DataFrame) -> DataFrame:
@@ -45,24 +46,41 @@ def length_helpfulness_bins(
     ).agg(F.count("*").alias("n_reviews"))
 
 
-def sentiment_boxplot(products: DataFrame, digits: int = 1) -> DataFrame:
+def sentiment_boxplot(products: DataFrame, digits: int = 1, cells: int = 1024) -> DataFrame:
     """Quartiles of product sentiment per rounded mean rating, from ``product_sentiment``.
 
-    Sentiment is taken at six digits and equal values are counted first, so a rating's
-    quartiles come from at most two million values, however many products it has.
+    Exact, by counting: values are counted in cells of width ``1 / cells``, running counts over
+    the cells find those in which a quartile's two neighbours lie, and only the values of these
+    cells are put in order. No task holds a rating's values.
     """
-    counted = products.groupBy(
+    rated = products.select(
         F.round("score_mean", digits).alias("rating"),
-        F.round("sentiment_mean", 6).alias("sentiment"),
-    ).agg(F.count("*").alias("n"))
-    quartiles = F.percentile("sentiment", QUARTILES, F.col("n"))
-    names = ["lowest", "q1", "median", "q3", "highest"]
-    return (
-        counted.groupBy("rating")
-        .agg(quartiles.alias("_q"), F.sum("n").alias("n_products"))
-        .select(
-            "rating", "n_products", *[F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(names)]
-        )
+        F.col("sentiment_mean").alias("value"),
+        F.floor(F.col("sentiment_mean") * cells).alias("cell"),
+    ).where(F.col("value").isNotNull())
+    counts = settle(rated.groupBy("rating", "cell").agg(F.count("*").alias("n")), "box-cells")
+    upto = F.sum("n").over(Window.partitionBy("rating").orderBy("cell"))
+    placed = counts.select("rating", "cell", (upto - F.col("n")).alias("start"), upto.alias("end"))
+    sizes = counts.groupBy("rating").agg(F.sum("n").alias("n_products"))
+    at = (F.col("n_products") - 1) * F.col("share")
+    shares = F.array(*[F.struct(F.lit(q).alias("share"), F.lit(n).alias("name")) for q, n in QUARTILES.items()])
+    wanted = sizes.select("rating", "n_products", F.inline(shares)).select(
+        "rating", "n_products", "name", at.alias("at"),
+        F.explode(F.array_distinct(F.array(F.floor(at), F.ceil(at)))).alias("index"),
+    )
+    spots = wanted.join(placed, "rating").where("index >= start AND index < end")
+    spots = settle(spots, "box-spots")
+    cellmates = rated.join(spots.select("rating", "cell").distinct(), ["rating", "cell"])
+    values = cellmates.groupBy("rating", "cell", "value").agg(F.count("*").alias("n"))
+    last = F.sum("n").over(Window.partitionBy("rating", "cell").orderBy("value"))
+    ranked = values.select("rating", "cell", "value", (last - F.col("n")).alias("low"), last.alias("high"))
+    inside = F.col("index") - F.col("start")
+    found = spots.join(ranked, ["rating", "cell"]).where((inside >= F.col("low")) & (inside < F.col("high")))
+    near = F.when(F.floor("at") == F.ceil("at"), 1.0).otherwise(F.lit(1.0) - F.abs(F.col("at") - F.col("index")))
+    part = F.col("value") * near
+    return found.groupBy("rating").agg(
+        F.first("n_products").alias("n_products"),
+        *[F.sum(F.when(F.col("name") == n, part)).alias(n) for n in QUARTILES.values()],
     )
 
 

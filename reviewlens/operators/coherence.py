@@ -17,18 +17,20 @@ WINDOW = 110
 EPSILON = 1e-12
 
 
-# A token and pair of every review that stands for its windows as a whole.
+# Stands for all windows in place of a pair of terms.
 EVERY = ""
 
 
-def _ranges(words: Column, window: int) -> Column:
-    """Window starts that hold each word, as ``array<struct<term, start, end>>``.
+def _last_start(words: Column, window: int) -> Column:
+    """The last window start of a text; a short text is one window."""
+    return F.greatest(F.lit(0), F.size(words) - window)
 
-    The closing entry covers all windows of the review; a short text is one window.
-    """
+
+def _ranges(words: Column, window: int) -> Column:
+    """Window starts that hold each word, as ``array<struct<term, start, end>>``."""
 
     def spans(w: Column) -> Column:
-        last = F.greatest(F.lit(0), F.size(w) - window)
+        last = _last_start(w, window)
 
         def one(word: Column, pos: Column) -> Column:
             start = F.greatest(F.lit(0), pos - (window - 1))
@@ -36,10 +38,7 @@ def _ranges(words: Column, window: int) -> Column:
                 word.alias("term"), start.alias("start"), F.least(pos, last).alias("end")
             )
 
-        every = F.struct(
-            F.lit(EVERY).alias("term"), F.lit(0).alias("start"), last.alias("end")
-        )
-        return F.concat(F.transform(w, one), F.array(every))
+        return F.transform(w, one)
 
     return text.bind(words, spans)
 
@@ -56,12 +55,12 @@ def pair_counts(
     The windows around one occurrence are a range of start positions, so a term covers a few
     merged ranges per review. Two terms share ``|A| + |B| - |A or B|`` windows, and all three
     lengths come from ordered ranges. Only occurrences of listed terms are shuffled, once, by
-    review; the sums per pair are partial before their own shuffle. A pair of a term with
-    itself counts the term, the pair of ``EVERY`` all windows.
+    review; the sums per pair are partial before their own shuffle. The tables of pairs and
+    terms have the topics' size and are settled, so that their true size decides the joins. A
+    pair of a term with itself counts the term; the pair of ``EVERY`` is the sum of all windows.
     """
-    every = pairs.select(*keys, F.lit(EVERY).alias("a"), F.lit(EVERY).alias("b")).distinct()
     number = F.monotonically_increasing_id()
-    numbered = settle(pairs.unionByName(every).withColumn("pair", number), "term-pairs")
+    numbered = settle(pairs.withColumn("pair", number), "term-pairs")
     either = F.explode(F.array_distinct(F.array("a", "b"))).alias("term")
     listed = settle(
         numbered.select(*keys, either).distinct().withColumn("word", number), "pair-terms"
@@ -83,6 +82,7 @@ def pair_counts(
         .join(listed, [*keys, "term"])
         .select("word", "pair", "same")
     )
+    sides = settle(sides, "pair-sides")
     before = Window.partitionBy("Id", "pair").orderBy("start", "end")
     before = before.rowsBetween(Window.unboundedPreceding, -1)
     reach = F.coalesce(F.max("end").over(before), F.lit(-1))
@@ -91,7 +91,11 @@ def pair_counts(
     own = F.col("end") - F.col("start") + 1
     both = F.when(F.col("same"), own).otherwise(own - F.col("_added"))
     sums = covered.groupBy("pair").agg(F.sum(both.cast("bigint")).alias("n_both"))
-    return sums.join(numbered, "pair").select(*keys, "a", "b", "n_both")
+    counted = sums.join(numbered, "pair").select(*keys, "a", "b", "n_both")
+    windows = _last_start(text.words(F.col(text_col)), window).cast("bigint") + 1
+    totals = df.groupBy(*keys).agg(F.sum(windows).alias("n_both")).where("n_both IS NOT NULL")
+    every = totals.select(*keys, F.lit(EVERY).alias("a"), F.lit(EVERY).alias("b"), "n_both")
+    return counted.unionByName(every)
 
 
 def coherence(

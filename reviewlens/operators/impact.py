@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.functions import dates
-from reviewlens.functions.numbers import correlation, effect_columns
+from reviewlens.functions.numbers import correlation, effect_columns, three_digits
 
 # The bands whose effect is measured.
 LENGTH_BAND = (2000, 5000)
@@ -16,11 +16,11 @@ SENTIMENT_BAND = (0.2, 0.4)
 def category_performance(df: DataFrame, category: str = "predicted_category") -> DataFrame:
     """Per category: ratio and sentiment with deviations, ratings, to three digits."""
     return df.groupBy(F.col(category).alias("category")).agg(
-        F.round(F.avg("helpfulness_ratio"), 3).alias("helpfulness_mean"),
-        F.round(F.stddev_samp("helpfulness_ratio"), 3).alias("helpfulness_std"),
-        F.round(F.avg("sentiment_score"), 3).alias("sentiment_mean"),
-        F.round(F.stddev_samp("sentiment_score"), 3).alias("sentiment_std"),
-        F.round(F.avg("Score"), 3).alias("score_mean"),
+        three_digits(F.avg("helpfulness_ratio")).alias("helpfulness_mean"),
+        three_digits(F.stddev_samp("helpfulness_ratio")).alias("helpfulness_std"),
+        three_digits(F.avg("sentiment_score")).alias("sentiment_mean"),
+        three_digits(F.stddev_samp("sentiment_score")).alias("sentiment_std"),
+        three_digits(F.avg("Score")).alias("score_mean"),
         F.count("Score").alias("score_count"),
     )
 
@@ -29,9 +29,9 @@ def category_month(df: DataFrame, category: str = "predicted_category") -> DataF
     """Per category and month, to three digits."""
     month = dates.month_start(F.col("Time")).alias("month")
     return df.groupBy(F.col(category).alias("category"), month).agg(
-        F.round(F.avg("helpfulness_ratio"), 3).alias("helpfulness_mean"),
-        F.round(F.avg("sentiment_score"), 3).alias("sentiment_mean"),
-        F.round(F.avg("Score"), 3).alias("score_mean"),
+        three_digits(F.avg("helpfulness_ratio")).alias("helpfulness_mean"),
+        three_digits(F.avg("sentiment_score")).alias("sentiment_mean"),
+        three_digits(F.avg("Score")).alias("score_mean"),
         F.count("Score").alias("score_count"),
     )
 

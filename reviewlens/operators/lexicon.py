@@ -11,7 +11,7 @@ from reviewlens.functions import text
 
 
 def _neighbours(words: Column) -> Column:
-    """Each word with the two before it, closed by one empty word that every review has."""
+    """Each word with the two before it."""
 
     def around(w: Column) -> Column:
         def one(x: Column, i: Column) -> Column:
@@ -21,7 +21,7 @@ def _neighbours(words: Column) -> Column:
 
         return F.transform(w, one)
 
-    return text.bind(F.concat(words, F.array(F.lit(""))), around)
+    return text.bind(words, around)
 
 
 def lexicon_sentiment(
@@ -36,18 +36,14 @@ def lexicon_sentiment(
     A hit counts its polarity, times the factor of an intensifier just before it, times the
     factor of a negator one or two words before it (the nearer one). The score is the mean
     over hits, held within [-1, 1]; a review without a hit scores 0. Subjectivity is the plain
-    mean. Words meet the lexicon where they are; what is shuffled is one row per review.
+    mean. Words meet the lexicon where they are; what is shuffled is one row per review. Every
+    review adds one empty hit after the join, so that none is lost and no word is common to all.
     ``keep`` carries narrow columns through, which saves joining them back.
     """
     pieces = df.select(
         "Id", *keep, F.inline(_neighbours(text.words(F.col(text_col))))
     )
-    no_word = lexicon.sparkSession.range(1).select(
-        F.lit("").alias("word"),
-        F.lit(None).cast("double").alias("polarity"),
-        F.lit(None).cast("double").alias("subjectivity"),
-    )
-    entries = lexicon.select("word", "polarity", "subjectivity").unionByName(no_word)
+    entries = lexicon.select("word", "polarity", "subjectivity")
 
     def side(n: int) -> DataFrame:
         return modifiers.select(
@@ -67,8 +63,11 @@ def lexicon_sentiment(
         .when(F.col("kind2") == "negator", F.col("factor2"))
         .otherwise(F.lit(1.0))
     )
-    mean = F.coalesce(F.avg(F.col("polarity") * intensity * negation), F.lit(0.0))
-    return hits.groupBy("Id", *keep).agg(
+    none = F.lit(None).cast("double")
+    weighed = hits.select("Id", *keep, (F.col("polarity") * intensity * negation).alias("polarity"), "subjectivity")
+    every = df.select("Id", *keep, none.alias("polarity"), none.alias("subjectivity"))
+    mean = F.coalesce(F.avg("polarity"), F.lit(0.0))
+    return weighed.unionByName(every).groupBy("Id", *keep).agg(
         F.greatest(F.lit(-1.0), F.least(F.lit(1.0), mean)).alias("sentiment_score"),
         F.coalesce(F.avg("subjectivity"), F.lit(0.0)).alias("subjectivity_score"),
     )

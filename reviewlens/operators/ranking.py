@@ -63,38 +63,34 @@ def sample_reviews(df: DataFrame, n: int, keys: Sequence[str] = (), digits: int
     """Exactly ``n`` reviews per group (all of a smaller one), the same ones on every run.
 
     The sample is the ``n`` lowest hashes of ``Id``. A histogram over the leading hash digits
-    finds the bucket that holds the n-th row; only that bucket is ranked, on keys alone. The
-    reviews themselves are then filtered against one limit per group and never move.
+    finds the bucket that holds the n-th row, a second one over twice as many digits the bucket
+    inside it; what is left to rank is a group's share of ``16^(2 * digits)``. The limits, one
+    row per group, are settled while the result is built. The reviews themselves are then
+    filtered against them and never move.
     """
     keys = list(keys)
-    ids = df.select(
-        *keys, "Id", _order_hash().alias("_h"), F.substring(_order_hash(), 1, digits).alias("_b")
-    ).withColumn("_all", F.lit(0))
-    group = ["_all", *keys]
-    counts = ids.groupBy(*group, "_b").agg(F.count("*").alias("_n"))
-    running = Window.partitionBy(*group).orderBy("_b")
-    cut = (
-        counts.withColumn("_upto", F.sum("_n").over(running))
-        .where((F.col("_upto") >= n) & (F.col("_upto") - F.col("_n") < n))
-        .select(*group, "_b", (F.lit(n) - F.col("_upto") + F.col("_n")).alias("_take"))
-    )
-    in_bucket = Window.partitionBy(*group).orderBy("_h", "Id")
+    ids = df.select(*keys, "Id", _order_hash().alias("_h"))
+    inside = ids.withColumn("_take", F.lit(n).cast("bigint"))
+    for length in (digits, 2 * digits):
+        prefix = F.substring("_h", 1, length).alias("_b")
+        counts = inside.groupBy(*keys, "_take", prefix).agg(F.count("*").alias("_n"))
+        upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_b"))
+        cut = (
+            counts.withColumn("_upto", upto)
+            .where((F.col("_upto") >= F.col("_take")) & (F.col("_upto") - F.col("_n") < F.col("_take")))
+            .select(*keys, "_b", (F.col("_take") - F.col("_upto") + F.col("_n")).alias("_take"))
+        )
+        cut = settle(cut, "sample-cut")
+        inside = ids.withColumn("_b", F.substring("_h", 1, length)).join(cut, [*keys, "_b"]).drop("_b")
+    in_bucket = Window.partitionBy(*keys).orderBy("_h", "Id")
     limits = (
-        ids.join(cut, [*group, "_b"])
-        .withColumn("_rank", F.row_number().over(in_bucket))
+        inside.withColumn("_rank", F.row_number().over(in_bucket))
         .where(F.col("_rank") == F.col("_take"))
-        .select(*keys, F.col("_h").alias("_last_h"), F.col("Id").alias("_last_id"))
+        .select(*keys, F.struct(F.col("_h").alias("h"), F.col("Id").alias("i")).alias("_last"))
     )
+    limits = settle(limits, "sample-limits")
     within = F.struct(_order_hash().alias("h"), F.col("Id").alias("i"))
     if not keys:
-        last = limits.first()
-        if last is None:
-            return df
-        return df.where(within <= F.struct(F.lit(last["_last_h"]).alias("h"), F.lit(last["_last_id"]).alias("i")))
-    limits = settle(limits, "sample-limits")
-    limit = F.struct(F.col("_last_h").alias("h"), F.col("_last_id").alias("i"))
-    return (
-        df.join(limits, keys, "left")
-        .where(F.col("_last_h").isNull() | (within <= limit))
-        .drop("_last_h", "_last_id")
-    )
+        return df.where(F.coalesce(within <= limits.select("_last").scalar(), F.lit(True)))
+    kept = df.join(limits, keys, "left").where(F.col("_last").isNull() | (within <= F.col("_last")))
+    return kept.drop("_last")

@@ -56,14 +56,17 @@ def _tokens(df: DataFrame) -> DataFrame:
 def fit_sentiment(
     df: DataFrame, sample: int | None = SAMPLE, n_features: int = 1 << 16, max_iter: int = 20
 ) -> SentimentModel:
-    """Train on the training part of up to ``sample`` reviews; None takes all."""
+    """Train on the training part of up to ``sample`` reviews; None takes all.
+
+    Terms are hashed into ``n_features`` columns, so that two may share one; all terms count.
+    """
     chosen = df if sample is None else sample_reviews(df, sample)
     train = labelled(chosen).where((F.col("split") == "train") & F.col("sentiment_label").isNotNull())
     counts = HashingTF(numFeatures=n_features, inputCol="_tokens", outputCol="_tf")
     hashed = counts.transform(_tokens(train)).select("_tf", "sentiment_label")
     hashed = hashed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        idf = IDF(inputCol="_tf", outputCol="_tfidf", minDocFreq=2).fit(hashed)
+        idf = IDF(inputCol="_tf", outputCol="_tfidf", minDocFreq=0).fit(hashed)
         scale = Normalizer(p=2.0, inputCol="_tfidf", outputCol="features")
         learner = LogisticRegression(
             labelCol="sentiment_label", family="multinomial", maxIter=max_iter, regParam=0.01
@@ -74,13 +77,16 @@ def fit_sentiment(
     return SentimentModel(PipelineModel([counts, idf, scale]), fitted)
 
 
-def score_sentiment(model: SentimentModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """``Id, *keep, sentiment_label, split, prediction, sentiment_score``, row by row."""
+def score_sentiment(
+    model: SentimentModel, df: DataFrame, keep: Sequence[str] = (), probabilities: bool = False
+) -> DataFrame:
+    """``Id, *keep, sentiment_label, split, prediction, sentiment_score``, row by row; and the
+    array ``probabilities`` of the three classes if asked for."""
     scored = model.classifier.transform(model.features.transform(_tokens(labelled(df))))
-    score = score_from_probabilities(vector_to_array("probability")).alias("sentiment_score")
-    return scored.select(
-        "Id", *keep, "sentiment_label", "split", F.col("prediction"), score
-    )
+    shares = vector_to_array("probability")
+    score = score_from_probabilities(shares).alias("sentiment_score")
+    more = [shares.alias("probabilities")] if probabilities else []
+    return scored.select("Id", *keep, "sentiment_label", "split", F.col("prediction"), score, *more)
 
 
 def evaluate_sentiment(scored: DataFrame) -> dict[str, float]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import math
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
@@ -20,37 +20,38 @@ from reviewlens.operators.coherence import coherence
 from reviewlens.operators.ranking import first_per_group, sample_reviews
 from reviewlens.operators.terms import tfidf_vectors
 
-# Sizes tried, passes over the data, mini-batch, and learning offset.
+# Sizes tried, passes over the data, and learning offset.
 TOPIC_COUNTS = (5, 10, 15)
 PASSES = 20
-BATCH = 4096
 OFFSET = 50.0
 
 
 @dataclass
 class TopicModel:
-    """One fitted model of one category; ``terms`` is its vocabulary in column order."""
+    """One model of one category; ``terms`` is its vocabulary in column order.
+
+    ``model`` is None if the fit failed; such a model scores 0 in ``coherence_sweep``.
+    """
 
     category: str
     k: int
-    model: LDAModel
+    model: LDAModel | None
     terms: list[str]
 
 
 def fit_lda(
-    vectors: DataFrame, k: int, passes: int = PASSES, batches_per_pass: int = 16, seed: int = 42
+    vectors: DataFrame, k: int, passes: int = PASSES, share: float = 1.0, seed: int = 42
 ) -> LDAModel:
-    """Online LDA over ``features``: ``passes`` sweeps in mini-batches.
+    """Online LDA over ``features``, in ``passes / share`` updates whatever the number of reviews.
 
-    A batch holds 4096 reviews, or more once that would cut a sweep into over
-    ``batches_per_pass`` parts, so the number of jobs does not grow with the data.
+    Every update draws ``share`` of the reviews at random, with replacement. At the default
+    of 20 updates of full size, a review is in none of them with probability e^-20.
     """
-    batches = max(1, min(batches_per_pass, math.ceil(vectors.count() / BATCH)))
     learner = LDA(
         k=k,
         optimizer="online",
-        maxIter=passes * batches,
-        subsamplingRate=1.0 / batches,
+        maxIter=round(passes / share),
+        subsamplingRate=share,
         learningOffset=OFFSET,
         learningDecay=0.7,
         seed=seed,
@@ -83,11 +84,22 @@ def fit_topics(
     column: str = "predicted_category",
     passes: int = PASSES,
 ) -> list[TopicModel]:
-    """Models of one category, one per topic count, over its TF-IDF vectors."""
+    """Models of one category, one per topic count, over its TF-IDF vectors.
+
+    A fit that fails is logged, and its model is None.
+    """
     vectors, terms = document_vectors(df, vocab, category, column)
     vectors = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit(k: int) -> LDAModel | None:
+        try:
+            return fit_lda(vectors, k, passes)
+        except Exception:  # one size that cannot be fitted does not end the others
+            logging.getLogger(__name__).exception("no model of %s topics for %s", k, category)
+            return None
+
     try:
-        return [TopicModel(category, k, fit_lda(vectors, k, passes), terms) for k in counts]
+        return [TopicModel(category, k, fit(k), terms) for k in counts]
     finally:
         vectors.unpersist()
 
@@ -134,6 +146,7 @@ def topic_terms(spark: SparkSession, models: Sequence[TopicModel], n: int = 10)
     rows = [
         (m.category, m.k, topic["topic"], rank, m.terms[index], float(weight))
         for m in models
+        if m.model is not None
         for topic in m.model.describeTopics(n).collect()
         for rank, (index, weight) in enumerate(zip(topic["termIndices"], topic["termWeights"]), 1)
     ]
@@ -189,14 +202,20 @@ def coherence_sweep(
     models: Sequence[TopicModel],
     column: str = "predicted_category",
     n_terms: int = 20,
-    sample: int | None = 10_000,
+    sample: int | None = None,
 ) -> DataFrame:
     """``category, k, coherence`` of fitted models, scored in one pass over the texts.
 
-    ``sample`` bounds the reviews read per category; None reads all.
+    A failed model scores 0. All reviews are read, or an exact sample of ``sample`` per category.
     """
     ranked = topic_terms(df.sparkSession, models, n_terms)
     reviews = df.select(F.col(column).alias("category"), "Id", "clean_text")
     if sample is not None:
         reviews = sample_reviews(reviews, sample, ["category"])
-    return model_coherence(coherence(reviews, ranked, ["category"], ["k"]))
+    scores = model_coherence(coherence(reviews, ranked, ["category"], ["k"]))
+    failed = [(m.category, m.k, 0.0) for m in models if m.model is None]
+    if not failed:
+        return scores
+    return scores.unionByName(
+        df.sparkSession.createDataFrame(failed, "category string, k int, coherence double")
+    )

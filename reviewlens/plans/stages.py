@@ -27,7 +27,8 @@ from reviewlens.operators import (
     terms,
     topics,
 )
-from reviewlens.session import settle
+from reviewlens.schema import require_key
+from reviewlens.session import release, settle, settled_count
 from reviewlens.sources import models as model_files
 from reviewlens.sources import reviews, snapshots, tables
 
@@ -75,10 +76,13 @@ def process_reviews(
 ) -> dict[str, DataFrame]:
     """Clean, score, classify and write the reviews, then their TF-IDF tables.
 
-    Sentiment and category come out as one narrow row per review, both partitioned by ``Id``;
-    the reviews themselves are shuffled once, to join them.
+    The raw reviews are written once, typed, and read from there; each must have an ``Id`` of
+    its own. Sentiment and category come out as one narrow row per review, both partitioned by
+    ``Id``; the reviews themselves are shuffled once, to join them.
     """
-    spark = raw.sparkSession
+    spark, mark = raw.sparkSession, settled_count()
+    raw = settle(raw, "raw-reviews")
+    require_key(raw, "Id")
     prepared = prepare.prepare_reviews(prepare.epoch_time(raw))
     training = categories.synthetic_training(
         params.keywords, params.negatives, negatives_per_sample=negatives_per_sample
@@ -100,7 +104,9 @@ def process_reviews(
         "category_distribution": categories.category_distribution(done, "category"),
         "quality_report": prepare.quality_report(done),
     }
-    return _write(found, root, run_ts)
+    found = _write(found, root, run_ts)
+    release(spark, mark)
+    return found
 
 
 def model_topics(
@@ -109,19 +115,24 @@ def model_topics(
     run_ts: str,
     counts: Sequence[int] = topics.TOPIC_COUNTS,
     passes: int = topics.PASSES,
-    sample: int | None = 10_000,
+    sample: int | None = None,
     parallelism: int = 4,
 ) -> dict[str, DataFrame]:
-    """Fit every topic count per category, keep the most coherent model of each."""
+    """Fit every topic count per category, keep the most coherent model of each.
+
+    Coherence reads all reviews unless ``sample`` bounds them per category.
+    """
+    mark = settled_count()
     reviews_by = load_processed(spark, root).withColumnRenamed(CATEGORY, "category")
     _, vocab = tables.load_features(spark, root)
     models = topics.fit_all_topics(reviews_by, vocab, counts, "category", passes, parallelism)
     scores = settle(topics.coherence_sweep(reviews_by, models, "category", sample=sample), "scores")
     best = {r["category"]: r["k"] for r in topics.best_k(scores).collect()}
-    chosen = [m for m in models if best.get(m.category) == m.k]
+    chosen = [m for m in models if best.get(m.category) == m.k and m.model is not None]
     shares, fit = None, []
     for model in chosen:
         vectors, _ = topics.document_vectors(reviews_by, vocab, model.category, "category")
+        vectors = settle(vectors.select("Id", "sentiment_score", "features"), "topic-vectors")
         fit.append((model.category, model.k, topics.perplexity(model, vectors)))
         part = topics.document_topics(model, vectors, ["sentiment_score"])
         shares = part if shares is None else shares.unionByName(part)
@@ -146,13 +157,16 @@ def model_topics(
         top_terms="category",
     )
     weighed = topics.long_topics(found["topic_distributions"], ["sentiment_score"])
-    return found | _write({"topic_sentiment": topics.topic_sentiment(weighed)}, root, run_ts)
+    found |= _write({"topic_sentiment": topics.topic_sentiment(weighed)}, root, run_ts)
+    release(spark, mark)
+    return found
 
 
 def analyse_sentiment(
     spark: SparkSession, root: str, run_ts: str, sample: int | None = sentiment_model.SAMPLE
 ) -> dict[str, DataFrame]:
     """Learn sentiment from ratings, score all reviews, and write its trends."""
+    mark = settled_count()
     df = load_processed(spark, root).select("Id", "Text", "Score", "Time", "ProductId")
     model = sentiment_model.fit_sentiment(df, sample)
     scored = settle(
@@ -167,13 +181,16 @@ def analyse_sentiment(
             sorted(quality.items()), "metric string, value double"
         ),
     }
-    return _write(found, root, run_ts)
+    found = _write(found, root, run_ts)
+    release(spark, mark)
+    return found
 
 
 def predict_helpfulness(
     spark: SparkSession, root: str, run_ts: str, n_trees: int = 100
 ) -> dict[str, DataFrame]:
     """Fit the helpfulness model; write its metrics, attributions and product table."""
+    mark = settled_count()
     df = load_processed(spark, root)
     features = helpfulness.feature_table(df)
     names = helpfulness.feature_names(features)
@@ -190,7 +207,9 @@ def predict_helpfulness(
         "feature_importance": attribution.mean_attribution(values, names),
         "product_helpfulness": metrics.product_helpfulness(df),
     }
-    return _write(found, root, run_ts)
+    found = _write(found, root, run_ts)
+    release(spark, mark)
+    return found
 
 
 def analyse_impact(spark: SparkSession, root: str, run_ts: str) -> dict[str, DataFrame]:
@@ -213,7 +232,11 @@ def chart_tables(
     earlier = tables.load_results(
         spark,
         root,
-        ["topic_distributions", "coherence_scores", "feature_importance", "product_sentiment"],
+        [
+            "topic_distributions", "coherence_scores", "feature_importance", "product_sentiment",
+            "temporal_trends", "product_helpfulness",
+        ],
+        {"topic_distributions": "category"},
     )
     found = {
         "chart_ratings": charts.rating_histogram(df),
@@ -235,7 +258,14 @@ def chart_tables(
         )
     if "product_sentiment" in earlier:
         found["chart_sentiment_box"] = charts.sentiment_boxplot(earlier["product_sentiment"])
-    return _write(found, root, run_ts)
+    if "temporal_trends" in earlier:
+        found["chart_trends"] = earlier["temporal_trends"].orderBy("month")
+    if "product_helpfulness" in earlier:
+        found["chart_products"] = earlier["product_helpfulness"]
+    mark = settled_count()
+    found = _write(found, root, run_ts)
+    release(spark, mark)
+    return found
 
 
 def run_all(

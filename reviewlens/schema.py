@@ -1,5 +1,6 @@
 """Column sets of the review tables."""
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RAW_REVIEWS = T.StructType(
@@ -43,3 +44,10 @@ def require(df, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}; the table has {df.columns}")
+
+
+def require_key(df, name: str) -> None:
+    """Fail early when a key column holds NULLs or repeats."""
+    rows, known, distinct = df.agg(F.count("*"), F.count(name), F.count_distinct(name)).first()
+    if known < rows or distinct < known:
+        raise ValueError(f"{name} must be unique: {rows - known} NULLs, {known - distinct} repeats in {rows} rows")

@@ -29,9 +29,11 @@ def load_result(
     return read_run(spark, path, runs[-1], by) if runs else None
 
 
-def load_results(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
-    """All of ``names`` that exist."""
-    found = {name: load_result(spark, root, name) for name in names}
+def load_results(
+    spark: SparkSession, root: str, names: list[str], by: dict[str, str] | None = None
+) -> dict[str, DataFrame]:
+    """All of ``names`` that exist; ``by`` names the columns they are partitioned by."""
+    found = {name: load_result(spark, root, name, (by or {}).get(name)) for name in names}
     return {name: df for name, df in found.items() if df is not None}
 
 
