@@ -223,13 +223,13 @@ def _occurrences(texts: DataFrame, length: int) -> DataFrame:
 
 
 def _fetch(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``wanted`` (``t1, t2, first, size, anchor, digest, often``) with the bytes, as ``raw``."""
-    keys = ["anchor", "digest", "first", "size", "often"]
+    """``wanted`` (``t1, t2, first, size, anchor, digest, often, kinds``) with the bytes, as ``raw``."""
+    keys = ["anchor", "digest", "first", "size", "often", "kinds"]
     by_text = wanted.groupBy("t1", "t2").agg(F.collect_list(F.struct(*keys)).alias("spots"))
     one = texts.dropDuplicates(["t1", "t2"])  # equal texts meet before the shuffle
     spots = one.join(by_text, ["t1", "t2"]).select("raw", F.explode("spots").alias("s"))
     part = F.substring("raw", F.col("s.first").cast("int") + 1, F.col("s.size").cast("int"))
-    return spots.select("s.anchor", "s.digest", "s.often", part.alias("raw"))
+    return spots.select("s.anchor", "s.digest", "s.often", "s.kinds", part.alias("raw"))
 
 
 def _collections(found: DataFrame, length: int, buckets: int) -> DataFrame:
@@ -299,17 +299,18 @@ def repeated_spans(texts: DataFrame, length: int, bucket: int = 2000, crowd: int
     mixed = settle(groups.where("kinds > 1 OR times > 1").select("anchor", "kinds"), "mixed-anchors")
     whole = kinds.where("often").select("anchor", "digest", F.array(F.lit(0).cast("bigint"), F.col("spot.size")).alias("cover"))
     wanted = kinds.join(mixed, "anchor").select("anchor", "digest", "often", "spot.*", "kinds")
-    few, many = wanted.where(F.col("kinds") <= crowd), wanted.where(F.col("kinds") > crowd)
+    found = settle(_fetch(texts, wanted), "piece-bytes")  # the texts move once, for both ways
+    few, many = found.where(F.col("kinds") <= crowd), found.where(F.col("kinds") > crowd)
     n = mixed.where(F.col("kinds") <= crowd).agg(F.sum("kinds")).first()[0] or 0
-    parts = [whole, _collections(_fetch(texts, few), length, max(1, n // bucket))]
+    parts = [whole, _collections(few.drop("kinds"), length, max(1, n // bucket))]
     if not mixed.where(F.col("kinds") > crowd).isEmpty():
-        parts.append(_crowded(_fetch(texts, many), length))
+        parts.append(_crowded(many.drop("kinds"), length))
     cover = parts[0]
     for part in parts[1:]:
         cover = cover.union(part.where(F.size("cover") > 0))
     cover = settle(cover, "covers")
-    found = spots.select(*place).join(cover, ["anchor", "digest"])
-    return found.groupBy("t1", "t2").agg(F.collect_list(F.struct("first", "cover")).alias("spots"))
+    covered = spots.select(*place).join(cover, ["anchor", "digest"])
+    return covered.groupBy("t1", "t2").agg(F.collect_list(F.struct("first", "cover")).alias("spots"))
 
 
 def merged(spots: list[dict]) -> list[list[int]]:
