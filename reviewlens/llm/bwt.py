@@ -10,13 +10,25 @@ round's insertions. A round keeps a position for each string, and the files of t
 from __future__ import annotations
 
 import tempfile
-from pathlib import Path
+from contextlib import ExitStack
 
 import numpy as np
 
 END = 255  # before a whole string; no byte of UTF-8
 
 
+def _write(file, values: np.ndarray) -> None:
+    file.seek(0)
+    file.write(values)
+
+
+def _read(file, n: int) -> np.ndarray:
+    out = np.empty(n, np.uint8)
+    file.seek(0)
+    file.readinto(out)
+    return out
+
+
 def _least(common: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Least value of ``common`` in each range; ranges come in descending order, so that what
     lies between two of them is not read."""
@@ -35,15 +47,14 @@ def transform(strings: list[bytes], most: int) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(b"".join(strings), np.uint8)
     starts = np.cumsum([0] + [len(s) for s in strings[:-1]])
     place = starts + np.array([len(s) for s in strings]) - 1  # of each string's newest symbol
-    with tempfile.TemporaryDirectory() as folder:
-        files = [[Path(folder, f"{kind}{side}") for kind in ("symbols", "common")] for side in (0, 1)]
-        data[place].tofile(files[0][0])
-        np.zeros(m, np.uint8).tofile(files[0][1])
-        where, rounds = np.arange(m), 0
+    with ExitStack() as stack:
+        # the task's own scratch files, overwritten in place and gone with the task
+        old, new = ([stack.enter_context(tempfile.TemporaryFile(buffering=0)) for _ in range(2)] for _ in range(2))
+        _write(old[0], data[place])
+        _write(old[1], np.zeros(m, np.uint8))
+        where, n = np.arange(m), m
         while len(where):
-            old, new = files[rounds % 2], files[1 - rounds % 2]
-            symbols, common = np.fromfile(old[0], np.uint8), np.fromfile(old[1], np.uint8)
-            n = len(symbols)
+            symbols, common = _read(old[0], n), _read(old[1], n)
             by_symbol = np.argsort(symbols, kind="stable")
             rank = np.empty(n, np.int64)
             rank[by_symbol] = np.arange(n)
@@ -73,14 +84,14 @@ def transform(strings: list[bytes], most: int) -> tuple[np.ndarray, np.ndarray]:
             grown = np.empty(n + len(spot), np.uint8)
             grown[stay] = symbols
             grown[spot] = np.where(inside, data[place], END)
-            grown.tofile(new[0])
+            _write(new[0], grown)
             grown[stay] = common
             grown[spot] = shared
             grown[spot[has_after] + 1] = shared_after[has_after]
-            grown.tofile(new[1])
-            where, place, starts, rounds = spot[inside], place[inside], starts[inside], rounds + 1
-        last = files[rounds % 2]
-        return np.fromfile(last[0], np.uint8), np.fromfile(last[1], np.uint8)
+            _write(new[1], grown)
+            where, place, starts, n = spot[inside], place[inside], starts[inside], len(grown)
+            old, new = new, old
+        return _read(old[0], n), _read(old[1], n)
 
 
 def repeated(strings: list[bytes], length: int) -> list[np.ndarray]:
