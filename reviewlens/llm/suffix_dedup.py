@@ -194,30 +194,41 @@ def _texts(docs: DataFrame, text: str, *keep: str) -> DataFrame:
     return docs.select(*keep, F.xxhash64(body).alias("t1"), F.xxhash64(F.lit(7), body).alias("t2"), body.alias("raw"))
 
 
+def _distinct(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """A batch's different texts, the row of each, and how many rows have it."""
+    found: dict[bytes, list[int]] = {}
+    for i, raw in enumerate(batch.column("raw").to_pylist()):
+        found.setdefault(raw, [i, 0])[1] += 1
+    rows = np.array(list(found.values()))
+    return list(found), rows[:, 0], rows[:, 1]
+
+
 def _scan(texts: DataFrame, length: int) -> DataFrame:
-    """``anchor, times`` summed within a batch."""
+    """``anchor, times`` of every piece; equal texts of a batch are scanned once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for parts in slices(batch.column("raw").to_pylist(), length):
-                _, _, _, anchor, times, _ = pieces(parts, length, False)
-                yield pa.RecordBatch.from_pydict({"anchor": anchor, "times": times})
+        for batch in filter(len, batches):
+            different, _, copies = _distinct(batch)
+            for parts in slices(different, length):
+                number, _, _, anchor, times, _ = pieces(parts, length, False)
+                yield pa.RecordBatch.from_pydict({"anchor": anchor, "times": times * copies[number]})
 
     long = texts.where(F.octet_length("raw") >= length).select("raw")
     return long.mapInArrow(run, "anchor bigint, times bigint")
 
 
 def _occurrences(texts: DataFrame, length: int) -> DataFrame:
-    """``t1, t2, first, size, anchor, digest, times`` of every piece of every row."""
-    schema = "t1 bigint, t2 bigint, first bigint, size bigint, anchor bigint, digest bigint, times bigint"
+    """``t1, t2, first, size, anchor, digest, times, n`` of every piece; ``n`` rows of a batch have it."""
+    schema = "t1 bigint, t2 bigint, first bigint, size bigint, anchor bigint, digest bigint, times bigint, n bigint"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            t1, t2 = (np.asarray(batch.column(c)) for c in ("t1", "t2"))
-            for parts in slices(batch.column("raw").to_pylist(), length):
+        for batch in filter(len, batches):
+            different, rows, copies = _distinct(batch)
+            t1, t2 = (np.asarray(batch.column(c))[rows] for c in ("t1", "t2"))
+            for parts in slices(different, length):
                 number, at, size, anchor, times, digest = pieces(parts, length, True)
-                columns = {"t1": t1[number], "t2": t2[number], "first": at, "size": size}
-                yield pa.RecordBatch.from_pydict(columns | {"anchor": anchor, "digest": digest, "times": times})
+                columns = {"t1": t1[number], "t2": t2[number], "first": at, "size": size, "anchor": anchor}
+                yield pa.RecordBatch.from_pydict(columns | {"digest": digest, "times": times, "n": copies[number]})
 
     return texts.where(F.octet_length("raw") >= length).mapInArrow(run, schema)
 
@@ -286,7 +297,7 @@ def repeated_spans(texts: DataFrame, length: int, bucket: int = 2000, crowd: int
     shared = _scan(texts, length).groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1").select("anchor")
     rows = _occurrences(texts, length).join(settle(shared, "anchors"), "anchor")
     place = ["t1", "t2", "first", "size", "anchor", "digest"]
-    spots = settle(rows.groupBy(*place).agg(F.count("*").alias("n"), F.max("times").alias("times")), "pieces")
+    spots = settle(rows.groupBy(*place).agg(F.sum("n").alias("n"), F.max("times").alias("times")), "pieces")
 
     own = ["t1", "t2", "first", "size"]
     kinds = settle(
