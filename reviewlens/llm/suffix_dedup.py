@@ -296,8 +296,9 @@ def repeated_spans(texts: DataFrame, length: int, bucket: int = 2000, crowd: int
     """``t1, t2, spots`` of the texts that lose bytes: first bytes of pieces, and what is covered there."""
     shared = _scan(texts, length).groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1").select("anchor")
     rows = _occurrences(texts, length).join(settle(shared, "anchors"), "anchor")
-    place = ["t1", "t2", "first", "size", "anchor", "digest"]
-    spots = settle(rows.groupBy(*place).agg(F.sum("n").alias("n"), F.max("times").alias("times")), "pieces")
+    # by place only, not by anchor: a join by a hot anchor can then be split, as no sum relies on it
+    same = [F.first(c).alias(c) for c in ("size", "anchor", "digest", "times")]
+    spots = settle(rows.groupBy("t1", "t2", "first").agg(F.sum("n").alias("n"), *same), "pieces")
 
     own = ["t1", "t2", "first", "size"]
     kinds = settle(
@@ -320,7 +321,7 @@ def repeated_spans(texts: DataFrame, length: int, bucket: int = 2000, crowd: int
     for part in parts[1:]:
         cover = cover.union(part.where(F.size("cover") > 0))
     cover = settle(cover, "covers")
-    covered = spots.select(*place).join(cover, ["anchor", "digest"])
+    covered = spots.select("t1", "t2", "first", "anchor", "digest").join(cover, ["anchor", "digest"])
     return covered.groupBy("t1", "t2").agg(F.collect_list(F.struct("first", "cover")).alias("spots"))
 
 
