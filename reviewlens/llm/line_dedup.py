@@ -79,7 +79,8 @@ def without_repeats(docs: DataFrame, lines: int = 4, id: str = "doc_id", text: s
     """``<id>, n_lines, n_chunks, n_removed, n_lines_removed, <text>`` per row, the text as it is left."""
     gone = removals(docs, lines, id, text).withColumnsRenamed({"id": "of", "h": "of_h"})
     rows = chunked(docs, lines, id, text)
-    joined = rows.join(gone, F.col("id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h")), "left")
+    # the texts move by document, however small the other side is: the same plan at every size
+    joined = rows.join(gone.hint("merge"), F.col("id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h")), "left")
     numbers = F.sequence(F.lit(0), F.size("lasts") - 1)
     kept = F.filter(numbers, lambda i: ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
     spans = F.transform(kept, lambda i: F.struct(F.get("firsts", i).alias("a"), F.get("lasts", i).alias("b")))
