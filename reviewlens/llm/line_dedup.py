@@ -71,6 +71,7 @@ def removals(docs: DataFrame, lines: int, id: str, text: str) -> DataFrame:
     candidates = settle(chunks.join(repeated, "chunk_hash"), "chunks")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "h", "number")
     firsts = candidates.groupBy("chunk_hash", "chunk").agg(F.min(place).alias("first"))
+    firsts = settle(firsts, "chunk-firsts")  # a join of two stored tables can be split at a hot chunk
     spare = candidates.join(firsts, ["chunk_hash", "chunk"]).where(place != F.col("first"))
     return settle(spare.groupBy("id", "h").agg(F.collect_set("number").alias("gone")), "chunks-gone")
 
