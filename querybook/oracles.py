@@ -374,6 +374,15 @@ FROM reviews WHERE {SPLIT} = 'test' AND Score IS NOT NULL"""
         f"SELECT count(*) AS n_test, true AS mse_is_of_rows FROM reviews WHERE {SPLIT} = 'test'"
     ),
     "shap_importance": base("SELECT Id, true AS adds_up FROM reviews"),
+    "feature_ranking": f"SELECT unnest({NAMES}) AS feature, true AS in_order",
+    "result_tables": scored(
+        f"""SELECT unnest(['category_performance', 'category_metrics', 'recommendations']) AS name,
+  (SELECT count(DISTINCT category) FROM scored) AS n_rows
+UNION ALL SELECT 'category_month', count(*) FROM (SELECT DISTINCT category, {MONTH} FROM scored)
+UNION ALL SELECT 'length_effect', 1
+UNION ALL SELECT 'sentiment_effect', count(DISTINCT category) FROM scored
+  WHERE sentiment_score BETWEEN 0.2e0 AND 0.4e0"""
+    ),
     "lda_topics": base(
         """SELECT category, 5 AS k, topic::INT AS topic, rnk::INT AS rnk, true AS is_sound
 FROM (SELECT DISTINCT category FROM reviews) c CROSS JOIN range(5) t(topic) CROSS JOIN range(1, 11) r(rnk)"""
@@ -440,6 +449,12 @@ FROM scored JOIN doc_topics USING (Id) GROUP BY topic""",
     ORDER BY coherence DESC, k) AS rn FROM k_scores) WHERE rn = 1""",
         *coherence_ctes("category"),
         f"""k_scores AS (SELECT category, k::INT AS k, {r6('avg(coherence)')} AS coherence
+  FROM topic_scores JOIN range(1, 5) t(k) ON topic < k GROUP BY category, k)""",
+    ),
+    "coherence_by_k": prepared(
+        f"SELECT k AS n_topics, {r6('avg(coherence)')} AS coherence_score FROM k_scores GROUP BY k",
+        *coherence_ctes("category"),
+        f"""k_scores AS (SELECT category, k::INT AS k, {r6('avg(coherence)')} AS coherence
   FROM topic_scores JOIN range(1, 5) t(k) ON topic < k GROUP BY category, k)""",
     ),
     "read_reviews_csv": prepared(

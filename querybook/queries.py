@@ -382,6 +382,16 @@ def shap_importance(spark: SparkSession, sf: str) -> DataFrame:
     return told.select("Id", (F.abs(total - F.col("prediction")) < 1e-6).alias("adds_up"))
 
 
+def feature_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    """The features in order of importance: whether each is above zero and none above the one before."""
+    model, scaled = _fitted(spark, sf)
+    ranked = attribution.mean_attribution(attribution.shap_values(model, scaled), FEATURES)
+    top = charts.top_rows(ranked, "importance", "feature")
+    before = F.lag("importance").over(Window.orderBy(F.desc("importance"), "feature"))  # ten rows at most
+    sound = (F.col("importance") >= 0) & F.coalesce(before >= F.col("importance"), F.lit(True))
+    return top.select("feature", sound.alias("in_order"))
+
+
 # -- samples -----------------------------------------------------------------
 
 
@@ -464,6 +474,11 @@ def best_k(spark: SparkSession, sf: str) -> DataFrame:
     return topics.best_k(rounded, [CAT])
 
 
+def coherence_by_k(spark: SparkSession, sf: str) -> DataFrame:
+    rounded = _k_scores(spark, sf).withColumn("coherence", F.round("coherence", 6))
+    return r6(charts.coherence_chart(rounded))
+
+
 def _topic_input(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     df = settle(fx.prepared(spark, sf).select("Id", CAT, "clean_text"), "topic-reviews", CAT)
     tokens = text.terms(F.col("clean_text"))
@@ -524,6 +539,19 @@ def read_reviews_csv(spark: SparkSession, sf: str) -> DataFrame:
     return prepare.fill_text(review_files.read_reviews(spark, path))
 
 
+def result_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """All impact tables written, loaded with a name that no stage has written, and counted."""
+    df = settle(fx.scored(spark, sf, CAT, "helpfulness_ratio", "Score", "Time", "text_length"), "scored")
+    made, root = impact.impact_tables(df, CAT), scratch_path(spark, "impact")
+    tables.write_results(made, root, "20260101_000000")
+    found = tables.load_results(spark, root, [*made, "never_written"])
+    parts = [t.agg(F.lit(name).alias("name"), F.count("*").alias("n_rows")) for name, t in found.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def pruned_scan(spark: SparkSession, sf: str) -> DataFrame:
     df = review_files.pruned_scan(fx.reviews(spark, sf))
     return df.withColumn("Score", F.col("Score").cast("int"))
@@ -564,9 +592,9 @@ QUERIES = {
         sentiment_boxplot, term_stats, tfidf, stopword_filter, bag_of_words, tf_vectors,
         synthetic_training, nb_model, nb_predict, confidence_threshold, lexicon_sentiment,
         sentiment_classifier, sentiment_quality, feature_table, scaled_features, train_test_split,
-        regression_metrics, helpfulness_model, shap_importance, sample_reviews, coherence_sample,
-        topic_sentiment, topic_prevalence, top_terms, top_terms_load, best_k, lda_topics,
-        document_topics, coherence_sweep, read_reviews_csv, pruned_scan, latest_snapshot,
+        regression_metrics, helpfulness_model, shap_importance, feature_ranking, sample_reviews, coherence_sample,
+        topic_sentiment, topic_prevalence, top_terms, top_terms_load, best_k, coherence_by_k, lda_topics,
+        document_topics, coherence_sweep, read_reviews_csv, result_tables, pruned_scan, latest_snapshot,
         feature_tables_roundtrip,
     )
 }
