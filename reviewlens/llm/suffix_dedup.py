@@ -47,7 +47,7 @@ from reviewlens.session import settle
 
 GRAM = 64
 BLOCK = 16
-SLICE_BITS = 18  # texts are scanned in slices of at most this many bits of bytes
+SLICE_BITS = 15  # texts are scanned in slices of at most 2 to this many bytes, which caches hold
 LONGEST = 200  # starts in a piece
 
 
@@ -57,7 +57,9 @@ def _hashes(data: np.ndarray) -> np.ndarray:
     h ^= h >> np.uint64(29)
     width, power = 1, 0x100000001B3
     while width < GRAM:
-        h = h[:-width] * np.uint64(power) + h[width:]
+        grown = h[:-width] * np.uint64(power)
+        grown += h[width:]
+        h = grown
         width, power = 2 * width, power * power % (1 << 64)
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
