@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -28,9 +28,10 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def row_digest(df: DataFrame):
-    """A hash over all columns: rows with equal values in every column share it."""
-    return F.xxhash64(*(F.struct(F.col(f"`{c}`").isNull(), F.col(f"`{c}`")) for c in df.columns))
+def row_digest(df: DataFrame) -> tuple[Column, Column]:
+    """Two 64-bit hashes over all columns: rows with equal values in every column share them."""
+    values = [F.struct(F.col(f"`{c}`").isNull(), F.col(f"`{c}`")) for c in df.columns]
+    return F.xxhash64(*values), F.xxhash64(F.lit(7), *values)
 
 
 def map_texts(

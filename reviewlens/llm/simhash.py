@@ -131,22 +131,22 @@ def groups(docs: DataFrame, words: int, max_bits: int, segments: int = 3, id: st
 def keep_one(docs: DataFrame, words: int, max_bits: int, segments: int = 3, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group: its smallest id, nulls last; a tie goes to the
     smallest fingerprint and row hash, and rows equal in every column count as one."""
-    own = docs.columns
-    fp, tag = (free_name(docs, n) for n in ("llm_fingerprint", "llm_row"))
-    tagged = with_fingerprint(docs.withColumn(tag, row_digest(docs)), [*own, tag], text, words, fp)
-    narrow = settle(tagged.select(F.col(f"`{id}`").alias("id"), F.col(fp).alias("fp"), F.col(tag).alias("tag")), "simhash-rows")
-    nodes = settle(
-        narrow.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp", "tag")).alias("first")),
-        "simhash-nodes",
-    )
+    own, row = docs.columns, [free_name(docs, "llm_row_a"), free_name(docs, "llm_row_b")]
+    tagged = docs.withColumns(dict(zip(row, row_digest(docs))))
+    prints = with_fingerprint(tagged, [id, *row], text, words, "llm_fp")
+    narrow = [F.col(f"`{id}`").alias("id"), F.col("llm_fp").alias("fp"), *(F.col(c).alias(n) for c, n in zip(row, "ab"))]
+    narrow = settle(prints.select(*narrow), "simhash-rows")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "fp", "a", "b")
+    nodes = settle(narrow.groupBy("fp").agg(F.min(order).alias("first")), "simhash-nodes")
     linked = components(near_fingerprints(nodes.select("fp"), max_bits, segments), "a", "b", "simhash-links")
     first = (
         nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
         .groupBy(F.coalesce("root", "fp").alias("root"))
         .agg(F.min("first").alias("first"))
-        .select(F.col("first.tag").alias(tag), F.col("first.fp").alias(fp))
+        .select(*(F.col(f"first.{n}").alias(c) for c, n in zip(row, "ab")))
     )
-    return tagged.dropDuplicates([tag, fp]).join(first, [tag, fp], "left_semi").select(*(F.col(f"`{c}`") for c in own))
+    # the join finds the rows where the aggregation has put them: the texts move once
+    return tagged.dropDuplicates(row).join(first, row, "left_semi").select(*(F.col(f"`{c}`") for c in own))
 
 
 def op1_simhash(spark, sf: str) -> DataFrame:
