@@ -145,7 +145,12 @@ def hits(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("h.items")))).alias("items"),
     )
     merged = merged.select(key, merge("runs").alias("runs"), "items")
-    joined = rows.join(merged, key, "left").withColumn(key, F.struct(F.coalesce("runs", F.array().cast("array<array<bigint>>")).alias("runs"), F.coalesce("items", F.array().cast("array<bigint>")).alias("items")))
+    found = F.struct(
+        F.coalesce(F.col(f"{key}_found.runs"), F.array().cast("array<array<bigint>>")).alias("runs"),
+        F.coalesce(F.col(f"{key}_found.items"), F.array().cast("array<bigint>")).alias("items"),
+    )
+    boxed = merged.select(key, F.struct("runs", "items").alias(f"{key}_found"))
+    joined = rows.join(boxed, key, "left").withColumn(key, found)
 
     def make():
         return lambda texts, found: [

@@ -148,7 +148,8 @@ def mixed(
     front = F.when(cut_here, F.array_join(F.slice(pieces, F.lit(1), F.col(f"{box}n")), "")).otherwise(F.col(f"`{text}`"))
     made = listed.withColumn(text, front)
     if length in docs.columns:
-        made = made.withColumn(length, F.when(cut_here, F.length(F.col(f"`{text}`"))).otherwise(F.col(f"`{length}`")).cast(docs.schema[length].dataType))
+        chars = F.when(cut_here, F.length(F.col(f"`{text}`"))).otherwise(F.col(f"`{length}`"))
+        made = made.withColumn(length, chars.cast(docs.schema[length].dataType))
     return made.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 

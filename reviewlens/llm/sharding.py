@@ -46,8 +46,9 @@ def sharded(
 
     ``grown_shard`` is the shard with one more shard of weight ``grown``.
     """
-    names = {n: free_name(docs, n) for n in ("size", "text_crc32", "law", "shard", "slot", "grown_shard", "llm_slice", "llm_start", "llm_hash")}
-    size, crc, law, shard, slot, more, part, start, h = names.values()
+    size, crc, law, shard = (free_name(docs, n) for n in ("size", "text_crc32", "law", "shard"))
+    slot, more = (free_name(docs, n) for n in ("slot", "grown_shard"))
+    part, start, h = (free_name(docs, n) for n in ("llm_slice", "llm_start", "llm_hash"))
     body = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
     placed = (
         docs.withColumn(size, F.octet_length(body).cast("bigint") + 16)
