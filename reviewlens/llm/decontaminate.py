@@ -139,7 +139,7 @@ def hits(
         part = _scan_block(rows, given, [key], text, words, "h")
         part = settle(part.where(F.size("h.runs") > 0).distinct(), "benchmark-hits")
         parts = part if parts is None else parts.union(part)
-    merge = F.udf(_merge, "array<array<bigint>>")
+    merge = F.udf(lambda runs: _merge(runs), "array<array<bigint>>")
     merged = parts.groupBy(key).agg(
         F.flatten(F.collect_list("h.runs")).alias("runs"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("h.items")))).alias("items"),
