@@ -49,7 +49,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, sf: str) -> DataFrame:
-    """One review per document. The narrow tables are joined first, so texts move at most once."""
+    """One review per document. The narrow tables are joined first, so texts move once."""
     score = F.expr(
         "CASE event_type WHEN 'error' THEN 1 WHEN 'view' THEN 2 WHEN 'signup' THEN 3 "
         "WHEN 'click' THEN 4 ELSE 5 END"
@@ -64,7 +64,8 @@ def reviews(spark: SparkSession, sf: str) -> DataFrame:
     )
     documents = table(spark, sf, "documents").select("doc_id", "source", "lang", "text")
     votes = (whole * (F.col("doc_id") % 7) % (whole % 9 + 1)).cast("int")
-    return documents.join(facts, F.col("doc_id") == F.col("event_id")).select(
+    # both sides grow with the data, so this is a shuffle join at every size
+    return documents.join(facts.hint("merge"), F.col("doc_id") == F.col("event_id")).select(
         F.col("doc_id").alias("Id"),
         F.col("source").alias("ProductId"),
         F.col("user_id").alias("UserId"),
