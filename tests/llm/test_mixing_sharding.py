@@ -1,6 +1,6 @@
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from fractions import Fraction
 
 import pytest
@@ -76,6 +76,34 @@ def test_mixed_gives_the_words_that_are_taken(documents):
     assert dict(got) == {i: n for i, n in taken.items() if n} | {i: 0 for i in got if not got[i]}
 
 
+@pytest.mark.parametrize("hot", [["one"] * 200, [f"text {i} of many " + "w " * (i % 5) for i in range(200)]])
+def test_rows_of_one_id_stay_whole_but_one(documents, hot):
+    """A third of the rows have no id: whole texts, one at the most cut, sums as aimed."""
+    docs = [(None, t, "a") for t in hot] + [(1000 + i, "w " * (1 + i % 7), f"s{i % 3}") for i in range(400)]
+    sizes, df, weights = Counter(), documents(docs), (1, 9, 9, 9)
+    for _, t, s in docs:
+        sizes[s] += len(WORD.findall(t))
+    target = round(brute_targets(sizes, weights)["a"])
+    epochs, left = divmod(target, sizes["a"])
+    assert left  # the cut is inside the rows without id
+    rows = [r for r in mixing.mix(df, weights).collect() if r.doc_id is None]
+    assert len(rows) == 200 and sum(r.taken for r in rows) == target
+    assert sum(r.taken % r["size"] > 0 for r in rows) <= 1
+    out = [r.text for r in mixing.mixed(df, weights).collect() if r.doc_id is None]
+    assert sum(len(WORD.findall(t)) for t in out) == target
+    assert sum((Counter(out) - Counter({t: n * (epochs + 1) for t, n in Counter(hot).items()})).values()) <= 1
+
+
+def test_mixed_keeps_rows_that_differ_in_other_columns(documents):
+    df = documents([(None, "two words", "a")] * 90 + [(i, "w " * 30, "b") for i in range(50)])
+    df = df.withColumn("more", F.create_map(F.lit("k"), F.monotonically_increasing_id()))
+    df = df.localCheckpoint()
+    out = [r for r in mixing.mixed(df, (1, 30)).collect() if r.doc_id is None]
+    target = round(brute_targets({"a": 180, "b": 1500}, (1, 30))["a"])
+    assert 0 < target < 180 and sum(len(WORD.findall(r.text)) for r in out) == target
+    assert len({r.more["k"] for r in out}) == len(out) == -(-target // 2)
+
+
 def test_no_words_and_no_rows(documents):
     assert [r.taken for r in mixing.mix(documents(["", None, " "])).collect()] == [0, 0, 0]
     empty = documents(["x"]).limit(0)
