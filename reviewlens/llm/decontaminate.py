@@ -11,8 +11,9 @@ more blocks are scanned one after another, the hits of each settled as narrow ro
 document, so that no task holds more than one block's automaton.
 
 Cases: null and wordless texts have no words and no hits; null and wordless items have no window;
-equal windows of several items count for each; a repeated item id counts once; overlapping
-matches cover their union; rows equal in id and text get equal results; extra columns are not
+an item without an id is left out by ``hits`` alone, but with ``unnamed``, as in the query and
+``keep_clean``, its windows are hits like any other, and only the list of items lacks it; equal windows of several items count for each; a repeated item id counts once;
+overlapping matches cover their union; rows equal in id and text get equal results; extra columns are not
 read, and ``keep_clean`` returns them all.
 """
 
@@ -42,12 +43,12 @@ def windows(text: str | None, words: int) -> list[bytes]:
     return [b" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))] if tokens else []
 
 
-def automaton(items: list[tuple[int, str]], words: int):
+def automaton(items: list[tuple[int | None, str]], words: int):
     """Maps `` window `` to (number of words, sorted ids of its items); bytes stand as Latin-1."""
     owners: dict[bytes, set] = {}
     for item, text in items:
         for window in windows(text, words):
-            owners.setdefault(window, set()).add(item)
+            owners.setdefault(window, set()).update(() if item is None else (item,))
     machine = ahocorasick.Automaton()
     for window, ids in owners.items():
         machine.add_word(f" {window.decode('latin-1')} ", (window.count(b" ") + 1, tuple(ids)))
@@ -119,12 +120,12 @@ def _scan_block(docs: DataFrame, items: list, keep: list[str], text: str, words:
 
 def hits(
     docs: DataFrame, items: DataFrame, keep: list[str], name: str, words: int = 10, block_bytes: int = 16 << 20,
-    text: str = "text", item_id: str = "item_id", item_text: str = "text",
+    text: str = "text", item_id: str = "item_id", item_text: str = "text", unnamed: bool = False,
 ) -> DataFrame:
     """The columns ``keep`` of every row, and under ``name`` a struct of ``n_words``, hit ``runs``
     of words, ``items`` and character ``spans`` of the original text."""
     queries = items.select(F.col(item_id).cast("bigint").alias("item"), F.col(item_text).alias("t")).where(
-        F.col("item").isNotNull() & F.col("t").isNotNull()
+        (F.lit(unnamed) | F.col("item").isNotNull()) & F.col("t").isNotNull()
     )
     size = queries.agg(F.sum(F.octet_length("t").cast("bigint"))).first()[0] or 0
     blocks = -(-size // block_bytes)
@@ -166,13 +167,13 @@ def hits(
 def keep_clean(docs: DataFrame, items: DataFrame, words: int = 10) -> DataFrame:
     """``docs`` without the rows that hold a benchmark window."""
     name = free_name(docs, "llm_hits")
-    return hits(docs, items, docs.columns, name, words).where(F.size(f"{name}.runs") == 0).drop(name)
+    return hits(docs, items, docs.columns, name, words, unnamed=True).where(F.size(f"{name}.runs") == 0).drop(name)
 
 
 def op6_decontaminate(spark, sf: str) -> DataFrame:
     """Every document's benchmark hits."""
     docs, items = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
-    found = hits(docs, items, ["doc_id"], "hit")
+    found = hits(docs, items, ["doc_id"], "hit", unnamed=True)
     covered = F.aggregate("hit.runs", F.lit(0).cast("bigint"), lambda n, run: n + run[1] - run[0])
     ids = F.array_join(F.array_sort(F.transform("hit.items", lambda i: i.cast("string"))), ",")
     return found.select(

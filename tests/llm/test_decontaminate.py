@@ -70,3 +70,22 @@ def test_keep_clean(spark, documents):
     assert kept.columns == df.columns and kept.count() == len(ODD) - 2
     assert decontaminate.keep_clean(df, items.limit(0)).count() == len(ODD)
     assert decontaminate.keep_clean(df.limit(0), items).count() == 0
+
+
+def test_items_without_an_id_are_hits(spark, documents, folder):
+    """In the query and the stage, and in many blocks: hits as of any item, but no id in the list."""
+    docs = [(1, "x " + PASSAGE), (2, "own words only"), (3, "and One, two THREE here"), (4, "five six")]
+    df = documents([(i, t, "a") for i, t in docs])
+    items = spark.createDataFrame([(None, PASSAGE), (None, "one two three"), (9, "one two three"), (8, "five six")],
+                                  "item_id bigint, text string")
+    df.write.parquet(f"{folder}/documents.parquet")
+    items.write.parquet(f"{folder}/benchmark.parquet")
+    expected = []
+    for doc, n, hit, _, _, bad in brute(docs, [(-1, i.text) for i in items.collect()]):
+        ids = {3: ["9"], 4: ["8"]}.get(doc, [])
+        expected.append((doc, n, hit, len(ids), sha256(",".join(ids).encode()).hexdigest(), bad))
+    got = decontaminate.op6_decontaminate(spark, str(folder)).drop("spans").collect()
+    assert sorted(map(tuple, got)) == sorted(expected)
+    assert [r.doc_id for r in decontaminate.keep_clean(df, items).collect()] == [2]
+    blocks = decontaminate.hits(df, items, ["doc_id"], "h", block_bytes=100, unnamed=True).collect()
+    assert sorted((r.doc_id, len(r.h.runs), r.h["items"]) for r in blocks) == [(1, 1, []), (2, 0, []), (3, 1, [9]), (4, 1, [8])]
