@@ -147,3 +147,20 @@ def test_sharding_query_and_no_rows(spark, documents):
     assert sharding.sharded(documents(["x"]).limit(0), [1.0] * 3).count() == 0
 
 
+
+
+def test_equal_rows_are_numbered_in_many_tasks(spark, documents):
+    docs = documents([(None, None, "a")] * 3000 + [(5, "again", "a")] * 50 + [(i, f"text {i}", "a") for i in range(10, 1000)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = sharding.sharded(docs, [1.0] * 3).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    slots, equal, tasks = defaultdict(list), defaultdict(list), defaultdict(int)
+    for r in rows:
+        slots[r.shard_].append(r.slot)
+        equal[r.doc_id, r.text].append(r.slot)
+        tasks[r.task] += r.doc_id is None
+    assert len(rows) == 4040 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert all(max(s) - min(s) == len(s) - 1 for s in equal.values())  # neighbours
+    assert max(tasks.values()) < 1500
