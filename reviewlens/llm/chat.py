@@ -13,8 +13,10 @@ as each example holds them in one string. Examples are cut from that string one
 total length grows with the square of a conversation's turns, which is the method's own.
 
 Cases: null texts and roles are empty; turns without a number come first; turns with equal
-numbers are ordered by role and text; repeated turns are all kept; turns without a conversation
-id form one conversation; an empty table gives no rows; extra columns are not read.
+numbers are ordered by role and text; repeated turns are all kept; a turn without a conversation
+id is a conversation of its own, numbered by its row in the scan under ``alone``, as turns that nothing
+ties together have no common context; an empty table gives no rows; extra columns are not read. One
+example is one value, so a conversation is bounded by what a string may hold (2 GB).
 """
 
 from __future__ import annotations
@@ -45,24 +47,25 @@ def examples(
     conversations: DataFrame, trainable: str = "assistant",
     id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
 ) -> DataFrame:
-    """``<id>, example, formatted, loss_start, loss_end``; spans count characters of ``formatted``."""
+    """``<id>, alone, example, formatted, loss_start, loss_end``; spans count characters of ``formatted``."""
     header = F.concat(F.lit(OPEN), escaped(F.col("role")), F.lit(CLOSE))
     segment = F.concat(header, escaped(F.col("text")), F.lit(END))
     turns = conversations.select(
         F.col(f"`{id}`").alias("id"),
+        F.when(F.col(f"`{id}`").isNull(), F.monotonically_increasing_id()).alias("alone"),
         F.col(f"`{turn}`").alias("turn"),
         F.coalesce(F.col(f"`{role}`"), F.lit("")).alias("role"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     ).select(
         "*", segment.alias("segment"), F.length(header).alias("head"), (F.col("role") == trainable).alias("reply")
     )
-    order = Window.partitionBy("id").orderBy("turn", "role", "text")
+    order = Window.partitionBy("id", "alone").orderBy("turn", "role", "text")
     placed = turns.select(
-        "id", "segment", "head", "reply",
+        "id", "alone", "segment", "head", "reply",
         F.row_number().over(order).alias("number"),
         F.sum(F.length("segment")).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("end"),
     )
-    whole = placed.groupBy("id").agg(
+    whole = placed.groupBy("id", "alone").agg(
         F.sort_array(F.collect_list(F.struct("number", "end", "head", F.length("segment").alias("n"), "reply", "segment"))).alias("turns")
     )
     last = F.element_at("turns", -1)
@@ -70,11 +73,12 @@ def examples(
     kept = F.concat(F.filter("turns", lambda t: t["reply"]), rest)
     light = F.transform(kept, lambda t: F.struct(t["end"].alias("end"), (t["end"] - t["n"] + t["head"]).alias("start"), t["reply"].alias("reply")))
     cut = whole.select(
-        "id", F.array_join(F.transform("turns", lambda t: t["segment"]), "").alias("all"), F.posexplode(light).alias("example", "t")
+        "id", "alone", F.array_join(F.transform("turns", lambda t: t["segment"]), "").alias("all"), F.posexplode(light).alias("example", "t")
     )
     stop = F.col("t.end") - len(END)
     return cut.select(
         F.col("id").alias(id),
+        "alone",
         "example",
         F.substring(F.col("all"), F.lit(1), F.col("t.end").cast("int")).alias("formatted"),
         F.when(F.col("t.reply"), F.col("t.start")).otherwise(F.col("t.end")).alias("loss_start"),
@@ -109,9 +113,9 @@ def op8_chat(spark, sf: str) -> DataFrame:
         F.col("formatted"), (F.col("loss_start") + 1).cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int")
     )
     made = examples(rows.unionByName(more)).select(
-        "conv_id", "example", "formatted", unescaped(loss).alias("loss"), F.length("formatted").alias("n")
+        "conv_id", "alone", "example", "formatted", unescaped(loss).alias("loss"), F.length("formatted").alias("n")
     )
-    whole = made.groupBy("conv_id").agg(
+    whole = made.groupBy("conv_id", "alone").agg(
         F.max_by("formatted", "example").alias("formatted"),
         F.sort_array(F.collect_list(F.struct("example", "loss"))).alias("losses"),
         F.sum("n").cast("bigint").alias("formatted_chars"),
@@ -140,16 +144,19 @@ def _escaped_length(column: str) -> str:
 
 SQL = rf"""
 WITH t AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+  SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone, turn, coalesce(role, '') AS role,
+    coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, NULL, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, NULL, 1, 'assistant', '</s>[INST] ok [/INST]'),
 p AS (SELECT *, role = 'assistant' AS reply,
     sum({_escaped_length("role")} + {_escaped_length("text")} + {len(OPEN + CLOSE + END)})
-      OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS upto,
-    lead(turn) OVER (PARTITION BY conv_id ORDER BY turn, role, text) IS NULL AS final FROM t)
+      OVER (PARTITION BY conv_id, alone ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING) AS upto,
+    row_number() OVER (PARTITION BY conv_id, alone ORDER BY turn NULLS FIRST, role, text)
+      = count(*) OVER (PARTITION BY conv_id, alone) AS final FROM t)
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (reply), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (reply), '')) AS loss_sha256,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (reply), '')) AS loss_sha256,
   CAST(sum(CASE WHEN reply OR final THEN upto END) AS BIGINT) AS formatted_chars
-FROM p GROUP BY conv_id
+FROM p GROUP BY conv_id, alone
 """

@@ -2,23 +2,27 @@
 
 Words are runs of ASCII digits, ASCII letters (lower-cased) and all other characters beyond
 ASCII. A window is ``words`` consecutive words of an item; an item of fewer, but not none, is one
-window. All windows go into one automaton, and each text is normalised and scanned once. Matches
-are mapped back to words and, through the words' offsets, to characters of the original text.
+window. The automaton's alphabet is the items' words: a window is a string of one symbol a word, so it
+has few nodes, and a match ends at a word's number. All windows go into one automaton, and each text
+is normalised and scanned once. Through the words' offsets, hits are mapped back to characters of
+the original text.
 
-The items are a stated query set. They go to every task in blocks of at most
-``block_bytes`` of text, measured before anything is collected: one block is the usual case, and
-more blocks are scanned one after another, the hits of each settled as narrow rows and merged by
-document, so that no task holds more than one block's automaton.
+The items are a stated query set. They are gathered in blocks of about ``block_bytes`` of text, whose
+number is measured first; one block is the usual case. With more, the documents are still read in
+one pass: a task builds one block's automaton after another for each of its batches, and
+merges their hits in place, so that it holds the items' text and the automaton of one block.
 
 Cases: null and wordless texts have no words and no hits; null and wordless items have no window;
 an item without an id is left out by ``hits`` alone, but with ``unnamed``, as in the query and
-``keep_clean``, its windows are hits like any other, and only the list of items lacks it; equal windows of several items count for each; a repeated item id counts once;
+``keep_clean``, its windows are hits like any other, and only the list of items lacks it; ids may be of
+any type; equal windows of several items count for each; a repeated item id counts once;
 overlapping matches cover their union; rows equal in id and text get equal results; extra columns are not
 read, and ``keep_clean`` returns them all.
 """
 
 from __future__ import annotations
 
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -38,42 +42,40 @@ def normal_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_NORMAL).split()
 
 
-def windows(text: str | None, words: int) -> list[bytes]:
+def windows(text: str | None, words: int) -> list[tuple[bytes, ...]]:
     tokens = normal_words(text)
-    return [b" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))] if tokens else []
+    return [tuple(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))] if tokens else []
 
 
-def automaton(items: list[tuple[int | None, str]], words: int):
-    """Maps `` window `` to (number of words, sorted ids of its items); bytes stand as Latin-1."""
-    owners: dict[bytes, set] = {}
+def _symbol(number: int) -> str:
+    """A character for each number from 0 on, none of them a surrogate; 0 stands for all other words."""
+    return chr(number if number < 0xD800 else number + 0x800)
+
+
+def automaton(items: list[tuple[object, str]], words: int):
+    """The symbol of each word, and a machine that maps windows to (number of words, ids of its items)."""
+    owners: dict[tuple[bytes, ...], set] = {}
+    symbols: dict[bytes, str] = {}
     for item, text in items:
         for window in windows(text, words):
             owners.setdefault(window, set()).update(() if item is None else (item,))
     machine = ahocorasick.Automaton()
     for window, ids in owners.items():
-        machine.add_word(f" {window.decode('latin-1')} ", (window.count(b" ") + 1, tuple(ids)))
+        key = "".join(symbols.setdefault(word, _symbol(len(symbols) + 1)) for word in window)
+        machine.add_word(key, (len(window), tuple(ids)))
     machine.make_automaton()
-    return machine if owners else None
+    return (symbols, machine) if owners else None
 
 
-def scan(text: str | None, machine) -> tuple[int, list[list[int]], set]:
+def scan(text: str | None, found) -> tuple[int, list[list[int]], set]:
     """Number of words, hit runs of words as (first, end) in order, and items that occur."""
     tokens = normal_words(text)
-    if machine is None or not tokens:
+    if found is None or not tokens:
         return len(tokens), [], set()
-    found = list(machine.iter(f" {b' '.join(tokens).decode('latin-1')} "))
-    if not found:
-        return len(tokens), [], set()
-    # a match ends on the blank after its last word; blanks stand at the sums of lengths plus one
-    blanks = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
-    ends = np.searchsorted(blanks, [end for end, _ in found]) + 1
-    runs: list[list[int]] = []
-    for first, end in sorted((int(e) - n, int(e)) for e, (_, (n, _)) in zip(ends, found)):
-        if runs and first <= runs[-1][1]:
-            runs[-1][1] = max(end, runs[-1][1])
-        else:
-            runs.append([first, end])
-    return len(tokens), runs, {i for _, (_, ids) in found for i in ids}
+    symbols, machine = found
+    matches = list(machine.iter("".join(map(symbols.get, tokens, repeat(_symbol(0))))))
+    runs = _merge((end + 1 - n, end + 1) for end, (n, _) in matches)
+    return len(tokens), runs, {i for _, (_, ids) in matches for i in ids}
 
 
 def original_spans(text: str | None, runs: list[list[int]]) -> list[list[int]]:
@@ -97,71 +99,46 @@ def _merge(runs) -> list[list[int]]:
     return out
 
 
-_HITS = "`{0}` struct<n_words: bigint, runs: array<array<bigint>>, items: array<bigint>, spans: array<array<bigint>>>"
-
-
-def _scan_block(docs: DataFrame, items: list, keep: list[str], text: str, words: int, name: str) -> DataFrame:
-    given = docs.sparkSession.sparkContext.broadcast(items)
-
-    def make():
-        machine = automaton(given.value, words)
-
-        def run(texts):
-            out = []
-            for t in texts:
-                n, runs, ids = scan(t, machine)
-                out.append({"n_words": n, "runs": runs, "items": sorted(ids), "spans": original_spans(t, runs)})
-            return [out]
-
-        return run
-
-    return map_texts(docs, keep, [text], _HITS.format(name), make)
-
-
 def hits(
-    docs: DataFrame, items: DataFrame, keep: list[str], name: str, words: int = 10, block_bytes: int = 16 << 20,
+    docs: DataFrame, items: DataFrame, keep: list[str], name: str, words: int = 10, block_bytes: int = 2 << 20,
     text: str = "text", item_id: str = "item_id", item_text: str = "text", unnamed: bool = False,
 ) -> DataFrame:
     """The columns ``keep`` of every row, and under ``name`` a struct of ``n_words``, hit ``runs``
     of words, ``items`` and character ``spans`` of the original text."""
-    queries = items.select(F.col(item_id).cast("bigint").alias("item"), F.col(item_text).alias("t")).where(
+    queries = items.select(F.col(f"`{item_id}`").alias("item"), F.col(f"`{item_text}`").alias("t")).where(
         (F.lit(unnamed) | F.col("item").isNotNull()) & F.col("t").isNotNull()
     )
     size = queries.agg(F.sum(F.octet_length("t").cast("bigint"))).first()[0] or 0
-    blocks = -(-size // block_bytes)
-    if blocks <= 1:
-        return _scan_block(docs, [tuple(r) for r in queries.collect()], keep, text, words, name)
-    numbered = settle(queries.withColumn("block", F.pmod(F.xxhash64("item", "t"), F.lit(2 * blocks))), "benchmark", by="block")
-    key = free_name(docs, "llm_key")
-    rows = docs.withColumn(key, F.sha2(F.coalesce(text, F.lit("")), 256))
-    parts = None
-    for block in range(2 * blocks):
-        given = [tuple(r) for r in numbered.where(F.col("block") == block).select("item", "t").collect()]
-        part = _scan_block(rows, given, [key], text, words, "h")
-        part = settle(part.where(F.size("h.runs") > 0).distinct(), "benchmark-hits")
-        parts = part if parts is None else parts.union(part)
-    merge = F.udf(lambda runs: _merge(runs), "array<array<bigint>>")
-    merged = parts.groupBy(key).agg(
-        F.flatten(F.collect_list("h.runs")).alias("runs"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("h.items")))).alias("items"),
-    )
-    merged = merged.select(key, merge("runs").alias("runs"), "items")
-    found = F.struct(
-        F.coalesce(F.col(f"{key}_found.runs"), F.array().cast("array<array<bigint>>")).alias("runs"),
-        F.coalesce(F.col(f"{key}_found.items"), F.array().cast("array<bigint>")).alias("items"),
-    )
-    boxed = merged.select(key, F.struct("runs", "items").alias(f"{key}_found"))
-    joined = rows.join(boxed, key, "left").withColumn(key, found)
+    blocks = max(1, -(-size // block_bytes))
+    if blocks > 1:
+        queries = settle(queries.withColumn("block", F.pmod(F.xxhash64("item", "t"), F.lit(blocks))), "benchmark", by="block")
+    given = []
+    for block in range(blocks):
+        part = queries if blocks == 1 else queries.where(F.col("block") == block)
+        given.append(docs.sparkSession.sparkContext.broadcast([tuple(r) for r in part.select("item", "t").collect()]))
 
     def make():
-        return lambda texts, found: [
-            [
-                {"n_words": len(normal_words(t)), "runs": f["runs"], "items": f["items"], "spans": original_spans(t, f["runs"])}
-                for t, f in zip(texts, found)
-            ]
-        ]
-
-    return map_texts(joined, keep, [text, key], _HITS.format(name), make)
+        only = automaton(given[0].value, words) if len(given) == 1 else None
+
+        def run(texts):
+            found = [[0, [], set()] for _ in texts]
+            for block in given:
+                machine = only if len(given) == 1 else automaton(block.value, words)
+                for t, so_far in zip(texts, found):
+                    so_far[0], runs, ids = scan(t, machine)
+                    so_far[1] += runs
+                    so_far[2] |= ids
+            out = []
+            for t, (n, runs, ids) in zip(texts, found):
+                runs = _merge(runs)
+                out.append({"n_words": n, "runs": runs, "items": sorted(ids), "spans": original_spans(t, runs)})
+            return [out]
+
+        return run
+
+    kind = items.schema[item_id].dataType.simpleString()
+    schema = f"`{name}` struct<n_words: bigint, runs: array<array<bigint>>, items: array<{kind}>, spans: array<array<bigint>>>"
+    return map_texts(docs, keep, [text], schema, make)
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, words: int = 10) -> DataFrame:

@@ -15,7 +15,8 @@ of sums are settled and joined by their keys, which adaptive execution may split
 The languages are a parameter, and bound the size of the text model: one number for each language
 and trigram bucket. Documents of other languages are not learnt from.
 
-Cases: a null or empty page has no text evidence; without an address there is no suffix and the
+Cases: a null or empty page has no text evidence; a long page is passed once, whatever it leaves
+unclosed; the first html tag alone declares a language; without an address there is no suffix and the
 prior is that of all pages; without a declared language that factor is left out; equal
 posteriors go to the language named first; repeated pages are all kept and count each; an
 empty table gives no rows; extra columns are not read.
@@ -39,10 +40,16 @@ BUCKETS = 1 << 13
 SMOOTHING = 0.5
 HOST_WEIGHT = 4.0  # pages that a smoothing prior counts for
 
-_HIDDEN = re.compile(r"<!--.*?-->|<(script|style|head)\b.*?</\1\s*>|<[^>]*>", re.I | re.S)
+#: Elements whose content is not shown, and how each ends.
+_HIDDEN = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "head")}
+_OPENS = re.compile(r"<(?:!--|(script|style|head)\b)?", re.I)
 _ENTITY = re.compile(r"&#?\w+;")
 _LETTERS = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in LOWER)
-DECLARED = r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]+)"
+#: The first html tag, and the language it declares.
+HTML_TAG = r"(?i)<html\b[^>]*"
+DECLARED = r"(?i)\blang\s*=\s*[\"']?([a-z]+)"
+#: Names under a country's second level, such as co.uk, are no domain of their own.
+SECOND_LEVEL = r"\.(?:co|com|org|net|ac|gov|edu|ne|or|go)\.[a-z]{2}$"
 
 
 def trigrams(text: str | None) -> np.ndarray:
@@ -54,8 +61,37 @@ def trigrams(text: str | None) -> np.ndarray:
 
 
 def visible(html: str | None) -> str:
-    """The text of a page without marks, scripts, styles, comments and its head."""
-    return _ENTITY.sub(" ", _HIDDEN.sub(" ", html or ""))
+    """The text of a page without marks, scripts, styles, comments and its head.
+
+    One cursor passes the page once. What is opened and never closed hides its own mark only, and that
+    nothing closes it is found out once.
+    """
+    page, shown, at, unclosed = html or "", [], 0, set()
+
+    def end(kind: str, start: int) -> int:
+        """Where what opens at ``start`` ends, or -1."""
+        if kind in unclosed:
+            return -1
+        if kind in _HIDDEN:
+            found = _HIDDEN[kind].search(page, start)
+            stop = found.end() if found else -1
+        else:
+            place = page.find(kind, start)
+            stop = place + len(kind) if place >= 0 else -1
+        if stop < 0:
+            unclosed.add(kind)
+        return stop
+
+    for opened in iter(lambda: _OPENS.search(page, at), None):
+        start = opened.start()
+        kind = "-->" if opened[0] == "<!--" else (opened[1] or "").lower()
+        stop = end(kind, opened.end()) if kind else -1
+        stop = stop if stop >= 0 else end(">", start)
+        if stop < 0:
+            break
+        shown.append(page[at:start])
+        at = stop
+    return _ENTITY.sub(" ", " ".join((*shown, page[at:])))
 
 
 def text_model(docs: DataFrame, languages: tuple[str, ...], text: str = "text", lang: str = "lang") -> np.ndarray:
@@ -87,6 +123,11 @@ def text_evidence(html: str | None, model: np.ndarray) -> list[float]:
     return (sums - sums.max()).tolist()
 
 
+def domain_of(host: Column) -> Column:
+    """The last two labels of a host, or three where the second is a country's own."""
+    return F.when(host.rlike(SECOND_LEVEL), F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
+
+
 def _shares(values: list[Column]) -> list[Column]:
     total = sum(values[1:], values[0])
     return [v / total for v in values]
@@ -108,13 +149,13 @@ def fused(pages: DataFrame, model: np.ndarray, languages: tuple[str, ...], id: s
     facts = pages.select(
         F.col(f"`{id}`").alias("id"),
         F.nullif(address, F.lit("")).alias("host"),
-        F.nullif(F.lower(F.regexp_extract(F.col(f"`{html}`"), DECLARED, 1)), F.lit("")).alias("declared"),
+        F.nullif(F.lower(F.regexp_extract(F.regexp_extract(F.col(f"`{html}`"), HTML_TAG, 0), DECLARED, 1)), F.lit("")).alias("declared"),
         F.col(f"`{html}`").alias("html"),
     )
     scored = map_texts(facts, ["id", "host", "declared"], ["html"], "ll array<double>", make)
     rows = scored.select(
         "id", "host", "declared", "ll",
-        F.nullif(F.substring_index("host", ".", -2), F.lit("")).alias("domain"),
+        F.nullif(domain_of(F.col("host")), F.lit("")).alias("domain"),
         F.nullif(F.substring_index("host", ".", -1), F.lit("")).alias("suffix"),
         F.array(*_shares([F.exp(F.col("ll")[i]) for i in range(n)])).alias("p"),
     )

@@ -1,14 +1,16 @@
 """Line dedup by content-defined chunks.
 
-A text is cut into lines, and lines into chunks: a chunk ends after a line if a rolling hash over
-the hashes of that line and the ``WINDOW - 1`` before it is divisible by ``lines``, which happens
-every ``lines`` lines on average. Boundaries depend on nearby lines only, so a passage that
-moves within or between texts is cut the same way, but for its first chunk.
+A text is cut into lines, and lines into chunks. A line is a boundary if a rolling hash over the
+hashes of that line and the ``WINDOW - 1`` before it is divisible by ``lines``, which happens
+every ``lines`` lines on average. A chunk ends at the first boundary from its second line on, or
+after ``LONGEST * lines`` lines without one; a single last line joins the chunk before it. Boundaries
+depend on nearby lines only, so a passage that moves within or between texts is cut the same way, but
+for its first chunk. A periodic passage, with a boundary in each period or without any, becomes equal chunks.
 
 Chunks of at least two lines, one of them not blank, that occur more than once are removed
 everywhere but at their first occurrence, the one in the smallest document. Candidates are found
 by hash, on narrow rows; those with a hash that repeats are then compared byte by byte, and only
-equal chunks count as repeated.
+equal chunks count as repeated. Only the one chunk of a text of a single line has fewer than two.
 
 All of it is built-in functions. Minima are aggregated before they are shuffled; the joins are
 plain joins by hash or document that adaptive execution can split.
@@ -26,12 +28,20 @@ from pyspark.sql import functions as F
 from reviewlens.session import settle
 
 WINDOW = (1, 3, 5)  # factors of the newest line's hash and of the ones before it
+LONGEST = 4  # chunks that have the usual length between boundaries, in one without
 
 
 def _line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("bigint")
 
 
+def chunk_pattern(lines: int) -> str:
+    """Of a text's marks, 1 for a boundary, those of a chunk: up to the first boundary from the second
+    line on, or of the greatest length, each with a single last line; or what is left."""
+    most = LONGEST * lines
+    return f"[01]0{{0,{most - 2}}}1(?:[01]$)?|[01]0{{{most - 1}}}(?:[01]$)?|[01]0*$"
+
+
 def chunked(docs: DataFrame, lines: int, id: str, text: str) -> DataFrame:
     """``id, h, text_lines, firsts, lasts``: the lines, and the first and last line of each chunk."""
     rows = docs.select(
@@ -43,9 +53,13 @@ def chunked(docs: DataFrame, lines: int, id: str, text: str) -> DataFrame:
         terms = [F.coalesce(F.get("hashes", i - k), F.lit(0)) * factor for k, factor in enumerate(WINDOW)]
         return sum(terms[1:], terms[0])
 
-    last = F.size("text_lines") - 1
-    ends = F.filter(F.sequence(F.lit(0), last), lambda i: (rolling(i) % lines == 0) | (i == last))
-    placed = hashed.withColumn("lasts", F.when(F.col("text_lines").isNotNull(), ends)).drop("hashes")
+    numbers = F.sequence(F.lit(0), F.size("text_lines") - 1)
+    marks = F.transform(numbers, lambda i: F.when(rolling(i) % lines == 0, "1").otherwise("0"))
+    flagged = hashed.withColumn("marks", F.when(F.col("text_lines").isNotNull(), F.array_join(marks, ""))).drop("hashes")
+    chunks = F.regexp_extract_all("marks", F.lit(chunk_pattern(lines)), F.lit(0))
+    ended = F.split(F.array_join(F.transform(chunks, lambda c: F.lpad(F.lit("E"), F.length(c), F.lit("0"))), ""), "")
+    ends = F.array_compact(F.transform(ended, lambda mark, i: F.when(mark == "E", i)))
+    placed = flagged.withColumn("lasts", ends).drop("marks")
     before = F.concat(F.array(F.lit(0)), F.transform(F.slice("lasts", F.lit(1), F.size("lasts") - 1), lambda e: e + 1))
     return placed.withColumn("firsts", F.when(F.col("lasts").isNotNull(), before))
 
@@ -103,16 +117,19 @@ def op3_line_dedup(spark, sf: str) -> DataFrame:
     return without_repeats(spark.read.parquet(f"{sf}/documents.parquet"))
 
 
-SQL = r"""
+SQL = rf"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
     unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
 h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l),
 r AS (SELECT *, (h + 3 * coalesce(lag(h) OVER w, 0) + 5 * coalesce(lag(h, 2) OVER w, 0)) % 4 = 0 AS ends
   FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-n AS (SELECT *, coalesce(sum(CASE WHEN ends THEN 1 ELSE 0 END)
-    OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS number FROM r),
-c AS (SELECT doc_id, number, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY i) AS chunk FROM n GROUP BY doc_id, number),
+m AS (SELECT doc_id, regexp_extract_all(string_agg(CASE WHEN ends THEN '1' ELSE '0' END, '' ORDER BY i), '{chunk_pattern(4)}') AS marks
+  FROM r GROUP BY doc_id),
+s AS (SELECT doc_id, unnest(marks) AS mark, unnest(range(len(marks))) AS number FROM m),
+n AS (SELECT doc_id, number, sum(length(mark)) OVER (PARTITION BY doc_id ORDER BY number) AS upto, length(mark) AS n_lines FROM s),
+c AS (SELECT n.doc_id, n.number, n.n_lines, string_agg(l.line, chr(10) ORDER BY l.i) AS chunk
+  FROM n JOIN l ON l.doc_id = n.doc_id AND l.i >= n.upto - n.n_lines AND l.i < n.upto GROUP BY ALL),
 d AS (SELECT *, n_lines > 1 AND regexp_matches(chunk, '[^\x20\x09-\x0D]')
     AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, number) > 1 AS gone FROM c)
 SELECT t.doc_id, coalesce(CAST(sum(n_lines) AS BIGINT), 0) AS n_lines, count(d.doc_id) AS n_chunks,

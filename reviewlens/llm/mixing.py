@@ -191,7 +191,7 @@ def op7_mixing(spark, sf: str) -> DataFrame:
 
 SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, substr(md5(CAST(doc_id AS VARCHAR)), 1, 16) AS key,
+  SELECT doc_id, source, substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 16) || md5(coalesce(text, '')) AS key,
     CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),
@@ -202,11 +202,8 @@ p AS (SELECT *, row_number() OVER o AS place,
 l AS (SELECT min_by(level, place) AS level FROM p WHERE level * weight <= 3 * source_size),
 t AS (SELECT source, source_size, least(3.0 * source_size, l.level * weight)::DOUBLE AS target FROM p, l),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(round(target) / source_size) AS BIGINT) ELSE 0 END AS epochs FROM t),
-k AS (SELECT source, key, sum(size) AS tied,
-    sum(sum(size)) OVER (PARTITION BY source ORDER BY key) - sum(size) AS before FROM d GROUP BY source, key)
-SELECT d.doc_id, d.size, e.source_size, e.target,
-  CAST(e.epochs * d.size + CASE WHEN k.tied = 0 THEN 0 ELSE floor(
-    greatest(0, least(k.tied, round(e.target) - e.epochs * e.source_size - k.before)) * d.size / k.tied) END AS BIGINT) AS taken
-FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source
-JOIN k ON k.source IS NOT DISTINCT FROM d.source AND k.key = d.key
+k AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key ROWS UNBOUNDED PRECEDING) - size AS before FROM d)
+SELECT k.doc_id, k.size, e.source_size, e.target,
+  CAST(e.epochs * k.size + greatest(0, least(k.size, round(e.target) - e.epochs * e.source_size - k.before)) AS BIGINT) AS taken
+FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source
 """

@@ -10,12 +10,13 @@ takes time linear in the number of features. Features are the lower-cased words,
 declared length and whether it is the true one.
 
 The model is trained on a bounded, documented sample of labelled rows
-(``Settings.rows_per_class`` of each class, the smallest by a hash of the id), weighted back to
+(``Settings.rows_per_class`` of each class, see ``labelled.py``), weighted back to
 the class shares of all labelled rows. Its size is bounded by ``buckets`` and ``factors``.
 
 Cases: null and empty texts have no words, and a score like any other; without labelled rows
 every score is 0.5; labels that are null or not 0 or 1 are left out; a document with two labels
-counts with each; equal rows get equal scores; extra columns are not read.
+counts with each; rows equal in id and text are learnt from once, and get equal scores; extra
+columns are not read.
 """
 
 from __future__ import annotations
@@ -142,9 +143,8 @@ def train(rows: list[tuple[float, float, np.ndarray, np.ndarray]], settings: Set
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings, id: str = "doc_id", text: str = "text", declared: str = "n_chars"):
     """``w0, w, v``. One task trains on the bounded sample's features; the model comes back."""
-    picked = settle(sample(labels, settings.rows_per_class, id), "quality-sample")
-    rows = docs.select(id, F.col(text).alias("t"), F.col(declared).cast("bigint").alias("d"))
-    learnt = rows.join(F.broadcast(picked), id)  # 2 * rows_per_class rows at most
+    given = docs.select(id, text, F.col(f"`{declared}`").cast("bigint").alias(declared))
+    learnt = sample(given, labels, settings.rows_per_class, [text, declared], id)
 
     def make():
         def run(texts, lengths):
@@ -153,8 +153,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings, id: str = "doc_i
 
         return run
 
-    made = map_texts(learnt, ["h", "y", "weight"], ["t", "d"], "numbers array<int>, vals array<float>", make)
-    bounded = made.orderBy("h", "y", F.xxhash64("numbers", "vals")).limit(2 * settings.rows_per_class)
+    made = map_texts(learnt, ["h", "y", "weight"], ["c0", "c1"], "numbers array<int>, vals array<float>", make)
+    bounded = made.orderBy("h", "y").limit(2 * settings.rows_per_class)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given = []

@@ -1,9 +1,9 @@
 """Quality rules: exact text counts, and a calibrated n-gram classifier against fixed thresholds.
 
-The classifier is a logistic regression over hashed word unigrams and bigrams and hashed byte
-n-grams, each family as shares of the text's own n-grams. It learns from a bounded, documented
-sample of labelled rows (``Settings.rows_per_class`` of each class); every fifth row of the
-sample is kept from the fit and calibrates the margin into a probability (Platt's two numbers).
+The classifier is a logistic regression over hashed word unigrams and bigrams and hashed character
+n-grams (of code points), each family as shares of the text's own n-grams. It learns from a bounded,
+documented sample of labelled rows (``Settings.rows_per_class`` of each class, see ``labelled.py``);
+every fifth row of the sample is kept from the fit and calibrates the margin into a probability (Platt's two numbers).
 Texts are scored in Arrow batches; ``kept`` asks that no base rule fails and that the probability
 reaches ``Settings.threshold``.
 
@@ -11,8 +11,8 @@ Base rules: fewer than ``min_words`` words, or more than ``max_repeat`` percent
 inside a window of five words that occurs at least twice in the text.
 
 Cases: null and empty texts have no words and fail the base rules; without labelled rows of both
-classes the probability is 0.5 and passes; labels that are null or not 0 or 1 are left out; equal
-rows get equal results; extra columns are not read.
+classes the probability is 0.5 and passes; labels that are null or not 0 or 1 are left out; rows
+equal in id and text are learnt from once, and get equal results; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ class Settings:
 
     @property
     def width(self) -> int:
-        """One block of buckets for each family: words, pairs of words, and each byte length."""
+        """One block of buckets for each family: words, pairs of words, and each length of n-gram."""
         return (2 + len(self.grams)) << self.bits
 
 
@@ -83,17 +83,17 @@ def counts(raw: bytes, words: list[bytes]) -> tuple[int, int, int, int, int]:
     return len(words), chars, symbols, len(lines) - len(set(lines)), repeated_words(words)
 
 
-def buckets(raw: bytes, words: list[bytes], settings: Settings) -> list[np.ndarray]:
-    """The bucket of every n-gram of a text, one array for each family."""
+def buckets(text: str, raw: bytes, words: list[bytes], settings: Settings) -> list[np.ndarray]:
+    """The bucket of every n-gram of a text, one array for each family; ``raw`` is the text in UTF-8."""
     mask = (1 << settings.bits) - 1
     word = np.fromiter(map(crc32, raw.translate(LOWER).split()), np.uint64, len(words))
     pair = (word[:-1] * np.uint64(0x9E3779B1) + word[1:]) * np.uint64(0x85EBCA77) >> np.uint64(15)
     out = [word & np.uint64(mask), pair & np.uint64(mask)]
-    data = np.frombuffer(raw, np.uint8).astype(np.uint32)
+    data = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)  # code points
     for n in settings.grams:
         code = np.zeros(max(0, len(data) - n + 1), np.uint32)
         for k in range(n):
-            code = code * np.uint32(257) + data[k : k + len(code)]
+            code = code * np.uint32(0x01000193) + data[k : k + len(code)]
         out.append((code * np.uint32(0x9E3779B1)) >> np.uint32(32 - settings.bits))
     return [b.astype(np.int64) + (i << settings.bits) for i, b in enumerate(out)]
 
@@ -160,21 +160,20 @@ def calibrate(z: np.ndarray, label: np.ndarray, weight: np.ndarray, steps: int =
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings, id: str = "doc_id", text: str = "text"):
     """``bias, weights, a, b``; one task learns from the bounded sample."""
-    picked = settle(sample(labels, settings.rows_per_class, id), "rules-sample")
-    learnt = docs.select(id, F.col(text).alias("t")).join(F.broadcast(picked), id)  # bounded, as above
+    learnt = sample(docs, labels, settings.rows_per_class, [text], id)
 
     def make():
         def run(texts):
             found = []
             for t in texts:
                 raw = (t or "").encode("utf-8", "surrogatepass")
-                found.append(_shares(buckets(raw, raw.split(), settings)))
+                found.append(_shares(buckets(t or "", raw, raw.split(), settings)))
             return [[n.astype(np.int32) for n, _ in found], [x.astype(np.float32) for _, x in found]]
 
         return run
 
-    made = map_texts(learnt, ["h", "y", "weight"], ["t"], "numbers array<int>, vals array<float>", make)
-    bounded = made.orderBy("h", "y", F.xxhash64("numbers", "vals")).limit(2 * settings.rows_per_class)
+    made = map_texts(learnt, ["h", "y", "weight"], ["c0"], "numbers array<int>, vals array<float>", make)
+    bounded = made.orderBy("h", "y").limit(2 * settings.rows_per_class)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
@@ -210,7 +209,7 @@ def judged(docs: DataFrame, labels: DataFrame, keep: list[str], settings: Settin
                 raw = (t or "").encode("utf-8", "surrogatepass")
                 words = raw.split()
                 five = counts(raw, words)
-                p = float(_logistic(a * margin(buckets(raw, words, settings), bias, weights) + b))
+                p = float(_logistic(a * margin(buckets(t or "", raw, words, settings), bias, weights) + b))
                 failed = five[0] < settings.min_words or 100 * five[4] > settings.max_repeat * five[0]
                 out.append((*five, failed, p, not failed and p >= settings.threshold))
             return [list(c) for c in zip(*out)] if out else [[]] * 8

@@ -18,6 +18,7 @@ not read.
 from __future__ import annotations
 
 from itertools import combinations, repeat
+from math import comb
 
 import numpy as np
 import xxhash
@@ -67,6 +68,17 @@ def segment_plan(max_bits: int, segments: int) -> list[tuple[int, int, int]]:
     return [(sum(widths[:i]), widths[i], radii[i]) for i in range(segments)]
 
 
+def expected_rows(n: int, plan: list[tuple[int, int, int]]) -> float:
+    """Keys that ``n`` random fingerprints are joined by, and strangers they then meet."""
+    ball = [sum(comb(width, k) for k in range(radius + 1)) for _, width, radius in plan]
+    return sum(n * (1 + (b + 1) / 2) + n * n * b / 2 ** (width + 1) for b, (_, width, _) in zip(ball, plan))
+
+
+def best_segments(n: int, max_bits: int) -> int:
+    """The number of segments with the fewest rows: more keys or more strangers, whichever grows less."""
+    return min(range(2, max_bits + 2), key=lambda s: expected_rows(n, segment_plan(max_bits, s)))
+
+
 def _segment(plan: tuple[int, int, int]) -> Column:
     first, width, _ = plan
     return F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1))
@@ -80,27 +92,22 @@ def _keys(plan: list[tuple[int, int, int]], ball: bool) -> Column:
     """
     keys = []
     for number, (first, width, radius) in enumerate(plan):
-        own = _segment((first, width, radius))
+        own, sizes = _segment((first, width, radius)), range(1, radius + 1 if ball else 1)
+        masks = [sum(1 << b for b in bits) for size in sizes for bits in combinations(range(width), size)]
+        # the lowest bit of a mask is its first; the mask 0 has none, and is the segment itself
+        free = F.filter(F.array(*map(F.lit, [0, *masks])), lambda m: own.bitwiseAND(m.bitwiseAND(-m)) == 0)
         tag = F.lit(number << 40)
-        keys.append(F.array(F.struct(own.bitwiseOR(tag).alias("key"), F.lit(True).alias("same"))))
-        if ball:
-            flips = [c for size in range(1, radius + 1) for c in combinations(range(width), size)]
-            for bits in flips:
-                mask = sum(1 << b for b in bits)
-                member = F.struct(
-                    own.bitwiseXOR(F.lit(mask)).bitwiseOR(tag).alias("key"), F.lit(False).alias("same")
-                )
-                zero = own.bitwiseAND(F.lit(1 << bits[0])) == 0
-                keys.append(F.when(zero, F.array(member)).otherwise(F.array().cast("array<struct<key:bigint,same:boolean>>")))
+        keys.append(F.transform(free, lambda m: F.struct(own.bitwiseXOR(m).bitwiseOR(tag).alias("key"), (m == 0).alias("same"))))
     return F.flatten(F.array(*keys))
 
 
-def near_fingerprints(fingerprints: DataFrame, max_bits: int, segments: int) -> DataFrame:
+def near_fingerprints(fingerprints: DataFrame, max_bits: int, segments: int | None = None) -> DataFrame:
     """Links ``a, b`` between the distinct values ``fp`` at most ``max_bits`` apart.
 
-    A link may come more than once, from several segments.
+    A link may come more than once, from several segments. The links are the same for any number
+    of segments; without one, that of the fewest rows for the counted fingerprints is taken.
     """
-    plan = segment_plan(max_bits, segments)
+    plan = segment_plan(max_bits, segments or best_segments(fingerprints.count(), max_bits))
     table = fingerprints.select(F.col("fp").alias("b"), F.explode(_keys(plan, False)).alias("k"))
     balls = fingerprints.select(F.col("fp").alias("a"), F.explode(_keys(plan, True)).alias("k"))
     found = balls.select("a", "k.key", "k.same").join(table.select("b", "k.key"), "key")
@@ -108,13 +115,14 @@ def near_fingerprints(fingerprints: DataFrame, max_bits: int, segments: int) ->
     return found.where(once & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)).select("a", "b")
 
 
-def groups(docs: DataFrame, words: int, max_bits: int, segments: int = 3, id: str = "doc_id", text: str = "text") -> DataFrame:
+def groups(docs: DataFrame, words: int, max_bits: int, segments: int | None = None, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``<id>, fp, root, component_id`` per row; rows of a group share ``root`` and ``component_id``.
 
     ``root`` is the group's smallest fingerprint, ``component_id`` its smallest id. The
     fingerprint work is one pass without a shuffle; everything after it moves distinct
     fingerprints, 64 bits each, but for the last join, which moves ids. ``segments`` trades
-    rows for candidates: fewer segments enumerate larger balls and meet fewer strangers.
+    rows for candidates: fewer segments enumerate larger balls and meet fewer strangers; it follows
+    the number of fingerprints unless given.
     """
     rows = settle(with_fingerprint(docs, [id], text, words, "fp"), "fingerprints")
     nodes = settle(rows.groupBy("fp").agg(F.min(id).alias("least")), "fingerprint-nodes")
@@ -128,7 +136,7 @@ def groups(docs: DataFrame, words: int, max_bits: int, segments: int = 3, id: st
     return rows.join(of, "fp").select(id, "fp", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, words: int, max_bits: int, segments: int = 3, id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, words: int, max_bits: int, segments: int | None = None, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group: its smallest id, nulls last; a tie goes to the
     smallest fingerprint and row hash, and rows equal in every column count as one."""
     own, row = docs.columns, [free_name(docs, "llm_row_a"), free_name(docs, "llm_row_b")]

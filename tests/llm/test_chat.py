@@ -1,3 +1,4 @@
+import time
 from hashlib import sha256
 
 from hypothesis import HealthCheck, given, settings
@@ -30,6 +31,8 @@ ROWS = [
 
 
 def in_order(rows):
+    """The turns of each conversation; a turn without an id is one by itself, under its own number."""
+    rows = [(("alone", n), *r[1:]) if r[0] is None else r for n, r in enumerate(rows)]
     key = lambda r: (r[1] is not None, r[1] or 0, (r[2] or "").encode(), (r[3] or "").encode())
     out = {}
     for r in sorted(rows, key=key):
@@ -40,10 +43,11 @@ def in_order(rows):
 def test_examples_hold_all_turns_before_the_reply(spark):
     df = spark.createDataFrame(ROWS, TURNS).withColumn("number", F.lit("clash")).withColumn("segment", F.lit(0))
     made = chat.examples(df)
-    read = made.select("conv_id", "example", "formatted", "loss_start", "loss_end", chat.turns_of(F.col("formatted")).alias("turns"))
-    got = {}
-    for r in sorted(read.collect(), key=lambda r: r.example):
-        got.setdefault(r.conv_id, []).append(([tuple(t) for t in r.turns], r.formatted[r.loss_start : r.loss_end]))
+    read = made.select("conv_id", "alone", "example", "formatted", "loss_start", "loss_end", chat.turns_of(F.col("formatted")).alias("turns"))
+    got, rows = {}, read.collect()
+    numbers = dict(zip(sorted(r.alone for r in rows if r.conv_id is None), (n for n, r in enumerate(ROWS) if r[0] is None)))
+    for r in sorted(rows, key=lambda r: r.example):
+        got.setdefault(("alone", numbers[r.alone]) if r.conv_id is None else r.conv_id, []).append(([tuple(t) for t in r.turns], r.formatted[r.loss_start : r.loss_end]))
     expected = {}
     for conv, turns in in_order(ROWS).items():
         ends = [i for i, t in enumerate(turns) if t[0] == "assistant"]
@@ -65,5 +69,18 @@ def test_query_equals_sql_and_holds_the_planted_turns(spark):
     assert planted.turns_sha256 == sha256(f"user\n{said}\nassistant\n{said}\n".encode()).hexdigest()
 
 
+def test_many_turns_without_an_id(spark, folder):
+    """They are conversations of their own, in linear time; also in the query and its SQL."""
+    rows = [(None, i % 3, ("user", "assistant")[i % 2], f"turn {i} " * 20) for i in range(10_000)] + ROWS
+    start = time.time()
+    made = chat.examples(spark.createDataFrame(rows, TURNS)).where("conv_id IS NULL").agg(F.count("*"), F.sum(F.length("formatted")))
+    n, chars = made.first()
+    assert n == 10_002 and chars < 3_000_000 and time.time() - start < 30
+    df = spark.createDataFrame(rows[-500:] * 2, TURNS)
+    df.write.parquet(f"{folder}/conversations.parquet")
+    got = sorted(map(tuple, chat.op8_chat(spark, folder).collect()), key=repr)
+    assert got == sorted(connect(folder).execute(chat.SQL.replace("conversations", f"'{folder}/conversations.parquet/*.parquet'")).fetchall(), key=repr)
+
+
 def test_no_rows(spark):
     assert chat.examples(spark.createDataFrame([], TURNS)).count() == 0

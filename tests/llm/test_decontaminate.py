@@ -64,6 +64,28 @@ def test_odd_rows_in_one_block_and_in_many(spark, documents, block):
         assert all(WORD.match(r.text[a].lower()) and WORD.match(r.text[b - 1].lower()) for a, b in r.found.spans)
 
 
+@pytest.mark.parametrize("block", [1 << 20, 60])
+def test_item_ids_that_are_texts(spark, documents, folder, block):
+    df = documents(ODD)
+    items = spark.createDataFrame([("b-1", PASSAGE), ("a", "one two three"), (None, "one"), ("10", "four five"), ("9", "four five")],
+                                  "item_id string, text string")
+    rows = decontaminate.hits(df, items, ["doc_id"], "h", block_bytes=block, unnamed=True).collect()
+    assert {r.doc_id: r.h["items"] for r in rows if r.h["items"]} == {5: ["10", "9", "a"], 6: ["b-1"], 7: ["b-1"]}
+    df.write.parquet(f"{folder}/documents.parquet")
+    items.write.parquet(f"{folder}/benchmark.parquet")
+    got = {r.doc_id: (r.n_items, r.items_sha256) for r in decontaminate.op6_decontaminate(spark, folder).collect() if r.n_items}
+    assert got == {i: (len(x), sha256(",".join(x).encode()).hexdigest()) for i, x in {5: ["10", "9", "a"], 6: ["b-1"], 7: ["b-1"]}.items()}
+
+
+def test_many_different_words_keep_their_symbols():
+    """More words than there are characters before the surrogates."""
+    items = [(i, " ".join(f"w{10 * i + k}" for k in range(10))) for i in range(7000)]
+    machine = decontaminate.automaton(items, 10)
+    for i in (0, 5600, 6999):
+        assert decontaminate.scan(f"x {items[i][1]} unknown", machine) == (12, [[1, 11]], {i})
+    assert decontaminate.scan("w0 w1 unknown w2 w3", machine)[1:] == ([], set())
+
+
 def test_keep_clean(spark, documents):
     df, items = documents(ODD), spark.createDataFrame([(1, PASSAGE)], "item_id bigint, text string")
     kept = decontaminate.keep_clean(df, items)

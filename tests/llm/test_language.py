@@ -1,5 +1,11 @@
+import re
+import time
+
 import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from reviewlens.llm import language
 
@@ -77,5 +83,37 @@ def test_pages_by_the_language_in_their_path(spark):
     assert len(rows) == 250 and np.mean([r.lang == path[r.page_id] for r in rows]) > 0.97
 
 
+_ALL = re.compile(r"<!--.*?-->|<(script|style|head)\b.*?</\1\s*>|<[^>]*>", re.I | re.S)
+
+
+@given(st.lists(st.sampled_from(["<!--", "-->", "<script", "</script >", "<STYLE>", "</style>", "<head", "</head>", "<p>", "<", ">", " a", "b"]), max_size=25))
+def test_visible_text_is_what_no_mark_hides(parts):
+    page = "".join(parts)
+    assert language.visible(page).split() == _ALL.sub(" ", page).split()
+
+
+@pytest.mark.parametrize("mark", ["<script>", "<style ", "<head", "<!-- ", "<", "<html ", "<html lang ", "a<script>b</scrip"])
+def test_long_pages_with_unclosed_marks(spark, mark):
+    start = time.time()
+    language.visible(mark * 300_000)
+    df = spark.createDataFrame([(1, "http://a.b.co.uk/", "<html lang=fr>le chat" + mark * 200_000)], PAGES)
+    (row,) = language.fused(df, model(), LANGS).collect()
+    assert row.declared == "fr" and time.time() - start < 20
+
+
+def test_domain_of_a_country(spark):
+    hosts = ["a.b.co.uk", "b.co.uk", "co.uk", "x.example.com", "example.com", "localhost", "a.gov.au", "x.ab.de"]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string").select(language.domain_of(F.col("host")))
+    assert [r[0] for r in df.collect()] == ["b.co.uk", "b.co.uk", "co.uk", "example.com", "example.com", "localhost", "a.gov.au", "ab.de"]
+
+
+def test_hot_host(spark):
+    """A third of the pages share a host, another third have no address."""
+    rows = [(i, "http://hot.example.fr/" if i % 3 == 0 else None if i % 3 == 1 else f"http://h{i}.example.com/", page("", "le chat" if i % 2 else "the cat"))
+            for i in range(300)]
+    got = language.fused(spark.createDataFrame(rows, PAGES), model(), LANGS).collect()
+    assert len(got) == 300 and np.mean([r.lang == ("fr" if r.page_id % 2 else "en") for r in got if r.page_id % 3]) == 1
+
+
 def test_no_rows(spark):
     assert language.fused(spark.createDataFrame([], PAGES), model(), LANGS).count() == 0

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from querybook.compare import connect
 from reviewlens.llm import mixing, sharding
+from reviewlens.session import settle
 from tests.llm.conftest import ODD, SMALL
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -97,7 +98,7 @@ def test_rows_of_one_id_stay_whole_but_one(documents, hot):
 def test_mixed_keeps_rows_that_differ_in_other_columns(documents):
     df = documents([(None, "two words", "a")] * 90 + [(i, "w " * 30, "b") for i in range(50)])
     df = df.withColumn("more", F.create_map(F.lit("k"), F.monotonically_increasing_id()))
-    df = df.localCheckpoint()
+    df = settle(df, "with-maps")
     out = [r for r in mixing.mixed(df, (1, 30)).collect() if r.doc_id is None]
     target = round(brute_targets({"a": 180, "b": 1500}, (1, 30))["a"])
     assert 0 < target < 180 and sum(len(WORD.findall(r.text)) for r in out) == target
@@ -115,6 +116,16 @@ def test_mix_equals_sql(spark):
     assert sorted(map(tuple, mixing.op7_mixing(spark, SMALL).collect())) == sorted(expected)
 
 
+def test_mix_of_repeated_ids_equals_sql(spark, documents, folder):
+    """400 rows with 60 ids, some null, some rows equal throughout."""
+    docs = [(None if i % 7 == 0 else i % 60, "w " * (i % 5) + f"t{i % 90}", f"s{i % 4}") for i in range(400)]
+    df = documents(docs)
+    df.write.parquet(f"{folder}/documents.parquet")
+    sql = mixing.SQL.replace("FROM documents", f"FROM '{folder}/documents.parquet/*.parquet'")
+    got = sorted(map(tuple, mixing.op7_mixing(spark, folder).collect()), key=repr)
+    assert got == sorted(connect(folder).execute(sql).fetchall(), key=repr)
+
+
 def test_shards_of_odd_rows(documents):
     df = documents(ODD + [(i, f"text {i}", "a") for i in range(100, 400)])
     out = sharding.sharded(df, [1.0] * 40, ranges=8)

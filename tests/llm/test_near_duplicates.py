@@ -1,8 +1,10 @@
 import itertools
+import math
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from reviewlens.llm import components, simhash
 from tests.llm.conftest import ODD, SMALL
@@ -58,6 +60,21 @@ def test_links_by_all_pairs(spark, segments):
     assert found == {frozenset(p) for p in pairs if bin((p[0] ^ p[1]) & (1 << 64) - 1).count("1") <= most}
 
 
+def test_segments_follow_the_number_of_fingerprints(spark):
+    chosen = [simhash.best_segments(10**k, 4) for k in range(4, 12)]
+    assert chosen == sorted(chosen, reverse=True) and chosen[-1] == 2
+    for k in (6, 8, 10):
+        rows = min(simhash.expected_rows(10**k, simhash.segment_plan(4, s)) for s in (2, 3, 4, 5)) / 10**k
+        assert rows < 1000
+    random = np.random.default_rng(7)
+    df = spark.createDataFrame([(int(x),) for x in random.integers(-(1 << 62), 1 << 62, 3000)], "fp bigint")
+    for segments in (2, 3):
+        plan = simhash.segment_plan(4, segments)
+        keys = sum(df.select(F.size(simhash._keys(plan, ball)).alias("n")).agg(F.sum("n")).first()[0] for ball in (False, True))
+        told = simhash.expected_rows(3000, plan) - sum(3000**2 * sum(math.comb(w, i) for i in range(r + 1)) / 2 ** (w + 1) for _, w, r in plan)
+        assert abs(keys - told) < 0.02 * told
+
+
 def test_components_of_a_path_a_star_and_a_loop(spark):
     path = [(i, i + 1) for i in range(40, 0, -1)]
     star = [(100, i) for i in range(101, 140)] + [(139, 99)]

@@ -1,6 +1,6 @@
 import random
 from collections import Counter
-from hashlib import sha256
+from hashlib import md5, sha256
 
 import numpy as np
 import pytest
@@ -120,6 +120,64 @@ def test_lines_odd_rows(documents):
     assert line_dedup.without_repeats(documents(ODD).limit(0)).count() == 0
 
 
+def brute_chunks(text, lines=4):
+    """The chunks of a text, line by line."""
+    own = text.split("\n")
+    h = [int(md5(x.encode()).hexdigest()[:8], 16) for x in own]
+    out, first = [], 0
+    for i in range(len(own)):
+        ends = (h[i] + 3 * (h[i - 1] if i else 0) + 5 * (h[i - 2] if i > 1 else 0)) % lines == 0
+        if (ends and i > first or i - first == 4 * lines - 1) and i != len(own) - 2 or i == len(own) - 1:
+            out.append("\n".join(own[first : i + 1]))
+            first = i + 1
+    return out
+
+
+def brute_lines(rows):
+    seen, out = set(), []
+    for i, text in sorted(rows):
+        kept = []
+        for chunk in brute_chunks(text):
+            if "\n" in chunk and chunk.strip(" \t\n\r\x0b\x0c"):
+                if chunk in seen:
+                    continue
+                seen.add(chunk)
+            kept.append(chunk)
+        out.append((i, "\n".join(kept)))
+    return out
+
+
+PERIODIC = [
+    (1, "\n".join(["one line"] * 200)), (2, "\n".join(["one line"] * 200)), (3, "\n".join(["another"] * 95)),
+    (4, "\n".join(f"of three {i % 3}" for i in range(120))), (5, "start\n" + "\n".join(f"of three {i % 3}" for i in range(120))),
+    (6, "\n".join(f"long {i}" for i in range(700))), (7, "\n".join(f"long {i}" for i in range(300, 700))), (8, "one line"), (9, "one line"),
+    (10, "\n" * 50), (11, "\n" * 50),
+]
+
+
+def test_lines_by_brute_force(spark, documents):
+    for rows in (PERIODIC, [(i, t) for i, t, _ in ODD if i not in (None, 5) and t is not None]):
+        got = line_dedup.without_repeats(documents([(i, t, "a") for i, t in rows])).collect()
+        assert sorted((r.doc_id, r.text) for r in got) == sorted(brute_lines(rows))
+    left = {i: len(t.split("\n")) for i, t in brute_lines(PERIODIC)}
+    assert left[1] <= 40 and left[2] <= 10 and left[3] <= 40 and left[4] <= 60 and left[5] <= 70 and left[7] <= 20
+
+
+def test_recall_on_exact_copies(spark):
+    """Of the lines of later exact copies, of two lines or more, hardly any stay."""
+    sf = "/root/testdata/sf0.1"
+    rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
+    seen, copies = set(), set()
+    for i, text in rows:
+        if text in seen and "\n" in text:
+            copies.add(i)
+        seen.add(text)
+    got = [r for r in line_dedup.op3_line_dedup(spark, sf).select("doc_id", "n_lines", "n_lines_removed").collect() if r.doc_id in copies]
+    lines, gone = sum(r.n_lines for r in got), sum(r.n_lines_removed for r in got)
+    print(f"{len(copies)} copies, {lines} lines, {lines - gone} stay, untouched {sum(r.n_lines_removed == 0 for r in got)}")
+    assert len(copies) > 500 and lines - gone < 0.02 * lines
+
+
 def test_shared_lines_go_from_the_later_text(documents):
     block = "\n".join(f"line {i} of the shared block" for i in range(60))
     rows = [(1, f"own first\n{block}\nown end", "a"), (2, f"quite\nother\nstart\n{block}", "a"), (3, "a\nb\nc", "a")]
