@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewlens.schema import RAW_REVIEWS, require
+from reviewlens.sources.csv_records import records
 
 CSV_DIALECT = {"header": True, "quote": '"', "escape": '"'}
 
@@ -19,6 +23,22 @@ def _typed(name: str, dtype) -> Column:
     return F.when(bad, F.raise_error(message).cast(dtype)).otherwise(value).alias(name)
 
 
+def _csv_table(spark: SparkSession, path: str) -> DataFrame:
+    """All columns of quoted CSV files as texts, by the names in their common header."""
+    plain = spark.read.options(**CSV_DIALECT | {"header": False}).option("multiLine", True).csv(path)
+    header = list(plain.first() or ())
+    fields = ", ".join(f"c{i} string" for i in range(len(header)))
+    if not fields:
+        return spark.createDataFrame([], "none string")
+    found = records(spark, path)
+    dialect = {"quote": '"', "escape": '"', "multiLine": "true"}
+    parsed = found.select("is_header", F.from_csv("record", fields, dialect).alias("row")).select("is_header", "row.*")
+    same = [F.col(f"c{i}").eqNullSafe(F.lit(name)) for i, name in enumerate(header)]
+    differs = F.raise_error(F.concat(F.lit("a file has another header: "), F.array(*[f"c{i}" for i in range(len(header))]).cast("string")))
+    is_row = F.when(~F.col("is_header"), True).when(reduce(and_, same), False).otherwise(differs.cast("boolean"))
+    return parsed.where(is_row).select(*[F.col(f"c{i}").alias(name or f"_c{i}") for i, name in enumerate(header)])
+
+
 def read_reviews(
     spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True
 ) -> DataFrame:
@@ -26,14 +46,14 @@ def read_reviews(
 
     All CSV files under ``path`` must have the same header; one that differs is an error.
 
-    Quoted line breaks need ``multi_line``, which reads each CSV file in one task: keep the
-    files of a large export small, or switch it off where no text holds a line break and
-    Spark may split the files.
+    With ``multi_line``, texts may hold line breaks, and a file is still read in many tasks (see
+    ``csv_records``), at the price of three passes over its lines. Without it, one pass does.
     """
-    if fmt == "csv":
-        reader = spark.read.options(**CSV_DIALECT).option("multiLine", multi_line)
-        names = reader.csv(path).columns
-        texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    if fmt == "csv" and multi_line:
+        table = _csv_table(spark, path)
+    elif fmt == "csv":
+        reader = spark.read.options(**CSV_DIALECT)
+        texts = T.StructType([T.StructField(n, T.StringType()) for n in reader.csv(path).columns])
         table = reader.schema(texts).option("enforceSchema", False).csv(path)
     else:
         table = spark.read.format(fmt).load(path)
