@@ -1,10 +1,14 @@
 """Spelling variants: words one edit apart, found in a trie of letter-group frequencies.
 
 A word's vector counts its code points in each of ``GROUPS`` letter groups. The trie arranges the
-words by the successive counts of their vectors. One inserted code point is a surplus of one in
-one group, a deleted one a deficit of one, a replaced one both at most; so a depth-first search that
-may spend one surplus and one deficit on its way down reaches every word that is one edit away, and
-few others. The words of the leaves it reaches are verified letter by letter.
+words by the successive counts of their vectors, down to leaves of few words. One inserted code point is
+a surplus of one in one group, a deleted one a deficit of one, a replaced one both at most; so a
+depth-first search that may spend one surplus and one deficit on its way down reaches every word that
+is one edit away, and few others. The words of the leaves it reaches are verified letter by letter.
+
+Every pair is found from one side only: from its shorter word, or from the one that the
+other exceeds in the first group in which they differ. So a search spends its surplus first, and
+its deficit only after that.
 
 The trie is never whole in one task. Its upper levels are dealt out as nodes: a word belongs to the
 first depth of ``DEPTHS`` at which its counts so far are shared by at most ``Settings.members``
@@ -29,7 +33,6 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from operator import ne
 from zlib import crc32
 
 import pyarrow as pa
@@ -42,7 +45,10 @@ from reviewlens.session import settle
 #: Runs of A-Z, a-z and U+00C0 to U+00FF in lower-cased UTF-8.
 RUN = re.compile(rb"(?:[a-z]+|\xc3[\x80-\xbf])+")
 GROUPS = 16
-DEPTHS = (0, 4, 8, 12, GROUPS)
+DEPTHS = (0, 4, 6, 8, 11, GROUPS)
+LEAF = 8  # words that are verified at once, rather than arranged any further
+#: What a search has spent: nothing, its surplus, both; a word that only goes to its own place.
+NOTHING, SURPLUS, BOTH, OWN = range(4)
 HELD = 200_000  # words that a task counts before it hands them on
 
 
@@ -100,87 +106,77 @@ def frequencies(word: str) -> tuple[int, ...]:
     return tuple(counts)
 
 
-def one_edit(a: str, b: str) -> bool:
-    """Whether exactly one code point is inserted, deleted or replaced between two words."""
-    if len(a) == len(b):
-        return sum(map(ne, a, b)) == 1
-    if abs(len(a) - len(b)) != 1:
+def exceeds(word: str, other: str) -> bool:
+    """Whether ``other`` is ``word`` with one code point inserted, or with one replaced by one of an
+    earlier letter group or, in the same group, a later one."""
+    extra = len(other) - len(word)
+    if extra not in (0, 1):
         return False
-    short, long = (a, b) if len(a) < len(b) else (b, a)
-    at = next((i for i, (x, y) in enumerate(zip(short, long)) if x != y), len(short))
-    return short[at:] == long[at + 1 :]
-
-
-def build(words: Iterable[tuple[str, int]], depth: int) -> dict:
-    """The trie below ``depth``: count by count, then at the leaf the words and their numbers."""
-    root: dict = {}
-    for word, n in words:
-        node, counts = root, frequencies(word)
-        for count in counts[depth:-1]:
-            node = node.setdefault(count, {})
-        if depth == GROUPS:
-            node.setdefault(None, []).append((word, n))
-        else:
-            node.setdefault(counts[-1], []).append((word, n))
-    return root
-
-
-def search(root: dict, word: str, depth: int, surplus: int, deficit: int) -> Iterator[tuple[str, int]]:
-    """The words of a trie one edit away, with what is left of the surplus and the deficit."""
-    counts = frequencies(word)
-    stack = [(root, depth, surplus, deficit)] if depth < GROUPS else []
-    leaves = [] if depth < GROUPS else [root.get(None, ())]
+    for at, (a, b) in enumerate(zip(word, other)):
+        if a != b:
+            if extra:
+                return word[at:] == other[at + 1 :]
+            own, its = ord(a) % GROUPS, ord(b) % GROUPS
+            return word[at + 1 :] == other[at + 1 :] and (its < own or its == own and a < b)
+    return extra == 1
+
+
+def build(words: list[tuple], depth: int) -> dict | list:
+    """The trie of (word, n, vector) below ``depth``: by count, then at leaves the words."""
+    if len(words) <= LEAF or depth == GROUPS:
+        return words
+    by_count: dict[int, list] = {}
+    for word in words:
+        by_count.setdefault(word[2][depth], []).append(word)
+    return {count: build(some, depth + 1) for count, some in by_count.items()}
+
+
+def search(root: dict | list, word: str, depth: int, spent: int) -> list[tuple]:
+    """The words of a trie that exceed ``word`` by one edit."""
+    counts, found, half = frequencies(word), [], len(word) // 2
+    start, end = word[:half], word[half:]  # one edit leaves one of them as it is
+    stack = [(root, depth, spent)]
     while stack:
-        node, level, more, less = stack.pop()
+        node, level, state = stack.pop()
+        if type(node) is list:
+            for other in node:
+                name = other[0]
+                if (name.startswith(start) or name.endswith(end)) and exceeds(word, name):
+                    found.append(other)
+            continue
         count = counts[level]
-        steps = [(count, more, less)]
-        if more:
-            steps.append((count + 1, more - 1, less))
-        if less:
-            steps.append((count - 1, more, less - 1))
-        for step, more_left, less_left in steps:
-            below = node.get(step)
-            if below is not None:
-                if level == GROUPS - 1:
-                    leaves.append(below)
-                else:
-                    stack.append((below, level + 1, more_left, less_left))
-    for leaf in leaves:
-        for other, n in leaf:
-            if one_edit(word, other):
-                yield other, n
-
-
-def descend(word: str, path: str, depth: int, to: int, surplus: int, deficit: int) -> Iterator[tuple[str, int, int]]:
-    """The nodes at depth ``to`` that a search at ``path`` may reach, with what it has left."""
-    counts = frequencies(word)
-    found = [(path, surplus, deficit)]
-    for count in counts[depth:to]:
+        if count in node:
+            stack.append((node[count], level + 1, state))
+        if state == NOTHING and count + 1 in node:
+            stack.append((node[count + 1], level + 1, SURPLUS))
+        elif state == SURPLUS and count - 1 in node:
+            stack.append((node[count - 1], level + 1, BOTH))
+    return found
+
+
+def descend(word: str, path: str, depth: int, to: int, spent: int) -> list[tuple[str, int]]:
+    """The nodes at depth ``to`` that a search at ``path`` may reach, with what it has spent there."""
+    found = [(path, spent)]
+    for count in frequencies(word)[depth:to]:
+        steps = {NOTHING: ((count, NOTHING), (count + 1, SURPLUS)), SURPLUS: ((count, SURPLUS), (count - 1, BOTH))}
         found = [
-            (f"{at}{step},", more, less)
-            for at, has, lacks in found
-            for step, more, less in ((count, has, lacks), (count + 1, has - 1, lacks), (count - 1, has, lacks - 1))
-            if step >= 0 and more >= 0 and less >= 0
+            (f"{at}{step},", state) for at, before in found for step, state in steps.get(before, ((count, before),)) if step >= 0
         ]
-    return iter(found)
+    return found
 
 
 def _walk(rows: DataFrame, depth: int, to: int) -> DataFrame:
-    """Rows ``word, n, path, surplus, deficit`` at ``depth`` as rows at ``to``; words themselves have nothing to spend."""
-    schema = "word string, n bigint, path string, surplus int, deficit int"
+    """Rows ``word, n, path, spent`` at ``depth`` as rows at ``to``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = zip(*(c.to_pylist() for c in batch.slice(at, 2000).columns))
-                out = [
-                    (word, n, *place) for word, n, path, surplus, deficit in part
-                    for place in descend(word, path, depth, to, surplus, deficit)
-                ]
-                columns = [pa.array(c, k) for c, k in zip(zip(*out), (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int32()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["word", "n", "path", "surplus", "deficit"])
+                out = [(word, n, *place) for word, n, path, spent in part for place in descend(word, path, depth, to, spent)]
+                columns = [pa.array(c, k) for c, k in zip(zip(*out), (pa.string(), pa.int64(), pa.string(), pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["word", "n", "path", "spent"])
 
-    return rows.select("word", "n", "path", "surplus", "deficit").mapInArrow(run, schema)
+    return rows.select("word", "n", "path", "spent").mapInArrow(run, "word string, n bigint, path string, spent int")
 
 
 def _shares(rows: DataFrame, nodes: DataFrame, own: str, other: str) -> DataFrame:
@@ -190,11 +186,11 @@ def _shares(rows: DataFrame, nodes: DataFrame, own: str, other: str) -> DataFram
 
 
 def near_words(words: DataFrame, settings: Settings) -> DataFrame:
-    """``word, n, n_near, best``: of each word with a word one edit away, how many there are, and
-    the most frequent, as a struct of ``less`` (its negative count) and ``word``."""
-    start = {"path": F.lit(""), "surplus": F.lit(0), "deficit": F.lit(0)}
+    """``word, n_near, best``: of each word with a word one edit away, how many there are, and
+    the most frequent, as a struct of ``less`` (its negative count) and ``near``."""
+    start = {"path": F.substring("word", 1, 0), "spent": F.lit(OWN)}  # no constant: the root is a key like any other
     members = words.select("word", "n").withColumns(start)
-    searches, parts = members.withColumns({"surplus": F.lit(1), "deficit": F.lit(1)}), []
+    searches, parts = members.withColumn("spent", F.lit(NOTHING)), []
     for above, depth in zip((0, *DEPTHS), DEPTHS):
         if depth:
             members, searches = (settle(_walk(x, above, depth), "spelling-walk") for x in (members, searches))
@@ -202,53 +198,68 @@ def near_words(words: DataFrame, settings: Settings) -> DataFrame:
         last = depth == DEPTHS[-1]
         chunks = F.ceil(F.col("n_members") / settings.members) if last else F.lit(1).cast("bigint")
         entered = F.lit(True) if last else F.col("n_members") <= settings.members
-        asked = searches.join(sizes.where(entered).select("path", chunks.alias("chunk")), "path").groupBy("path")
-        slices = F.ceil(F.count("*") / settings.searches)
-        nodes = settle(asked.agg(slices.alias("slice"), F.first("chunk").alias("chunk")), "spelling-parts")
-        own = _shares(members, nodes, "chunk", "slice").withColumn("kind", F.lit(0))
-        ask = _shares(searches, nodes, "slice", "chunk").withColumn("kind", F.lit(1))
-        columns = ["path", "slice", "chunk", "kind", "word", "n", "surplus", "deficit"]
-        parts.append(_met(own.select(columns).union(ask.select(columns)), depth))
+        entered_nodes = sizes.where(entered).select("path", chunks.alias("chunk"))
+        if not entered_nodes.isEmpty():
+            asked = searches.join(entered_nodes, "path").groupBy("path")
+            slices = F.ceil(F.count("*") / settings.searches)
+            nodes = settle(asked.agg(slices.alias("slice"), F.first("chunk").alias("chunk")), "spelling-parts")
+            own = _shares(members, nodes, "chunk", "slice").withColumn("kind", F.lit(0))
+            ask = _shares(searches, nodes, "slice", "chunk").withColumn("kind", F.lit(1))
+            columns = ["path", "slice", "chunk", "kind", "word", "n", "spent"]
+            parts.append(_met(own.select(columns).union(ask.select(columns)), depth))
         large = sizes.where(~entered).select("path")
         if large.isEmpty():
             break
         members, searches = (x.join(large, "path") for x in (members, searches))
+    if not parts:
+        return words.sparkSession.createDataFrame([], "word string, n_near bigint, best struct<less: bigint, near: string>")
     met = parts[0]
     for part in parts[1:]:
         met = met.union(part)
-    return met.groupBy("word", "n").agg(F.sum("n_near").alias("n_near"), F.min(F.struct("less", "near")).alias("best"))
+    return met.groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min(F.struct("less", "near")).alias("best"))
 
 
 def _met(rows: DataFrame, depth: int) -> DataFrame:
-    """``word, n, n_near, less, near`` of each search that finds a word, in its part of a node."""
+    """``word, n_near, less, near`` of each word that is found or finds one, in its part of a node."""
     key = ["path", "slice", "chunk"]
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, much work: not to be coalesced
     ordered = rows.repartition(tasks, *key).sortWithinPartitions(*key, "kind", "word")
-    schema = "word string, n bigint, n_near bigint, less bigint, near string"
+
+    def columns(found: dict[str, list]) -> pa.RecordBatch:
+        near = [pa.array(c, k) for c, k in zip(zip(*found.values()), (pa.int64(), pa.int64(), pa.string()))]
+        near = near or [pa.array([], k) for k in (pa.int64(), pa.int64(), pa.string())]
+        return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), *near], names=["word", "n_near", "less", "near"])
+
+    def add(found: dict[str, list], word: str, less: int, near: str) -> None:
+        if word not in found:
+            found[word] = [1, less, near]
+            return
+        so_far = found[word]
+        so_far[0] += 1
+        if (less, near) < (so_far[1], so_far[2]):
+            so_far[1:] = less, near
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        node, held, trie = None, [], None
+        node, held, trie, found = None, [], None, {}
         for batch in batches:
-            out = []
             for at in range(0, batch.num_rows, 2000):
-                for *place, kind, word, n, surplus, deficit in zip(*(c.to_pylist() for c in batch.slice(at, 2000).columns)):
+                for *place, kind, word, n, spent in zip(*(c.to_pylist() for c in batch.slice(at, 2000).columns)):
                     if place != node:
                         node, held, trie = place, [], None
                     if kind == 0:
-                        held.append((word, n))
+                        held.append((word, n, frequencies(word)))
                         continue
                     if trie is None:
                         trie, held = build(held, depth), []
-                    found = [(-m, other) for other, m in search(trie, word, depth, surplus, deficit)]
-                    if found:
-                        out.append((word, n, len(found), *min(found)))
-            columns = list(zip(*out)) or [[]] * 5
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["word", "n", "n_near", "less", "near"]
-            )
+                    for other, m, _ in search(trie, word, depth, spent):
+                        add(found, word, -m, other)
+                        add(found, other, -n, word)
+                if len(found) >= HELD:
+                    yield columns(found)
+                    found = {}
+        yield columns(found)
 
-    return ordered.mapInArrow(run, schema)
+    return ordered.mapInArrow(run, "word string, n_near bigint, less bigint, near string")
 
 
 def roots(forms: DataFrame) -> DataFrame:
@@ -267,12 +278,10 @@ def variants(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id
     words = settle(word_counts(docs, settings, id, text), "spelling-words")
     near = near_words(words, settings)
     often: Column = -F.col("best.less") >= settings.ratio * F.col("n")
-    joined = words.join(
-        near.select(
-            "word", "n_near", F.when(often, F.col("best.near")).alias("form"), F.when(often, -F.col("best.less")).alias("form_n")
-        ),
-        "word", "left",
-    ).withColumn("n_near", F.coalesce("n_near", F.lit(0).cast("bigint")))
+    joined = words.join(near, "word", "left").select(
+        "word", "n", F.coalesce("n_near", F.lit(0).cast("bigint")).alias("n_near"),
+        F.when(often, F.col("best.near")).alias("form"), F.when(often, -F.col("best.less")).alias("form_n"),
+    )
     told = settle(joined, "spelling-forms")
     found = told.join(roots(told.where("form IS NOT NULL")), "word", "left")
     return found.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

@@ -85,9 +85,27 @@ def test_query_by_brute_force(spark):
     assert sorted(map(tuple, got), key=repr) == brute(brute_words(rows))
 
 
-def test_one_edit():
-    words = ["".join(w) for n in range(5) for w in product("aé", repeat=n)]
-    assert all(spelling.one_edit(a, b) == (edits(a, b) == 1) for a in words for b in words)
+def test_one_edit_is_found_from_one_side():
+    words = ["".join(w) for n in range(5) for w in product("aéq", repeat=n)]  # a and q share a group
+    for a in words:
+        for b in words:
+            assert spelling.exceeds(a, b) + spelling.exceeds(b, a) == (edits(a, b) == 1)
+
+
+@pytest.mark.parametrize("depth", [0, 5, spelling.GROUPS])
+def test_search_finds_what_exceeds(monkeypatch, depth):
+    monkeypatch.setattr(spelling, "LEAF", 2)
+    draw = random.Random(depth)
+    words = sorted({"".join(draw.choice("abqr") for _ in range(draw.randrange(3, 6))) for _ in range(300)})
+    groups = {}
+    for w in words:
+        groups.setdefault(spelling.descend(w, "", 0, depth, spelling.OWN)[0][0], []).append((w, 1, spelling.frequencies(w)))
+    tries = {path: spelling.build(some, depth) for path, some in groups.items()}
+    for w in words:
+        places = spelling.descend(w, "", 0, depth, spelling.NOTHING)
+        assert len(places) == len(set(places))
+        found = [o[0] for path, spent in places if path in tries for o in spelling.search(tries[path], w, depth, spent)]
+        assert sorted(found) == [o for o in words if spelling.exceeds(w, o)]
 
 
 def test_roots_of_a_long_chain(spark):
