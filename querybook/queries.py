@@ -23,6 +23,7 @@ from reviewlens.operators import (
     prepare,
     ranking,
     sentiment_model,
+    term_search,
     terms,
     topics,
 )
@@ -154,12 +155,10 @@ def _frequent_terms(spark: SparkSession, sf: str, n: int) -> DataFrame:
 
 def term_sentiment_corr(spark: SparkSession, sf: str) -> DataFrame:
     words = settle(_frequent_terms(spark, sf, 20).select(CAT, "term"), "terms")
-    df = lexicon.add_sentiment(
-        fx.prepared(spark, sf).select("Id", CAT, "clean_text"),
-        fx.parameter(spark, "lexicon"),
-        fx.parameter(spark, "modifiers"),
-    )
-    return r6(impact.term_sentiment(df, words, CAT)).orderBy(CAT, "correlation", "term")
+    marked = term_search.find_terms(fx.prepared(spark, sf), words, CAT, ["Id", CAT, "clean_text"])
+    lexica = fx.parameter(spark, "lexicon"), fx.parameter(spark, "modifiers")
+    scored = lexicon.lexicon_sentiment(marked, *lexica, keep=[CAT, "found"])
+    return r6(impact.term_sentiment(scored, words, CAT, "found")).orderBy(CAT, "correlation", "term")
 
 
 # -- charts ------------------------------------------------------------------

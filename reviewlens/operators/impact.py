@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.functions import dates
-from reviewlens.functions.numbers import correlation, effect_columns, three_digits
+from reviewlens.functions.numbers import effect_columns, three_digits
+from reviewlens.operators.term_search import term_correlation
 
 # The bands whose effect is measured.
 LENGTH_BAND = (2000, 5000)
@@ -68,23 +69,15 @@ def sentiment_effect(
 
 
 def term_sentiment(
-    df: DataFrame, terms: DataFrame, category: str = "predicted_category"
+    df: DataFrame, terms: DataFrame, category: str = "predicted_category", found: str | None = None
 ) -> DataFrame:
     """``category, term, correlation``: presence of a term, as substring, against sentiment.
 
-    ``terms`` holds ``category, term``. Reviews stay where they are as long as the term table
-    is below the broadcast limit; sums are formed per task before the shuffle.
+    ``terms`` holds ``category, term``. Each text is scanned once for all terms of its category, where it
+    is; ``found`` names a column of ``find_terms`` that holds what an earlier scan has found.
     """
-    narrow = df.select(
-        F.col(category).alias("category"), "clean_text", "sentiment_score"
-    )
-    present = F.contains("clean_text", "term").cast("double")
-    return (
-        narrow.join(terms.select("category", "term").distinct(), "category")
-        .select("category", "term", present.alias("present"), "sentiment_score")
-        .groupBy("category", "term")
-        .agg(correlation(F.col("present"), F.col("sentiment_score")).alias("correlation"))
-    )
+    listed = terms.select(F.col("category").alias(category), "term")
+    return term_correlation(df, listed, category, found)
 
 
 def recommendations(

@@ -11,12 +11,12 @@ from reviewlens.functions import text
 
 
 def _neighbours(words: Column) -> Column:
-    """Each word with the two before it."""
+    """Each word with the two before it, and whether it is the first."""
 
     def around(w: Column) -> Column:
         def one(x: Column, i: Column) -> Column:
             return F.struct(
-                x.alias("word"), F.get(w, i - 1).alias("prev1"), F.get(w, i - 2).alias("prev2")
+                x.alias("word"), F.get(w, i - 1).alias("prev1"), F.get(w, i - 2).alias("prev2"), (i == 0).alias("first")
             )
 
         return F.transform(w, one)
@@ -36,12 +36,12 @@ def lexicon_sentiment(
     A hit counts its polarity, times the factor of an intensifier just before it, times the
     factor of a negator one or two words before it (the nearer one). The score is the mean
     over hits, held within [-1, 1]; a review without a hit scores 0. Subjectivity is the plain
-    mean. Words meet the lexicon where they are; what is shuffled is one row per review. Every
-    review adds one empty hit after the join, so that none is lost and no word is common to all.
-    ``keep`` carries narrow columns through, which saves joining them back.
+    mean. Words meet the lexicon where they are; what is summed is hits, and each review's first
+    word, or an empty row, whether it is a hit or not, so that no review is lost, none is
+    read twice, and no word is common to all. ``keep`` carries narrow columns through, which saves joining them back.
     """
     pieces = df.select(
-        "Id", *keep, F.inline(_neighbours(text.words(F.col(text_col))))
+        "Id", *keep, F.inline_outer(_neighbours(text.words(F.col(text_col))))
     )
     entries = lexicon.select("word", "polarity", "subjectivity")
 
@@ -53,7 +53,8 @@ def lexicon_sentiment(
         )
 
     hits = (
-        pieces.join(entries, "word")
+        pieces.join(entries, "word", "left")
+        .where(F.col("polarity").isNotNull() | F.col("subjectivity").isNotNull() | F.coalesce("first", F.lit(True)))
         .join(side(1), "prev1", "left")
         .join(side(2).where(F.col("kind2") == "negator"), "prev2", "left")
     )
@@ -63,11 +64,8 @@ def lexicon_sentiment(
         .when(F.col("kind2") == "negator", F.col("factor2"))
         .otherwise(F.lit(1.0))
     )
-    none = F.lit(None).cast("double")
-    weighed = hits.select("Id", *keep, (F.col("polarity") * intensity * negation).alias("polarity"), "subjectivity")
-    every = df.select("Id", *keep, none.alias("polarity"), none.alias("subjectivity"))
-    mean = F.coalesce(F.avg("polarity"), F.lit(0.0))
-    return weighed.unionByName(every).groupBy("Id", *keep).agg(
+    mean = F.coalesce(F.avg(F.col("polarity") * intensity * negation), F.lit(0.0))
+    return hits.groupBy("Id", *keep).agg(
         F.greatest(F.lit(-1.0), F.least(F.lit(1.0), mean)).alias("sentiment_score"),
         F.coalesce(F.avg("subjectivity"), F.lit(0.0)).alias("subjectivity_score"),
     )
