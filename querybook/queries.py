@@ -351,11 +351,18 @@ def regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return r6(metrics.regression_metrics(test, "helpfulness_ratio"))
 
 
+#: The helpfulness model of a session's tables, by application and folder: three queries ask for the same fit.
+_MODELS: dict[tuple[str, str], helpfulness.HelpfulnessModel] = {}
+
+
 def _fitted(spark: SparkSession, sf: str) -> tuple[helpfulness.HelpfulnessModel, DataFrame]:
     scaled = settle(
         helpfulness.scale_features(settle(_features(spark, sf), "features")), "scaled"
     )
-    return helpfulness.fit_helpfulness(helpfulness.assemble(scaled), FEATURES), scaled
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _MODELS:
+        _MODELS[key] = helpfulness.fit_helpfulness(helpfulness.assemble(scaled), FEATURES)
+    return _MODELS[key], scaled
 
 
 def helpfulness_model(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,9 +2,16 @@
 
 For one leaf, let ``o`` say which features on its path let a review through, and ``r`` be the
 share of training weight that passes each of them. A feature's value is the average, over all
-orders of adding features, of what adding it changes in ``leaf * prod(o or r)``. A path of
-depth ``d`` has at most ``d`` features, so all ``2^d`` patterns of ``o`` are tabulated per leaf
-once; a review then only needs its pattern.
+orders of adding features, of what adding it changes in ``leaf * prod(o or r)``. As the number of
+features that come first is uniform, this average is an integral over a share ``t`` of features
+that are known:
+
+    leaf * (o_j - r_j) * integral over t of  prod over i <> j of  (1 - t) r_i + t o_i
+
+The product has a degree below the number of features on the path, so a Gauss rule of half as many points
+gives the integral exactly. One walk over a tree extends the products by one factor an edge, for all
+reviews of a batch at once, and on its way back sums them over the leaves below each edge. The work is
+linear in the nodes and in the points, for trees of any depth.
 """
 
 from __future__ import annotations
@@ -22,93 +29,49 @@ from pyspark.sql import types as T
 from reviewlens.operators.helpfulness import HelpfulnessModel
 from reviewlens.session import scratch_path
 
+ROWS = 2048  # reviews that walk a tree together, so that their products stay in the caches
 
-@dataclass
-class Leaf:
-    """One leaf: interval per path feature, and attributions per pattern of passed features."""
-
-    features: list[int]
-    low: np.ndarray
-    high: np.ndarray
-    table: np.ndarray
-
-
-def _pattern_table(value: float, shares: list[float]) -> np.ndarray:
-    """``table[pattern, j]``: value of path feature ``j`` when bit ``i`` says feature ``i`` passes.
 
-    The sums over subsets of the other features, by subset size, are the coefficients of
-    ``prod(share + passed * t)``.
-    """
-    d = len(shares)
-    passed = (np.arange(1 << d)[:, None] >> np.arange(d)) & 1
-    weights = [math.factorial(s) * math.factorial(d - s - 1) / math.factorial(d) for s in range(d)]
-    out = np.zeros((1 << d, d))
-    for j in range(d):
-        by_size = np.ones((1 << d, 1))
-        for i in range(d):
-            if i != j:
-                grown = np.zeros((1 << d, by_size.shape[1] + 1))
-                grown[:, :-1] += by_size * shares[i]
-                grown[:, 1:] += by_size * passed[:, [i]]
-                by_size = grown
-        out[:, j] = value * (passed[:, j] - shares[j]) * (by_size @ np.array(weights))
-    return out
-
-
-# Numbers in all tables of a model: 100 trees of depth 5 have up to 512,000.
-MOST_CELLS = 8_000_000
-
-
-def _cells(nodes: dict[int, dict]) -> int:
-    """How many numbers the tables of one tree hold: ``2^d * d`` for a leaf of ``d`` features."""
-    total, stack = 0, [(0, frozenset())]
-    while stack:
-        node_id, path = stack.pop()
-        node = nodes[node_id]
-        if node["left"] < 0:
-            total += len(path) << len(path)
-        else:
-            stack += [(child, path | {node["feature"]}) for child in (node["left"], node["right"])]
-    return total
-
-
-def _leaves(nodes: dict[int, dict], weight: float) -> tuple[list[Leaf], float]:
-    """Leaves of one tree, and the tree's weighted mean output."""
-    leaves, base = [], 0.0
-    stack = [(0, {})]
-    while stack:
-        node_id, path = stack.pop()
-        node = nodes[node_id]
-        if node["left"] < 0:
-            value = weight * node["prediction"]
-            features = sorted(path)
-            shares = [path[f][2] for f in features]
-            base += value * math.prod(shares)
-            leaves.append(
-                Leaf(
-                    features,
-                    np.array([path[f][0] for f in features]),
-                    np.array([path[f][1] for f in features]),
-                    _pattern_table(value, shares),
-                )
-            )
-            continue
-        feature, threshold = node["feature"], node["threshold"]
-        low, high, share = path.get(feature, (-math.inf, math.inf, 1.0))
-        for child, bounds in (
-            (node["left"], (low, min(high, threshold))),
-            (node["right"], (max(low, threshold), high)),
-        ):
-            passing = share * nodes[child]["count"] / node["count"]
-            stack.append((child, {**path, feature: (*bounds, passing)}))
-    return leaves, base
-
-
-def tree_leaves(spark: SparkSession, model: HelpfulnessModel) -> tuple[list[Leaf], float]:
-    """All leaves of the model and its base value, from the node tables of the saved model.
-
-    The nodes are model parameters: at most ``trees * 2^(depth + 1)`` of them. Tables of over
-    ``MOST_CELLS`` numbers are refused before they are made, as every task gets them.
+@dataclass
+class Node:
+    """A leaf with its weighted ``value``, or a split with the training share of each side."""
+
+    value: float = 0.0
+    feature: int = -1
+    threshold: float = 0.0
+    left: Node | None = None
+    right: Node | None = None
+    left_share: float = 1.0
+    right_share: float = 1.0
+
+    def mean(self) -> float:
+        """The output averaged over the training weight."""
+        if self.left is None:
+            return self.value
+        return self.left_share * self.left.mean() + self.right_share * self.right.mean()
+
+    def most_features(self, above: frozenset[int] = frozenset()) -> int:
+        """The largest number of different features on a path."""
+        if self.left is None:
+            return len(above)
+        own = above | {self.feature}
+        return max(self.left.most_features(own), self.right.most_features(own))
+
+
+def tree_of(nodes: dict[int, dict], weight: float, node_id: int = 0) -> Node:
+    """A tree from its rows ``left, right, feature, threshold, count, prediction`` by node number."""
+    own = nodes[node_id]
+    if own["left"] < 0:
+        return Node(weight * own["prediction"])
+    left, right = (tree_of(nodes, weight, own[side]) for side in ("left", "right"))
+    shares = [nodes[own[side]]["count"] / own["count"] for side in ("left", "right")]
+    return Node(0.0, own["feature"], own["threshold"], left, right, *shares)
+
+
+def model_trees(spark: SparkSession, model: HelpfulnessModel) -> list[Node]:
+    """All trees of the model, from the node tables of its saved form.
+
+    The nodes are model parameters: at most ``trees * 2^(depth + 1)`` of them.
     """
     path = scratch_path(spark, "helpfulness-trees")
     model.trees.write().save(path)
@@ -129,37 +92,60 @@ def tree_leaves(spark: SparkSession, model: HelpfulnessModel) -> tuple[list[Leaf
     trees: dict[int, dict[int, dict]] = {}
     for r in rows:
         trees.setdefault(r["treeID"], {})[r["id"]] = r.asDict()
-    cells = sum(_cells(nodes) for nodes in trees.values())
-    if cells > MOST_CELLS:
-        raise ValueError(f"the trees are too deep to attribute: {cells} table cells, at most {MOST_CELLS} are sent out")
-    leaves, base = [], 0.0
-    for tree_id, weight in enumerate(model.trees.treeWeights):
-        own, mean = _leaves(trees[tree_id], weight)
-        leaves += own
-        base += mean
-    return leaves, base
-
-
-def attribute(leaves: list[Leaf], x: np.ndarray) -> np.ndarray:
+    return [tree_of(trees[number], weight) for number, weight in enumerate(model.trees.treeWeights)]
+
+
+def gauss_rule(points: int) -> tuple[np.ndarray, np.ndarray]:
+    """Points and weights on the unit interval, as columns, exact below degree ``2 * points``."""
+    x, w = np.polynomial.legendre.leggauss(max(1, points))
+    return (x[:, None] + 1) / 2, w[:, None] / 2
+
+
+class _Walk:
+    """One tree and the columns of some reviews; adds to ``out``, a row for each feature."""
+
+    def __init__(self, x: np.ndarray, out: np.ndarray, points: int):
+        self.x, self.out = x, out
+        self.t, self.weights = gauss_rule(points)
+
+    def under(self, node: Node, product: np.ndarray, path: dict[int, tuple]) -> np.ndarray:
+        """The sum over the leaves below of leaf and product, after adding what their edges give."""
+        if node.left is None:
+            return node.value * product
+        column, earlier, total = self.x[node.feature], path.get(node.feature), 0.0
+        below_threshold = column <= node.threshold
+        for child, here, share in ((node.left, below_threshold, node.left_share), (node.right, ~below_threshold, node.right_share)):
+            passes, grown = here, product
+            if earlier:
+                passes, share, grown = here & earlier[0], share * earlier[1], product / earlier[2]
+            factor = (1 - self.t) * share + self.t * passes
+            below = self.under(child, grown * factor, {**path, node.feature: (passes, share, factor)})
+            self.out[node.feature] += (passes - share) * (self.weights * below / factor).sum(axis=0)
+            if earlier:  # the earlier edge of this feature has no part in the leaves of this one
+                self.out[node.feature] -= (earlier[0] - earlier[1]) * (self.weights * below / earlier[2]).sum(axis=0)
+            total = total + below
+        return total
+
+
+def attribute(trees: list[Node], x: np.ndarray) -> np.ndarray:
     """Shapley values of the rows of ``x``."""
-    out = np.zeros_like(x, dtype=float)
-    for leaf in leaves:
-        pattern = np.zeros(len(x), dtype=np.int64)
-        for bit, feature in enumerate(leaf.features):
-            column = x[:, feature]
-            passes = (column > leaf.low[bit]) & (column <= leaf.high[bit])
-            pattern |= passes.astype(np.int64) << bit
-        values = leaf.table[pattern]
-        for bit, feature in enumerate(leaf.features):
-            out[:, feature] += values[:, bit]
+    out = np.zeros(x.shape, dtype=float)
+    points = [math.ceil(tree.most_features() / 2) for tree in trees]
+    for first in range(0, len(x), ROWS):
+        columns = np.ascontiguousarray(x[first : first + ROWS].T, dtype=float)
+        values = np.zeros_like(columns)
+        for tree, n in zip(trees, points):
+            walk = _Walk(columns, values, n)
+            walk.under(tree, np.ones((len(walk.t), columns.shape[1])), {})
+        out[first : first + ROWS] = values.T
     return out
 
 
 def shap_values(model: HelpfulnessModel, scaled: DataFrame) -> DataFrame:
     """``Id, phi, base``: one value per feature of the same scaled rows the model was fitted on."""
     spark = scaled.sparkSession
-    leaves, base = tree_leaves(spark, model)
-    shared = spark.sparkContext.broadcast(leaves)
+    trees = model_trees(spark, model)
+    shared = spark.sparkContext.broadcast(trees)
     names = model.names
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -172,7 +158,7 @@ def shap_values(model: HelpfulnessModel, scaled: DataFrame) -> DataFrame:
         [T.StructField("Id", id_type), T.StructField("phi", T.ArrayType(T.DoubleType()))]
     )
     filled = scaled.select("Id", *[F.coalesce(F.col(n), F.lit(0.0)).alias(n) for n in names])
-    return filled.mapInPandas(run, schema).withColumn("base", F.lit(base))
+    return filled.mapInPandas(run, schema).withColumn("base", F.lit(sum(tree.mean() for tree in trees)))
 
 
 def mean_attribution(values: DataFrame, names: list[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import time
 from collections import Counter
 
 import numpy as np
@@ -223,6 +224,20 @@ def _tree_value(nodes, x, known, node=0):
     return share * _tree_value(nodes, x, known, n["left"]) + (1 - share) * _tree_value(nodes, x, known, n["right"])
 
 
+def _by_all_subsets(nodes, row, n):
+    """The Shapley values of a row from the tree's value under every subset of known features."""
+    value = {s: _tree_value(nodes, row, set(s)) for size in range(n + 1) for s in itertools.combinations(range(n), size)}
+    out = []
+    for j in range(n):
+        total = 0.0
+        for s in value:
+            if j not in s:
+                weight = math.factorial(len(s)) * math.factorial(n - len(s) - 1) / math.factorial(n)
+                total += weight * (value[tuple(sorted((*s, j)))] - value[s])
+        out.append(total)
+    return out
+
+
 def test_attribution_by_all_subsets():
     rng = np.random.default_rng(3)
 
@@ -236,19 +251,50 @@ def test_attribution_by_all_subsets():
         split(0, 1, 2, 0, 0.0, 100), split(1, 3, 4, 1, 0.5, 40), split(2, 5, 6, 0, 1.0, 60),
         leaf(3, 10), leaf(4, 30), split(5, 7, 8, 2, -0.5, 45), leaf(6, 15), leaf(7, 5), leaf(8, 40),
     ]}
-    leaves, base = attribution._leaves(nodes, 1.0)
+    tree = attribution.tree_of(nodes, 1.0)
     x = rng.normal(size=(40, 4))
-    phi = attribution.attribute(leaves, x)
-    assert base == pytest.approx(_tree_value(nodes, x[0], set()))
+    phi = attribution.attribute([tree], x)
+    assert tree.mean() == pytest.approx(_tree_value(nodes, x[0], set()))
+    for row, got in zip(x, phi):
+        assert got == pytest.approx(_by_all_subsets(nodes, row, 4), abs=1e-12)
+
+
+def _random_tree(rng, depth, n_features):
+    """Node rows of a full tree: random features, which repeat on its paths, and uneven shares."""
+    nodes, todo = {}, [(0, depth, 2.0**20)]
+    while todo:
+        i, left_levels, count = todo.pop()
+        if not left_levels:
+            nodes[i] = {"left": -1, "right": -1, "count": count, "prediction": float(rng.normal())}
+            continue
+        share = rng.uniform(0.001, 0.999)
+        nodes[i] = {"left": 2 * i + 1, "right": 2 * i + 2, "feature": int(rng.integers(n_features)), "threshold": float(rng.normal()), "count": count}
+        todo += [(2 * i + 1, left_levels - 1, count * share), (2 * i + 2, left_levels - 1, count * (1 - share))]
+    return nodes
+
+
+@pytest.mark.parametrize("depth,n_features", [(0, 3), (1, 1), (4, 2), (6, 7), (10, 6)])
+def test_attribution_of_deep_trees_by_all_subsets(monkeypatch, depth, n_features):
+    monkeypatch.setattr(attribution, "ROWS", 3)
+    rng = np.random.default_rng(depth)
+    forest = [_random_tree(rng, depth, n_features) for _ in range(2)]
+    trees = [attribution.tree_of(nodes, weight) for nodes, weight in zip(forest, (1.0, 0.1))]
+    x = rng.normal(size=(7, n_features))
+    phi = attribution.attribute(trees, x)
     for row, got in zip(x, phi):
-        for j in range(4):
-            expected = 0.0
-            others = [i for i in range(4) if i != j]
-            for size in range(4):
-                for s in itertools.combinations(others, size):
-                    weight = math.factorial(size) * math.factorial(3 - size) / math.factorial(4)
-                    expected += weight * (_tree_value(nodes, row, {*s, j}) - _tree_value(nodes, row, set(s)))
-            assert got[j] == pytest.approx(expected, abs=1e-12)
+        expected = sum(w * np.array(_by_all_subsets(nodes, row, n_features)) for nodes, w in zip(forest, (1.0, 0.1)))
+        assert got == pytest.approx(expected, abs=1e-10)
+        whole = sum(w * _tree_value(nodes, row, set(range(n_features))) for nodes, w in zip(forest, (1.0, 0.1)))
+        assert sum(got) + sum(t.mean() for t in trees) == pytest.approx(whole)
+
+
+def test_attribution_of_a_hundred_deep_trees():
+    """Depth 10: the work is linear in the nodes, where tables would hold 10 * 2^10 numbers a leaf."""
+    rng = np.random.default_rng(8)
+    trees = [attribution.tree_of(_random_tree(rng, 10, 9), 0.1) for _ in range(100)]
+    x = rng.normal(size=(64, 9))
+    phi, start = attribution.attribute(trees, x), time.time()
+    assert attribution.attribute(trees[:10], x).shape == phi.shape and time.time() - start < 20
 
 
 def test_attributions_add_up_to_the_prediction(spark):

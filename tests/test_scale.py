@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlens.operators import charts, coherence, lexicon, ranking, topics
-from reviewlens.operators.attribution import MOST_CELLS, _cells
 from reviewlens.schema import require_key
 from reviewlens.session import release, scratch_path, settle, settled_count
 
@@ -83,18 +82,6 @@ def test_failed_fit_scores_zero(spark, monkeypatch):
     assert scores[3] == 0.0 and set(scores) == {2, 3}
 
 
-def test_deep_trees_are_refused():
-    def tree(depth, node=0, feature=0):
-        if feature == depth:
-            return {node: {"left": -1, "prediction": 1.0, "count": 1}}
-        left, right = 2 * node + 1, 2 * node + 2
-        own = {node: {"left": left, "right": right, "feature": feature, "threshold": 0.0, "count": 1}}
-        return own | tree(depth, left, feature + 1) | tree(depth, right, feature + 1)
-
-    assert _cells(tree(3)) == 8 * 3 * 8
-    assert _cells(tree(5)) * 100 < MOST_CELLS < _cells(tree(10)) * 100
-
-
 def test_settled_tables_are_released(spark):
     mark = settled_count()
     settle(spark.range(3).toDF("x"), "some")
