@@ -2,138 +2,92 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Sequence
-from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.functions import vector_to_array
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from reviewlens.functions import text
 from reviewlens.functions.numbers import divide
+from reviewlens.operators import online_topics
 from reviewlens.operators.coherence import coherence
+from reviewlens.operators.online_topics import BATCH, MOST_BATCHES, PASSES, OnlineModel
 from reviewlens.operators.ranking import first_per_group, sample_reviews
-from reviewlens.operators.terms import tfidf_vectors
+from reviewlens.operators.terms import bag_of_words, tfidf
+from reviewlens.session import settle
 
-# Sizes tried, passes over the data, and learning offset.
+# Fixed value: sizes tried.
 TOPIC_COUNTS = (5, 10, 15)
-PASSES = 20
-OFFSET = 50.0
 
 
-@dataclass
-class TopicModel:
-    """One model of one category; ``terms`` is its vocabulary in column order.
-
-    ``model`` is None if the fit failed; such a model scores 0 in ``coherence_sweep``.
-    """
-
-    category: str
-    k: int
-    model: LDAModel | None
-    terms: list[str]
-
-
-def fit_lda(
-    vectors: DataFrame, k: int, passes: int = PASSES, share: float = 1.0, seed: int = 42
-) -> LDAModel:
-    """Online LDA over ``features``, in ``passes / share`` updates whatever the number of reviews.
+def topic_vectors(
+    df: DataFrame, vocab: DataFrame, column: str = "predicted_category", keep: Sequence[str] = (), batch: int = BATCH
+) -> DataFrame:
+    """``category, Id, *keep, terms, weights, batch``: the TF-IDF row of every review, settled by batch.
 
-    Every update draws ``share`` of the reviews at random, with replacement. At the default
-    of 20 updates of full size, a review is in none of them with probability e^-20.
+    Reviews without any vocabulary term say nothing about topics and are left out. A pass has as
+    many batches as the largest category has times ``batch`` reviews, ``MOST_BATCHES`` at most.
     """
-    learner = LDA(
-        k=k,
-        optimizer="online",
-        maxIter=round(passes / share),
-        subsamplingRate=share,
-        learningOffset=OFFSET,
-        learningDecay=0.7,
-        seed=seed,
+    spark, tokens = df.sparkSession, text.terms(F.col("clean_text"))
+    rows = tfidf(bag_of_words(df, tokens, [column, *keep]), vocab, [column], keep)
+    entry = F.sort_array(F.collect_list(F.struct("term_idx", "weight"))).alias("entries")
+    # few bytes, much work: as many parts as tasks may run, whatever they weigh
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    grouped = settle(rows.groupBy(F.col(column).alias("category"), "Id", *keep).agg(entry), "topic-rows")
+    largest = grouped.groupBy("category").count().agg(F.max("count")).first()[0] or 0
+    batches = min(MOST_BATCHES, max(1, -(-largest // batch)))
+    vectors = grouped.select(
+        "category", "Id", *keep, F.col("entries.term_idx").cast("array<int>").alias("terms"), F.col("entries.weight").alias("weights"),
+        F.pmod(F.xxhash64("Id"), F.lit(batches)).cast("int").alias("batch"),
     )
-    return learner.fit(vectors)
-
+    return settle(vectors.repartition(parts, "Id"), "topic-vectors", by="batch")
 
-def document_vectors(
-    df: DataFrame, vocab: DataFrame, category: str, column: str = "predicted_category"
-) -> tuple[DataFrame, list[str]]:
-    """A category's reviews with a sparse TF-IDF vector, and the terms in column order.
 
-    Reviews without any vocabulary term say nothing about topics and are left out.
-    """
-    own = vocab.where(F.col(column) == category)
-    terms = [r["term"] for r in own.select("term").orderBy("term_idx").collect()]
-    if not terms:
-        raise ValueError(f"no vocabulary for category {category!r}")
-    tokens = text.terms(F.col("clean_text"))
-    known = F.split(F.lit(" ".join(terms)), " ")
-    reviews = df.where((F.col(column) == category) & F.arrays_overlap(tokens, known))
-    return tfidf_vectors(reviews, tokens, own), terms
-
-
-def fit_topics(
-    df: DataFrame,
+def fit_all_topics(
+    vectors: DataFrame,
     vocab: DataFrame,
-    category: str,
     counts: Sequence[int] = TOPIC_COUNTS,
     column: str = "predicted_category",
     passes: int = PASSES,
-) -> list[TopicModel]:
-    """Models of one category, one per topic count, over its TF-IDF vectors.
+) -> list[OnlineModel]:
+    """A model of every category of the vocabulary and number of topics, all in the same jobs.
 
-    A fit that fails is logged, and its model is None.
+    A category without a review to learn from has models without weights.
     """
-    vectors, terms = document_vectors(df, vocab, category, column)
-    vectors = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
-
-    def fit(k: int) -> LDAModel | None:
-        try:
-            return fit_lda(vectors, k, passes)
-        except Exception:  # one size that cannot be fitted does not end the others
-            logging.getLogger(__name__).exception("no model of %s topics for %s", k, category)
-            return None
-
-    try:
-        return [TopicModel(category, k, fit(k), terms) for k in counts]
-    finally:
-        vectors.unpersist()
+    names: dict[str, list[str]] = {}
+    for row in vocab.select(F.col(column).alias("category"), "term").orderBy(column, "term_idx").collect():
+        names.setdefault(row["category"], []).append(row["term"])
+    return online_topics.fit_models(vectors, names, counts, passes)
 
 
-def fit_all_topics(
-    df: DataFrame,
-    vocab: DataFrame,
-    counts: Sequence[int] = TOPIC_COUNTS,
-    column: str = "predicted_category",
-    passes: int = PASSES,
-    parallelism: int = 4,
-) -> list[TopicModel]:
-    """``fit_topics`` for every category of the vocabulary, a few categories at a time."""
-    categories = sorted(r[0] for r in vocab.select(column).distinct().collect())
-
-    def fit(category: str) -> list[TopicModel]:
-        return fit_topics(df, vocab, category, counts, column, passes)
-
-    with ThreadPool(parallelism) as pool:
-        fitted = pool.map(inheritable_thread_target(df.sparkSession)(fit), categories)
-    return [model for models in fitted for model in models]
+def model_table(spark: SparkSession, models: Sequence[OnlineModel]) -> DataFrame:
+    """``category, k, topic, term_idx, term, weight`` of models, to be kept and read by ``read_models``."""
+    rows = [
+        (m.category, m.k, topic, column, term, float(weight))
+        for m in models if m.weights is not None
+        for topic, weights in enumerate(m.weights)
+        for column, (term, weight) in enumerate(zip(m.terms, weights))
+    ]
+    return spark.createDataFrame(rows, "category string, k int, topic int, term_idx int, term string, weight double")
 
 
-def perplexity(model: TopicModel, vectors: DataFrame) -> float:
-    """Upper bound on the log perplexity of the given vectors."""
-    return model.model.logPerplexity(vectors)
+def read_models(table: DataFrame) -> list[OnlineModel]:
+    """The models of ``model_table``."""
+    found: dict[tuple[str, int], list] = {}
+    for row in table.orderBy("category", "k", "topic", "term_idx").collect():
+        found.setdefault((row["category"], row["k"]), []).append(row)
+    out = []
+    for (category, k), rows in found.items():
+        terms = [r["term"] for r in rows if r["topic"] == 0]
+        weights = np.array([r["weight"] for r in rows]).reshape(k, len(terms))
+        out.append(OnlineModel(category, k, terms, weights))
+    return out
 
 
-def document_topics(model: TopicModel, vectors: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """``category, Id, *keep, topics``: topic shares of every review as an array."""
-    shares = vector_to_array("topicDistribution").alias("topics")
-    return model.model.transform(vectors).select(
-        F.lit(model.category).alias("category"), "Id", *keep, shares
-    )
+def document_topics(models: Sequence[OnlineModel], vectors: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """``category, Id, *keep, topics``: topic shares of every review as an array, by one model a category."""
+    return online_topics.shares(vectors, models, keep).drop("k")
 
 
 def long_topics(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -141,15 +95,14 @@ def long_topics(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return df.select("category", "Id", *keep, F.posexplode("topics").alias("topic", "weight"))
 
 
-def topic_terms(spark: SparkSession, models: Sequence[TopicModel], n: int = 10) -> DataFrame:
+def topic_terms(spark: SparkSession, models: Sequence[OnlineModel], n: int = 10) -> DataFrame:
     """``category, k, topic, rnk, term, weight``: the ``n`` heaviest terms of every topic."""
-    rows = [
-        (m.category, m.k, topic["topic"], rank, m.terms[index], float(weight))
-        for m in models
-        if m.model is not None
-        for topic in m.model.describeTopics(n).collect()
-        for rank, (index, weight) in enumerate(zip(topic["termIndices"], topic["termWeights"]), 1)
-    ]
+    rows = []
+    for m in models:
+        for topic, weights in enumerate(m.weights if m.weights is not None else ()):
+            weights = weights / weights.sum()
+            heaviest = np.argsort(-weights, kind="stable")[:n].tolist()
+            rows += [(m.category, m.k, topic, rank, m.terms[i], float(weights[i])) for rank, i in enumerate(heaviest, 1)]
     return spark.createDataFrame(
         rows, "category string, k int, topic int, rnk int, term string, weight double"
     )
@@ -199,21 +152,21 @@ def best_k(scores: DataFrame, keys: Sequence[str] = ("category",)) -> DataFrame:
 
 def coherence_sweep(
     df: DataFrame,
-    models: Sequence[TopicModel],
+    models: Sequence[OnlineModel],
     column: str = "predicted_category",
     n_terms: int = 20,
     sample: int | None = None,
 ) -> DataFrame:
     """``category, k, coherence`` of fitted models, scored in one pass over the texts.
 
-    A failed model scores 0. All reviews are read, or an exact sample of ``sample`` per category.
+    A model without weights scores 0. All reviews are read, or an exact sample of ``sample`` per category.
     """
     ranked = topic_terms(df.sparkSession, models, n_terms)
     reviews = df.select(F.col(column).alias("category"), "Id", "clean_text")
     if sample is not None:
         reviews = sample_reviews(reviews, sample, ["category"])
     scores = model_coherence(coherence(reviews, ranked, ["category"], ["k"]))
-    failed = [(m.category, m.k, 0.0) for m in models if m.model is None]
+    failed = [(m.category, m.k, 0.0) for m in models if m.weights is None]
     if not failed:
         return scores
     return scores.unionByName(

@@ -116,7 +116,6 @@ def model_topics(
     counts: Sequence[int] = topics.TOPIC_COUNTS,
     passes: int = topics.PASSES,
     sample: int | None = None,
-    parallelism: int = 4,
 ) -> dict[str, DataFrame]:
     """Fit every topic count per category, keep the most coherent model of each.
 
@@ -125,36 +124,32 @@ def model_topics(
     mark = settled_count()
     reviews_by = load_processed(spark, root).withColumnRenamed(CATEGORY, "category")
     _, vocab = tables.load_features(spark, root)
-    models = topics.fit_all_topics(reviews_by, vocab, counts, "category", passes, parallelism)
+    vectors = topics.topic_vectors(reviews_by, vocab, "category", ["sentiment_score"])
+    models = topics.fit_all_topics(vectors, vocab, counts, "category", passes)
     scores = settle(topics.coherence_sweep(reviews_by, models, "category", sample=sample), "scores")
     best = {r["category"]: r["k"] for r in topics.best_k(scores).collect()}
-    chosen = [m for m in models if best.get(m.category) == m.k and m.model is not None]
-    shares, fit = None, []
-    for model in chosen:
-        vectors, _ = topics.document_vectors(reviews_by, vocab, model.category, "category")
-        vectors = settle(vectors.select("Id", "sentiment_score", "features"), "topic-vectors")
-        fit.append((model.category, model.k, topics.perplexity(model, vectors)))
-        part = topics.document_topics(model, vectors, ["sentiment_score"])
-        shares = part if shares is None else shares.unionByName(part)
-    if shares is None:
+    chosen = [m for m in models if best.get(m.category) == m.k and m.weights is not None]
+    if not chosen:
         raise ValueError("no category has a vocabulary to model")
+    shares = topics.document_topics(chosen, vectors, ["sentiment_score"])
+    fit = [(m.category, m.k, done, value) for m in chosen for done, value in m.trace]
     ranked = topics.top_terms(topics.topic_terms(spark, chosen), ["category", "k"])
     merged = topics.merged_terms(ranked, ["category", "k"]).select("category", "rnk", "term")
-    entries = [(m.category, m.k, m.model) for m in chosen]
-    model_files.register_models(spark, "topic_models", entries, root, run_ts)
     found = _write(
         {
             "topic_distributions": shares,
             "top_terms": merged,
             "coherence_scores": scores,
             "topic_perplexity": spark.createDataFrame(
-                fit, "category string, k int, log_perplexity double"
+                fit, "category string, k int, passes int, log_perplexity double"
             ),
+            "topic_models": topics.model_table(spark, chosen),
         },
         root,
         run_ts,
         topic_distributions="category",
         top_terms="category",
+        topic_models="category",
     )
     weighed = topics.long_topics(found["topic_distributions"], ["sentiment_score"])
     found |= _write({"topic_sentiment": topics.topic_sentiment(weighed)}, root, run_ts)

@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reviewlens.operators import charts, coherence, lexicon, ranking, topics
+from reviewlens.functions import text
+from reviewlens.operators import charts, coherence, lexicon, ranking, terms, topics
 from reviewlens.schema import require_key
 from reviewlens.session import release, scratch_path, settle, settled_count
 
@@ -62,24 +63,14 @@ def test_boxplot_equals_numpy(spark):
         assert [r.lowest, r.q1, r.median, r.q3, r.highest] == pytest.approx(np.quantile(own, [0, 0.25, 0.5, 0.75, 1]))
 
 
-def test_failed_fit_scores_zero(spark, monkeypatch):
+def test_category_without_reviews_scores_zero(spark):
     rows = [(i, "c", f"tea cup kettle w{i % 5}") for i in range(20)]
     df = spark.createDataFrame(rows, "Id bigint, predicted_category string, clean_text string")
-    from reviewlens.functions import text
-    from reviewlens.operators import terms
-
     vocab = terms.fit_vocabulary(df, text.terms(F.col("clean_text")), 10, ["predicted_category"])
-    fit = topics.fit_lda
-
-    def fails(vectors, k, passes):
-        if k == 3:
-            raise RuntimeError("no model")
-        return fit(vectors, k, passes)
-
-    monkeypatch.setattr(topics, "fit_lda", fails)
-    models = topics.fit_all_topics(df, vocab, (2, 3), passes=2)
-    scores = {r.k: r.coherence for r in topics.coherence_sweep(df, models).collect()}
-    assert scores[3] == 0.0 and set(scores) == {2, 3}
+    vocab = vocab.union(vocab.limit(3).withColumn("predicted_category", F.lit("none")))
+    models = topics.fit_all_topics(topics.topic_vectors(df, vocab), vocab, (2, 3), passes=2)
+    scores = {(r.category, r.k): r.coherence for r in topics.coherence_sweep(df, models).collect()}
+    assert scores["none", 2] == scores["none", 3] == 0.0 and set(scores) == {(c, k) for c in ("c", "none") for k in (2, 3)}
 
 
 def test_settled_tables_are_released(spark):

@@ -1,15 +1,15 @@
 """All stages in a row on a small review file."""
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import LocalLDAModel
 from pyspark.ml.regression import GBTRegressionModel
 
+from reviewlens.operators import topics
 from reviewlens.operators.attribution import gain_importance
 from reviewlens.operators.helpfulness import HelpfulnessModel
 from reviewlens.operators.sentiment_model import SentimentModel, score_sentiment
 from reviewlens.plans import stages
 from reviewlens.schema import FEATURES, RAW_REVIEWS
-from reviewlens.sources import models, reviews
+from reviewlens.sources import models, reviews, tables
 
 SUBJECTS = {
     "Tea & Coffee": ["tea", "coffee", "kettle", "mug", "brew", "leaf"],
@@ -69,8 +69,8 @@ def test_run_all(spark, folder):
     assert found["chart_topics"].count() > 0 and found["chart_sentiment_box"].count() > 0
     assert {"chart_ratings", "chart_words", "chart_timeline", "chart_sentiment_months"} <= set(found)
 
-    kept = models.load_models(spark, "topic_models", root, LocalLDAModel)
-    assert [(c, m.describeTopics().count()) for c, _, m in kept] == [(c, k) for c, k, _ in kept]
+    kept = topics.read_models(tables.load_result(spark, root, "topic_models", by="category"))
+    assert [m.category for m in kept] == sorted(SUBJECTS) and all(len(m.weights) == m.k for m in kept)
     assert found["topic_perplexity"].count() == len(kept) == 2
     ((_, _, whole),) = models.load_models(spark, "sentiment_models", root, PipelineModel)
     again = score_sentiment(SentimentModel.of(whole), done.select("Id", "Text", "Score"))
