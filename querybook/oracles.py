@@ -363,18 +363,19 @@ FROM classified GROUP BY 1""",
   {r6('subjectivity_score')} AS subjectivity_score FROM scored"""
     ),
     "sentiment_classifier": base(
-        f"""SELECT Id, CASE WHEN Score <= 2 THEN 0 WHEN Score <= 3 THEN 1 ELSE 2 END AS sentiment_label,
+        f"""SELECT Id, CASE lang WHEN 'de' THEN 0 WHEN 'fr' THEN 1 ELSE 2 END AS sentiment_label,
   {SPLIT} AS split, true AS score_is_sound FROM reviews"""
     ),
     "sentiment_quality": base(
-        f"""SELECT count(*) AS n_test, true AS accuracy_is_hits, true AS f1_in_range
-FROM reviews WHERE {SPLIT} = 'test' AND Score IS NOT NULL"""
+        f"""SELECT count(*) AS n_test, true AS accuracy_is_hits, true AS beats_largest_class
+FROM reviews WHERE {SPLIT} = 'test'"""
     ),
     "helpfulness_model": base(
-        f"SELECT count(*) AS n_test, true AS mse_is_of_rows FROM reviews WHERE {SPLIT} = 'test'"
+        f"SELECT count(*) AS n_test, true AS mse_is_of_rows, true AS fits FROM reviews WHERE {SPLIT} = 'test'"
     ),
-    "shap_importance": base("SELECT Id, true AS adds_up FROM reviews"),
-    "feature_ranking": f"SELECT unnest({NAMES}) AS feature, true AS in_order",
+    "shap_importance": base("SELECT Id, true AS adds_up, true AS follows_rating FROM reviews"),
+    "feature_ranking": f"""SELECT feature, true AS in_order, CASE feature WHEN 'rating' THEN 1 WHEN 'hour' THEN 2 END AS planted_place
+FROM (SELECT unnest({NAMES}) AS feature)""",
     "result_tables": scored(
         f"""SELECT unnest(['category_performance', 'category_metrics', 'recommendations']) AS name,
   (SELECT count(DISTINCT category) FROM scored) AS n_rows
@@ -384,17 +385,17 @@ UNION ALL SELECT 'sentiment_effect', count(DISTINCT category) FROM scored
   WHERE sentiment_score BETWEEN 0.2e0 AND 0.4e0"""
     ),
     "lda_topics": base(
-        """SELECT category, 5 AS k, topic::INT AS topic, rnk::INT AS rnk, true AS is_sound
+        """SELECT category, 5 AS k, topic::INT AS topic, rnk::INT AS rnk, true AS is_sound, true AS learned
 FROM (SELECT DISTINCT category FROM reviews) c CROSS JOIN range(5) t(topic) CROSS JOIN range(1, 11) r(rnk)"""
     ),
     "document_topics": prepared(
-        """SELECT category, Id, 5::BIGINT AS n_topics, true AS sums_to_one
+        """SELECT category, Id, 5::BIGINT AS n_topics, true AS sums_to_one, true AS tells_languages
 FROM (SELECT DISTINCT category, Id FROM bag JOIN vocab USING (category, term))""",
         BAG,
         vocabulary(1000),
     ),
     "coherence_sweep": base(
-        """SELECT category, k, true AS in_range, true AS one_kept
+        """SELECT category, k, true AS in_range, true AS one_kept, true AS groups_terms
 FROM (SELECT DISTINCT category FROM reviews) c CROSS JOIN (SELECT unnest([5, 10, 15])::INT AS k) s"""
     ),
     "feature_table": scored(
@@ -460,6 +461,11 @@ FROM scored JOIN doc_topics USING (Id) GROUP BY topic""",
     "read_reviews_csv": prepared(
         """SELECT Id, ProductId, HelpfulnessNumerator, HelpfulnessDenominator, Score,
   date_diff('second', TIMESTAMP '1970-01-01', date_trunc('second', Time)) AS Time, Summary, Text FROM prepared"""
+    ),
+    "streamed_reviews": prepared(
+        f"""SELECT Id, {r6('helpfulness_ratio')} AS helpfulness_ratio, clean_text, text_length, summary_length, word_count,
+  concat_ws(' ', Summary, Text) AS combined_text, {MONTH} AS month,
+  CASE WHEN Score <= 2 THEN 0 WHEN Score <= 3 THEN 1 ELSE 2 END AS sentiment_label FROM prepared"""
     ),
     "pruned_scan": base("SELECT Text, Score, Time, ProductId FROM reviews"),
     "latest_snapshot": prepared(

@@ -150,25 +150,37 @@ def best_k(scores: DataFrame, keys: Sequence[str] = ("category",)) -> DataFrame:
     return first_per_group(scores, keys, order, ["k", "coherence"])
 
 
+def dealt_terms(ranked: DataFrame) -> DataFrame:
+    """The terms of ``topic_terms`` dealt over the other topics of their model: as many of each rank, without what groups them."""
+    topic = F.pmod(F.col("topic") + F.col("rnk"), F.col("k")).cast("int")
+    return ranked.withColumn("topic", topic)
+
+
 def coherence_sweep(
     df: DataFrame,
     models: Sequence[OnlineModel],
     column: str = "predicted_category",
     n_terms: int = 20,
     sample: int | None = None,
+    compare_dealt: bool = False,
 ) -> DataFrame:
     """``category, k, coherence`` of fitted models, scored in one pass over the texts.
 
     A model without weights scores 0. All reviews are read, or an exact sample of ``sample`` per category.
+    ``compare_dealt`` adds ``dealt_coherence``, of the same terms dealt over the topics.
     """
     ranked = topic_terms(df.sparkSession, models, n_terms)
     reviews = df.select(F.col(column).alias("category"), "Id", "clean_text")
     if sample is not None:
         reviews = sample_reviews(reviews, sample, ["category"])
-    scores = model_coherence(coherence(reviews, ranked, ["category"], ["k"]))
-    failed = [(m.category, m.k, 0.0) for m in models if m.weights is None]
+    listed = ranked.withColumn("dealt", F.lit(False))
+    if compare_dealt:
+        listed = listed.unionByName(dealt_terms(ranked).withColumn("dealt", F.lit(True)))
+    found = model_coherence(coherence(reviews, listed, ["category"], ["k", "dealt"]), ["category", "k", "dealt"])
+    columns = {"coherence": False, "dealt_coherence": True} if compare_dealt else {"coherence": False}
+    scores = found.groupBy("category", "k").agg(*[F.max(F.when(F.col("dealt") == d, F.col("coherence"))).alias(n) for n, d in columns.items()])
+    failed = [(m.category, m.k, *[0.0] * len(columns)) for m in models if m.weights is None]
     if not failed:
         return scores
-    return scores.unionByName(
-        df.sparkSession.createDataFrame(failed, "category string, k int, coherence double")
-    )
+    schema = "category string, k int" + "".join(f", {name} double" for name in columns)
+    return scores.unionByName(df.sparkSession.createDataFrame(failed, schema))

@@ -59,11 +59,15 @@ def _write(found: dict[str, DataFrame], root: str, run_ts: str, **by: str) -> di
     """Write tables and return them as read back."""
     tables.write_results(found, root, run_ts, by)
     spark = next(iter(found.values())).sparkSession
-    return {name: tables.load_result(spark, root, name, by.get(name)) for name in found}
+    return {name: tables.load_result(spark, root, name, by.get(name), run_ts) for name in found}
 
 
-def load_processed(spark: SparkSession, root: str) -> DataFrame:
-    return snapshots.latest_snapshot(spark, f"{root}/{PROCESSED}", CATEGORY)
+def load_processed(spark: SparkSession, root: str, run_ts: str | None = None) -> DataFrame:
+    """The processed reviews of the run at hand, else of the newest published one."""
+    run = tables.run_of(spark, root, PROCESSED, run_ts)
+    if run is None:
+        raise FileNotFoundError(f"no processed reviews under {root}/{PROCESSED}")
+    return snapshots.read_run(spark, f"{root}/{PROCESSED}", run, CATEGORY)
 
 
 def process_reviews(
@@ -95,7 +99,7 @@ def process_reviews(
     whole = prepared.join(classified.join(sentiment, "Id"), "Id")
     snapshots.write_snapshot(whole, f"{root}/{PROCESSED}", run_ts, CATEGORY)
 
-    done = load_processed(spark, root).withColumnRenamed(CATEGORY, "category")
+    done = load_processed(spark, root, run_ts).withColumnRenamed(CATEGORY, "category")
     tokens = text.terms(F.col("clean_text"))
     vocab = terms.fit_vocabulary(done, tokens, 1000, ["category"], params.stop_words)
     bag = terms.bag_of_words(done, tokens, ["category"], params.stop_words)
@@ -122,8 +126,8 @@ def model_topics(
     Coherence reads all reviews unless ``sample`` bounds them per category.
     """
     mark = settled_count()
-    reviews_by = load_processed(spark, root).withColumnRenamed(CATEGORY, "category")
-    _, vocab = tables.load_features(spark, root)
+    reviews_by = load_processed(spark, root, run_ts).withColumnRenamed(CATEGORY, "category")
+    _, vocab = tables.load_features(spark, root, run_ts=run_ts)
     vectors = topics.topic_vectors(reviews_by, vocab, "category", ["sentiment_score"])
     models = topics.fit_all_topics(vectors, vocab, counts, "category", passes)
     scores = settle(topics.coherence_sweep(reviews_by, models, "category", sample=sample), "scores")
@@ -162,7 +166,7 @@ def analyse_sentiment(
 ) -> dict[str, DataFrame]:
     """Learn sentiment from ratings, score all reviews, and write its trends."""
     mark = settled_count()
-    df = load_processed(spark, root).select("Id", "Text", "Score", "Time", "ProductId")
+    df = load_processed(spark, root, run_ts).select("Id", "Text", "Score", "Time", "ProductId")
     model = sentiment_model.fit_sentiment(df, sample)
     scored = settle(
         sentiment_model.score_sentiment(model, df, ["Score", "Time", "ProductId"]), "sentiment"
@@ -186,7 +190,7 @@ def predict_helpfulness(
 ) -> dict[str, DataFrame]:
     """Fit the helpfulness model; write its metrics, attributions and product table."""
     mark = settled_count()
-    df = load_processed(spark, root)
+    df = load_processed(spark, root, run_ts)
     features = helpfulness.feature_table(df)
     names = helpfulness.feature_names(features)
     scaled = settle(helpfulness.scale_features(features), "scaled")
@@ -209,9 +213,9 @@ def predict_helpfulness(
 
 def analyse_impact(spark: SparkSession, root: str, run_ts: str) -> dict[str, DataFrame]:
     """Effect sizes, category tables, advice, and term correlations where topics exist."""
-    df = load_processed(spark, root)
+    df = load_processed(spark, root, run_ts)
     found = impact.impact_tables(df)
-    listed = tables.load_result(spark, root, "top_terms", by="category")
+    listed = tables.load_result(spark, root, "top_terms", by="category", run_ts=run_ts)
     if listed is not None:
         found["term_sentiment"] = impact.term_sentiment(df, listed).orderBy(
             "category", "correlation", "term"
@@ -223,7 +227,7 @@ def chart_tables(
     spark: SparkSession, root: str, run_ts: str, stop_words: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """The table under every chart whose inputs exist."""
-    df = load_processed(spark, root)
+    df = load_processed(spark, root, run_ts)
     earlier = tables.load_results(
         spark,
         root,
@@ -232,6 +236,7 @@ def chart_tables(
             "temporal_trends", "product_helpfulness",
         ],
         {"topic_distributions": "category"},
+        run_ts,
     )
     found = {
         "chart_ratings": charts.rating_histogram(df),
@@ -266,11 +271,12 @@ def chart_tables(
 def run_all(
     spark: SparkSession, path: str, params: Parameters, root: str, run_ts: str, fmt: str = "csv"
 ) -> dict[str, DataFrame]:
-    """All stages over the reviews at ``path``."""
+    """All stages over the reviews at ``path``, published as one run when the last has ended."""
     found = process_reviews(reviews.read_reviews(spark, path, fmt), params, root, run_ts)
     found |= model_topics(spark, root, run_ts)
     found |= analyse_sentiment(spark, root, run_ts)
     found |= predict_helpfulness(spark, root, run_ts)
     found |= analyse_impact(spark, root, run_ts)
     found |= chart_tables(spark, root, run_ts, params.stop_words)
+    tables.publish_run(spark, root, run_ts)
     return found

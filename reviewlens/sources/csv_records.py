@@ -85,14 +85,14 @@ class RangeCutter:
         self.held, self.continues = [], False
 
 
-def _cut(lines: DataFrame, known: dict[str, dict[int, tuple[int, bool]]], pieces: bool) -> DataFrame:
-    """The rows of ``SCHEMA`` of every range: its records, or its ``pieces`` alone."""
+def _cut(lines: DataFrame, known: dict[str, dict[int, tuple[int, bool]]], ends: bool) -> DataFrame:
+    """The rows of ``SCHEMA`` of every range: its records, or what is at its ``ends``, pieces and headers."""
     given = lines.sparkSession.sparkContext.broadcast(known)
     names = [c.split()[0] for c in SCHEMA.split(", ")]
     kinds = (pa.string(), pa.int32(), pa.bool_(), pa.string(), pa.int64())
 
     def batch(rows: Iterable[tuple]) -> pa.RecordBatch:
-        rows = [r for r in rows if (r[1] != RECORD) == pieces]
+        rows = [r for r in rows if (r[1] != RECORD or r[2]) == ends]
         columns = list(zip(*rows)) or [[]] * len(names)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
@@ -124,8 +124,7 @@ def _cut(lines: DataFrame, known: dict[str, dict[int, tuple[int, bool]]], pieces
 
 
 def _joined(pieces: DataFrame) -> DataFrame:
-    """``record, is_header`` from pieces: each beginning with all that follows up to the next one."""
-    pieces = settle(pieces, "csv-pieces")
+    """``record, is_header`` from settled pieces: each beginning with all that follows up to the next one."""
     begins = (F.col("kind") == BEGINNING).cast("int")
     order = Window.partitionBy("file").orderBy("start", begins)  # two narrow rows a range
     number = F.sum(begins).over(order.rowsBetween(Window.unboundedPreceding, 0))
@@ -139,8 +138,16 @@ def _joined(pieces: DataFrame) -> DataFrame:
     )
 
 
-def records(spark: SparkSession, path: str) -> DataFrame:
-    """``record, is_header`` for every record of the files under ``path`` that is not empty.
+def _bare(found: DataFrame) -> DataFrame:
+    """Records without the return that ends them, and none that is empty."""
+    # where records end in a return, so do the lines in their texts
+    own = F.replace(F.rtrim("record", F.lit("\r")), F.lit("\r\n"), F.lit("\n"))
+    bare = F.when(F.endswith("record", F.lit("\r")), own).otherwise(F.col("record"))
+    return found.select(bare.alias("record")).where("record <> ''")
+
+
+def records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``record`` of the files under ``path``: their headers, the different ones only, and all else.
 
     What the driver holds and sends out is one number for each byte range.
     """
@@ -148,9 +155,8 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     known: dict[str, dict[int, tuple[int, bool]]] = {}
     for row in quoted_ranges(lines).toLocalIterator():
         known.setdefault(row["file"], {})[row["start"]] = (row["length"], row["quoted"])
-    crossing = _joined(_cut(lines, known, True))
-    every = _cut(lines, known, False).select("record", "is_header").union(crossing)
-    # where records end in a return, so do the lines in their texts
-    own = F.replace(F.rtrim("record", F.lit("\r")), F.lit("\r\n"), F.lit("\n"))
-    bare = F.when(F.endswith("record", F.lit("\r")), own).otherwise(F.col("record"))
-    return every.withColumn("record", bare).where("record <> ''")
+    ends = settle(_cut(lines, known, True), "csv-ends")
+    crossing = settle(_joined(ends.where(F.col("kind") != RECORD)), "csv-joined")
+    headers = ends.where(F.col("kind") == RECORD).select("record", "is_header").union(crossing).where("is_header")
+    inside = _cut(lines, known, False).select("record", "is_header")
+    return _bare(headers).distinct(), _bare(inside.union(crossing.where("NOT is_header")))

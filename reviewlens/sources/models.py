@@ -27,10 +27,10 @@ def register_models(
 
 
 def load_models(
-    spark: SparkSession, kind: str, root: str, reader: Any
+    spark: SparkSession, kind: str, root: str, reader: Any, run_ts: str | None = None
 ) -> list[tuple[str, int, Any]]:
-    """The newest run's models, read by ``reader``, the Spark ML class that was saved."""
-    registry = tables.load_result(spark, root, f"{kind}_registry")
+    """The models of the newest published run, or of the run at hand, read by ``reader``, the Spark ML class that was saved."""
+    registry = tables.load_result(spark, root, f"{kind}_registry", run_ts=run_ts)
     if registry is None:
         raise FileNotFoundError(f"no {kind} under {root}")
     found = registry.orderBy("category", "k").collect()

@@ -111,7 +111,7 @@ def test_ranges_that_changed_are_an_error(spark, folder, ranges):
     with open(f"{folder}/a.csv", "w", newline="", encoding="utf-8") as file:
         file.write(made(25, 1))
     ranges(100)
-    found = csv_records.records(spark, folder)
+    _, found = csv_records.records(spark, folder)
     ranges(64)
     with pytest.raises(Exception, match="byte ranges"):
         found.collect()
@@ -122,6 +122,14 @@ def test_a_record_of_many_ranges(spark, folder, ranges):
     with open(f"{folder}/a.csv", "w", newline="") as file:
         file.write(f'h\n"{text}"\nlast')
     ranges(50)
-    got = csv_records.records(spark, folder).collect()
-    assert sorted(r.record for r in got) == sorted(["h", f'"{text}"', "last"])
-    assert [r.record for r in got if r.is_header] == ["h"]
+    headers, got = csv_records.records(spark, folder)
+    assert sorted(r.record for r in got.collect()) == sorted([f'"{text}"', "last"])
+    assert [r.record for r in headers.collect()] == ["h"]
+
+
+def test_a_header_of_many_ranges(spark, folder, ranges):
+    name = "a \"name\"\nof lines" * 9
+    with open(f"{folder}/a.csv", "w", newline="") as file:
+        csv.writer(file).writerows([[name, "b"], ["1", "2\n"], ["3", ""]])
+    ranges(40)
+    assert sorted(map(tuple, reviews._csv_table(spark, folder).select(f"`{name}`", "b").collect()), key=repr) == [("1", "2\n"), ("3", None)]

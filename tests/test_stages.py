@@ -51,6 +51,10 @@ def test_run_all(spark, folder):
     found |= stages.analyse_impact(spark, root, "r1")
     found |= stages.chart_tables(spark, root, "r1", params.stop_words)
 
+    assert tables.published_runs(spark, root) == []
+    listed = tables.publish_run(spark, root, "r1")
+    assert set(found) <= set(listed) and set(listed.values()) == {"r1"}
+
     done = stages.load_processed(spark, root)
     assert done.count() == 240
     assert {r["category"]: r["n_reviews"] for r in found["category_distribution"].collect()} == {
@@ -77,3 +81,38 @@ def test_run_all(spark, folder):
     assert again.count() == 240
     ((_, _, trees),) = models.load_models(spark, "helpfulness_models", root, GBTRegressionModel)
     assert gain_importance(HelpfulnessModel(trees, FEATURES), spark).count() == 9
+
+
+def test_a_run_that_dies_midway_leaves_the_earlier_one_whole(spark, folder, monkeypatch):
+    """The second run fails in its fourth stage: every table is still read from the first."""
+    root, steps = f"{folder}/out", ["process_reviews", "model_topics", "analyse_sentiment", "predict_helpfulness", "analyse_impact", "chart_tables"]
+
+    def stage(name, value, fails):
+        def run(first, *args, **more):
+            run_ts = next(a for a in reversed(args) if a in ("r1", "r2"))
+            if fails:
+                raise RuntimeError("lost")
+            df = spark.createDataFrame([(1, value)], "Id long, value string")
+            return stages._write({name: df}, root, run_ts)
+
+        return run
+
+    params = stages.Parameters(*[None] * 5)
+    spark.createDataFrame(make_reviews(2), RAW_REVIEWS).write.parquet(f"{folder}/in")
+    for run_ts, dies in (("r1", None), ("r2", "predict_helpfulness")):
+        for name in steps:
+            monkeypatch.setattr(stages, name, stage(name, run_ts, name == dies))
+        try:
+            stages.run_all(spark, f"{folder}/in", params, root, run_ts, "parquet")
+        except RuntimeError:
+            assert dies
+    assert tables.published_runs(spark, root) == ["r1"]
+    found = tables.load_results(spark, root, steps)
+    assert {n: [r.value for r in df.collect()] for n, df in found.items()} == {n: ["r1"] for n in steps}
+    # the run at hand sees its own tables first; published with the rest carried over, it is read by all
+    assert tables.load_result(spark, root, "model_topics", run_ts="r2").first().value == "r2"
+    assert tables.load_result(spark, root, "chart_tables", run_ts="r2").first().value == "r1"
+    assert tables.publish_run(spark, root, "r2", carry_over=True)["chart_tables"] == "r1"
+    found = tables.load_results(spark, root, steps)
+    assert [found[n].first().value for n in steps] == ["r2"] * 3 + ["r1"] * 3
+    assert tables.run_tables(spark, root, "r1") == {n: "r1" for n in steps}
