@@ -317,6 +317,9 @@ WHERE term NOT IN (SELECT word FROM stop_words) GROUP BY term ORDER BY cf DESC,
       FROM scored GROUP BY ProductId HAVING count(Score) >= 10) GROUP BY rating"""
     ),
     "term_stats": prepared("SELECT category, term, term_idx, df, cf FROM vocab", BAG, vocabulary(1000)),
+    "merged_counts": prepared(
+        f"SELECT category, term, term_idx, df, cf, n_docs, {r6('idf')} AS idf FROM vocab", BAG, vocabulary(1000)
+    ),
     "tfidf": prepared(
         f"""SELECT category, Id, term, term_idx, {r6('w / sqrt(n2)')} AS weight
 FROM (SELECT *, sum(w * w) OVER (PARTITION BY Id) AS n2
@@ -366,6 +369,7 @@ FROM classified GROUP BY 1""",
         f"""SELECT Id, CASE lang WHEN 'de' THEN 0 WHEN 'fr' THEN 1 ELSE 2 END AS sentiment_label,
   {SPLIT} AS split, true AS score_is_sound FROM reviews"""
     ),
+    "own_scorer": base("SELECT Id, CASE lang WHEN 'de' THEN 0 WHEN 'fr' THEN 1 ELSE 2 END AS sentiment_label, true AS is_same FROM reviews"),
     "sentiment_quality": base(
         f"""SELECT count(*) AS n_test, true AS accuracy_is_hits, true AS beats_largest_class
 FROM reviews WHERE {SPLIT} = 'test'"""

@@ -30,7 +30,7 @@ from reviewlens.operators import (
 from reviewlens.schema import FEATURES, RAW_REVIEWS
 from reviewlens.session import scratch_path, settle
 from reviewlens.sources import reviews as review_files
-from reviewlens.sources import snapshots, tables
+from reviewlens.sources import counts, snapshots, tables
 from reviewlens.streaming import reviews as stream
 
 CAT = "category"
@@ -197,6 +197,16 @@ def term_stats(spark: SparkSession, sf: str) -> DataFrame:
     return _frequent_terms(spark, sf, 1000)
 
 
+def merged_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The weights of every category's vocabulary, from counts of two runs over disjoint reviews."""
+    df, tokens, root = fx.prepared(spark, sf), text.terms(F.col("clean_text")), scratch_path(spark, "counts")
+    for part in (0, 1):
+        own = df.where(F.col("Id") % 2 == part)
+        counts.add_counts(own, tokens, root, f"2026010{part + 1}_000000", [CAT], fx.parameter(spark, "stop_words"))
+    vocab = terms.counted_vocabulary(counts.all_counts(spark, root, [CAT]), 1000, [CAT])
+    return r6(vocab.select(CAT, "term", "term_idx", "df", "cf", "n_docs", "idf"))
+
+
 def tfidf(spark: SparkSession, sf: str) -> DataFrame:
     df, tokens = fx.prepared(spark, sf), text.terms(F.col("clean_text"))
     stop = fx.parameter(spark, "stop_words")
@@ -217,12 +227,12 @@ def tf_vectors(spark: SparkSession, sf: str) -> DataFrame:
     df, tokens = fx.prepared(spark, sf), text.terms(F.col("clean_text"))
     vocab = terms.vocabulary(terms.term_stats(terms.bag_of_words(df, tokens)), 1000)
     names = [r["term"] for r in vocab.orderBy("term_idx").collect()]
-    counts = vector_to_array("counts")
+    found = vector_to_array("counts")
     vectors = terms.count_vectors(df.select("Id", "clean_text"), tokens, names)
     return vectors.select(
         "Id",
-        F.size(F.filter(counts, lambda x: x > 0)).cast("bigint").alias("n_terms"),
-        F.aggregate(counts, F.lit(0.0), lambda a, x: a + x).cast("bigint").alias("n_tokens"),
+        F.size(F.filter(found, lambda x: x > 0)).cast("bigint").alias("n_terms"),
+        F.aggregate(found, F.lit(0.0), lambda a, x: a + x).cast("bigint").alias("n_tokens"),
     )
 
 
@@ -290,10 +300,14 @@ def lexicon_sentiment(spark: SparkSession, sf: str) -> DataFrame:
     return r6(fx.scored(spark, sf))
 
 
-def _sentiment(spark: SparkSession, sf: str) -> DataFrame:
-    """Scores of a model of ratings that the text tells: one for each language."""
+def _rated(spark: SparkSession, sf: str) -> DataFrame:
+    """Reviews with ratings that the text tells: one for each language."""
     rating = F.when(F.col("lang") == "de", 1).when(F.col("lang") == "fr", 3).otherwise(5)
-    df = settle(fx.reviews(spark, sf).select("Id", "Text", rating.alias("Score")), "rated-reviews")
+    return settle(fx.reviews(spark, sf).select("Id", "Text", rating.alias("Score")), "rated-reviews")
+
+
+def _sentiment(spark: SparkSession, sf: str) -> DataFrame:
+    df = _rated(spark, sf)
     model = sentiment_model.fit_sentiment(df)
     return sentiment_model.score_sentiment(model, df, probabilities=True)
 
@@ -323,6 +337,19 @@ def sentiment_quality(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def own_scorer(spark: SparkSession, sf: str) -> DataFrame:
+    """Per review, whether a numpy scorer sent to the tasks gives what the fitted model gives."""
+    df = _rated(spark, sf)
+    model = sentiment_model.fit_sentiment(df)
+    told = sentiment_model.score_sentiment(model, df).select("Id", "sentiment_label", "prediction", "sentiment_score")
+    tokens = {"terms": sentiment_model.text_tokens()}
+    own = sentiment_model.score_with(model.scorer(), df, tokens).select(
+        "Id", F.col("prediction").alias("own"), F.col("sentiment_score").alias("own_score")
+    )
+    same = (F.abs(F.col("own_score") - F.col("sentiment_score")) < 1e-9) & (F.col("own") == F.col("prediction"))
+    return told.join(own, "Id").select("Id", "sentiment_label", same.alias("is_same"))
+
+
 # -- helpfulness -------------------------------------------------------------
 
 
@@ -511,11 +538,11 @@ def _topic_input(spark: SparkSession, sf: str, keep: Sequence[str] = ()) -> tupl
     return df, terms.fit_vocabulary(df, tokens, 1000, [CAT], fx.parameter(spark, "stop_words"))
 
 
-def _topic_models(spark: SparkSession, sf: str, counts: Sequence[int], keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame, list]:
+def _topic_models(spark: SparkSession, sf: str, sizes: Sequence[int], keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame, list]:
     """Reviews, vocabulary, vectors and fitted models of every category."""
     df, vocab = _topic_input(spark, sf, keep)
     vectors = topics.topic_vectors(df, vocab, CAT, keep)
-    return df, vocab, vectors, topics.fit_all_topics(vectors, vocab, counts, CAT)
+    return df, vocab, vectors, topics.fit_all_topics(vectors, vocab, sizes, CAT)
 
 
 def lda_topics(spark: SparkSession, sf: str) -> DataFrame:
@@ -637,9 +664,9 @@ QUERIES = {
         category_metrics, category_month, month_trend, product_sentiment, product_helpfulness,
         daily_timeline, length_effect, sentiment_effect, recommendations, term_sentiment_corr,
         rating_histogram, sentiment_pivot, length_helpfulness_bins, word_frequencies,
-        sentiment_boxplot, term_stats, tfidf, stopword_filter, bag_of_words, tf_vectors,
+        sentiment_boxplot, term_stats, merged_counts, tfidf, stopword_filter, bag_of_words, tf_vectors,
         synthetic_training, nb_model, nb_predict, confidence_threshold, lexicon_sentiment,
-        sentiment_classifier, sentiment_quality, feature_table, scaled_features, train_test_split,
+        sentiment_classifier, sentiment_quality, own_scorer, feature_table, scaled_features, train_test_split,
         regression_metrics, helpfulness_model, shap_importance, feature_ranking, sample_reviews, coherence_sample,
         topic_sentiment, topic_prevalence, top_terms, top_terms_load, best_k, coherence_by_k, lda_topics,
         document_topics, coherence_sweep, read_reviews_csv, result_tables, streamed_reviews, pruned_scan, latest_snapshot,

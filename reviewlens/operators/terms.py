@@ -62,13 +62,15 @@ def fit_vocabulary(
 ) -> DataFrame:
     """``*keys, term, term_idx, df, cf, n_docs, idf``, settled once for all its uses."""
     group = list(keys)
-    bag = bag_of_words(df, tokens, group, stop_words)
-    kept = vocabulary(term_stats(bag, group), max_features, group)
-    if group:
-        sizes = df.groupBy(*group).agg(F.count("*").alias("n_docs"))
-        joined = kept.join(sizes, group)
-    else:
-        joined = kept.withColumn("n_docs", df.agg(F.count("*")).scalar())
+    stats = term_stats(bag_of_words(df, tokens, group, stop_words), group)
+    sizes = df.groupBy(*group).agg(F.count("*").alias("n_docs")) if group else df.agg(F.count("*").alias("n_docs"))
+    return _weighed(stats, sizes, max_features, group)
+
+
+def _weighed(stats: DataFrame, sizes: DataFrame, max_features: int, group: list[str]) -> DataFrame:
+    """The vocabulary of term counts, with the number of reviews ``n_docs`` of each group and the IDF."""
+    kept = vocabulary(stats, max_features, group)
+    joined = kept.join(sizes, group) if group else kept.withColumn("n_docs", sizes.scalar())
     return settle(
         joined.select(
             *group, "term", "term_idx", "df", "cf", "n_docs",
@@ -78,6 +80,33 @@ def fit_vocabulary(
     )
 
 
+def corpus_counts(
+    df: DataFrame, tokens: Column, keys: Sequence[str] = (), stop_words: DataFrame | None = None
+) -> DataFrame:
+    """``*keys, term, df, cf``: what ``term_stats`` counts, and under the NULL term how many reviews there are.
+
+    Counts of disjoint reviews add up (``merge_counts``), so texts that have been counted are never read again.
+    """
+    group = list(keys)
+    stats = term_stats(bag_of_words(df, tokens, group, stop_words), group).select(*group, "term", "df", "cf")
+    none, zero = F.lit(None).cast("string").alias("term"), F.lit(0).cast("bigint").alias("cf")
+    sizes = df.groupBy(*group).agg(F.count("*").alias("df")) if group else df.agg(F.count("*").alias("df"))
+    return stats.unionByName(sizes.select(*group, none, "df", zero))
+
+
+def merge_counts(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The counts of all reviews from those of their parts, one under another."""
+    sums = [F.sum(c).cast("bigint").alias(c) for c in ("df", "cf")]
+    return counts.groupBy(*keys, "term").agg(*sums)
+
+
+def counted_vocabulary(counts: DataFrame, max_features: int = 1000, keys: Sequence[str] = ()) -> DataFrame:
+    """``fit_vocabulary`` from merged counts, without the texts."""
+    group = list(keys)
+    sizes = counts.where("term IS NULL").select(*group, F.col("df").alias("n_docs"))
+    return _weighed(counts.where("term IS NOT NULL"), sizes, max_features, group)
+
+
 def tfidf(
     bag: DataFrame, vocab: DataFrame, keys: Sequence[str] = (), keep: Sequence[str] = ()
 ) -> DataFrame:

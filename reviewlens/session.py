@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,8 +34,14 @@ def local_session(folder: str, cores: str = "8", shuffle_partitions: int = 8) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``, else one in the warehouse."""
+    """The folder every executor can reach: ``spark.checkpoint.dir``.
+
+    Where nothing names one, a session on one machine keeps its tables in the warehouse; on a cluster that may
+    be a folder of the driver's own, so it is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
     return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/reviewlens-work").rstrip("/")
 
 
@@ -59,12 +66,12 @@ def settle(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, since: int = 0) -> None:
-    """Remove what has been settled, from the ``since``-th on, once nothing reads it any more."""
-    for path in _settled[since:]:
+def release(spark: SparkSession, since: int = 0, until: int | None = None) -> None:
+    """Remove what has been settled, from the ``since``-th on (and before the ``until``-th), once nothing reads it any more."""
+    for path in _settled[since:until]:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-    del _settled[since:]
+    del _settled[since:until]
 
 
 def settled_count() -> int:

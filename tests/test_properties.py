@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from reviewlens.functions import text
 from reviewlens.operators import attribution, categories, coherence, helpfulness, ranking, terms
 from reviewlens.operators.lexicon import add_sentiment, lexicon_sentiment
-from reviewlens.operators.sentiment_model import evaluate_sentiment, fit_sentiment, score_sentiment
+from reviewlens.operators.sentiment_model import evaluate_sentiment, fit_sentiment, score_sentiment, score_with, text_tokens
 from reviewlens.session import settle
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -322,3 +322,55 @@ def test_sentiment_model_learns(spark):
     assert evaluate_sentiment(scored)["accuracy"] > 0.9
     means = {r["Score"]: r["m"] for r in scored.groupBy("Score").agg(F.avg("sentiment_score").alias("m")).collect()}
     assert means[1] < means[3] < means[5] and -1 <= means[1] and means[5] <= 1
+
+
+class LongText:
+    """A scorer of one's own, that counts how often it is opened."""
+
+    def __init__(self, opened):
+        self.opened = opened
+
+    def open(self):
+        self.opened.add(1)
+
+        def score(batch):
+            n = np.array([len(t or "") for t in batch.column("text").to_pylist()])
+            return np.stack([n < 5, (n >= 5) & (n < 9), n >= 9], axis=1)
+
+        return score
+
+
+def test_a_scorer_of_ones_own(spark):
+    rows = [(i, "x" * (i % 12), 1 + i % 5) for i in range(50)] + [(60, None, None)]
+    df = spark.createDataFrame(rows, "Id long, Text string, Score int").repartition(3)
+    opened = spark.sparkContext.accumulator(0)
+    scored = score_with(LongText(opened), df, {"text": F.col("Text")}, ["Score"], probabilities=True)
+    got = {r["Id"]: r for r in scored.collect()}
+    assert opened.value == 3  # once in each task
+    for i, t, score in rows:
+        kind = 0 if len(t or "") < 5 else 1 if len(t) < 9 else 2
+        assert (got[i]["prediction"], got[i]["sentiment_score"], got[i]["Score"]) == (kind, kind - 1, score)
+        assert got[i]["probabilities"] == [float(k == kind) for k in range(3)]
+        assert got[i]["sentiment_label"] == (None if score is None else 0 if score <= 2 else 1 if score == 3 else 2)
+
+
+class TwoClasses:
+    def open(self):
+        return lambda batch: np.ones((batch.num_rows, 2))
+
+
+def test_a_scorer_must_give_three_classes(spark):
+    df = spark.createDataFrame([(1, "a", 2)], "Id long, Text string, Score int")
+    with pytest.raises(Exception, match="three probabilities"):
+        score_with(TwoClasses(), df, {"text": F.col("Text")}).collect()
+
+
+def test_numpy_scorer_equals_the_fitted_model(spark):
+    words = {1: "awful broken waste", 3: "average plain usual", 5: "lovely perfect great"}
+    rows = [(i, f"{words[s]} item {i % 7} thing{i % 11}", s) for i in range(200) for s in [(1, 3, 5)[i % 3]]] + [(900, "", 1), (901, None, 5), (902, "unseen", 3)]
+    df = spark.createDataFrame(rows, "Id long, Text string, Score int")
+    model = fit_sentiment(df, sample=150)
+    expected = {r["Id"]: r for r in score_sentiment(model, df, probabilities=True).collect()}
+    for r in score_with(model.scorer(), df, {"terms": text_tokens()}, probabilities=True).collect():
+        assert r["probabilities"] == pytest.approx(list(expected[r["Id"]]["probabilities"]), abs=1e-12)
+        assert r["prediction"] == expected[r["Id"]]["prediction"] and r["split"] == expected[r["Id"]]["split"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from reviewlens.functions import text
 from reviewlens.operators import charts, coherence, lexicon, ranking, terms, topics
 from reviewlens.schema import require_key
-from reviewlens.session import release, scratch_path, settle, settled_count
+from reviewlens.session import release, scratch_path, settle, settled_count, shared_dir
 
 
 def exchanges(df):
@@ -73,6 +73,25 @@ def test_category_without_reviews_scores_zero(spark):
     assert scores["none", 2] == scores["none", 3] == 0.0 and set(scores) == {(c, k) for c in ("c", "none") for k in (2, 3)}
 
 
+def test_shared_folder_is_named_on_a_cluster():
+    class Session:
+        def __init__(self, master, named=None):
+            self.sparkContext, self.conf = self, self
+            self.master, self.names = master, {"spark.checkpoint.dir": named, "spark.sql.warehouse.dir": "/warehouse"}
+
+        def get(self, name, default=None):
+            return self.names[name] or default
+
+        def getCheckpointDir(self):
+            return None
+
+    for master in ("local-cluster[2,1,1024]", "yarn", "spark://host:7077"):
+        assert shared_dir(Session(master, "s3a://b/work/")) == "s3a://b/work"
+        with pytest.raises(ValueError, match="checkpoint"):
+            shared_dir(Session(master))
+    assert shared_dir(Session("local[4]")) == shared_dir(Session("local")) == "/warehouse/reviewlens-work"
+
+
 def test_settled_tables_are_released(spark):
     mark = settled_count()
     settle(spark.range(3).toDF("x"), "some")
