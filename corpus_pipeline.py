@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reviewlens.llm import decontaminate, mixing, quality_fm, sharding, simhash
 from reviewlens.llm.columns import table
-from reviewlens.session import scratch_path
+from reviewlens.session import release, scratch_path, settled_count
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,11 +51,21 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each reads what its predecessor has written."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply the stages to ``documents``; each reads what its predecessor has written.
+
+    Once a stage's output is written, its own tables and its input are released, so that the shared folder
+    holds two outputs at most.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        out = stage(spark, docs, sf_dir)
+        mark = settled_count()
         path = scratch_path(spark, name.replace(" ", "-"))
+        out = stage(spark, docs, sf_dir)
         out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
+        release(spark, mark + 1)
+        if before is not None:
+            release(spark, before, before + 1)
+            mark -= 1
+        before = mark
     return docs
