@@ -12,7 +12,8 @@ everywhere but at their first occurrence, the one in the smallest document. Cand
 by hash, on narrow rows; those with a hash that repeats are then compared byte by byte, and only
 equal chunks count as repeated. Only the one chunk of a text of a single line has fewer than two.
 
-All of it is built-in functions. Minima are aggregated before they are shuffled; the joins are
+The chunks of each document are settled as a narrow index; texts are read again only for the bytes of
+chunks whose hash may repeat, and at the end. All of it is built-in functions. Minima are aggregated before they are shuffled; the joins are
 plain joins by hash or document that adaptive execution can split.
 
 Cases: a null text stays null and has no lines; an empty text is one empty line; rows equal in id
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from reviewlens.session import settle
 
 WINDOW = (1, 3, 5)  # factors of the newest line's hash and of the ones before it
+FILTER_BITS = 27
 LONGEST = 4  # chunks that have the usual length between boundaries, in one without
 
 
@@ -68,21 +70,55 @@ def _chunk(first: Column, last: Column) -> Column:
     return F.array_join(F.slice("text_lines", first + 1, last - first + 1), "\n")
 
 
+def _spans() -> Column:
+    return F.zip_with("firsts", "lasts", lambda a, b: F.struct(a.alias("first"), b.alias("last")))
+
+
 def _chunks(rows: DataFrame) -> DataFrame:
     """``id, h, number, chunk, chunk_hash`` of the chunks that may be removed."""
-    spans = F.zip_with("firsts", "lasts", lambda a, b: F.struct(a.alias("first"), b.alias("last")))
-    cut = rows.select("id", "h", "text_lines", F.posexplode(spans).alias("number", "span")).where("span.last > span.first")
+    cut = rows.select("id", "h", "text_lines", F.posexplode(_spans()).alias("number", "span")).where("span.last > span.first")
     chunks = cut.select("id", "h", "number", _chunk(F.col("span.first"), F.col("span.last")).alias("chunk"))
     return chunks.where(F.col("chunk").rlike(r"[^\x20\x09-\x0D]")).withColumn("chunk_hash", F.xxhash64("chunk"))
 
 
-def removals(docs: DataFrame, lines: int, id: str, text: str) -> DataFrame:
+def _index(docs: DataFrame, lines: int, id: str, text: str) -> DataFrame:
+    """``id, h, lasts, hashes``: of each document the chunks' last lines, and the hashes of those that
+    may be removed, null for others. Settled, so that lines are hashed for it once."""
+    def hashed(span: Column) -> Column:
+        chunk = _chunk(span["first"], span["last"])
+        return F.when((span["last"] > span["first"]) & chunk.rlike(r"[^\x20\x09-\x0D]"), F.xxhash64(chunk))
+
+    rows = chunked(docs, lines, id, text)
+    return settle(rows.select("id", "h", "lasts", F.transform(_spans(), hashed).alias("hashes")).dropDuplicates(["id", "h"]), "chunk-index")
+
+
+def _slot(value: Column) -> Column:
+    return F.pmod(value, F.lit(1 << FILTER_BITS)) + 1
+
+
+def _maybe(chunks: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The rows of ``chunks`` whose hash may be among ``hashes``: a bitmap of ``2^FILTER_BITS`` bits,
+    one for each slot, tells where they are; 16 MB at most, whatever the data, so it is sent to all tasks.
+    The join that follows is exact; this saves it the texts that have nothing to meet."""
+    bits = hashes.groupBy(F.bitmap_bucket_number(_slot(F.col("chunk_hash"))).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(_slot(F.col("chunk_hash")))).alias("bits")
+    )
+    at = F.bitmap_bit_position(_slot(F.col("chunk_hash")))
+    byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    placed = chunks.withColumn("bucket", F.bitmap_bucket_number(_slot(F.col("chunk_hash"))))
+    met = placed.join(F.broadcast(settle(bits, "chunk-bits")), "bucket")
+    return met.where(F.floor(byte / F.pow(F.lit(2), at % 8)) % 2 == 1).select(*chunks.columns)
+
+
+def removals(docs: DataFrame, index: DataFrame, lines: int, id: str, text: str) -> DataFrame:
     """``id, h, gone`` of the documents that lose chunks: the numbers of the chunks."""
     where = F.struct(F.col("id").isNull().alias("none"), "id", "h", "number")
-    chunks = _chunks(chunked(docs, lines, id, text))
-    hashes = chunks.groupBy("chunk_hash").agg(F.min(where).alias("a"), F.max(where).alias("b")).where("a <> b")
+    narrow = index.select("id", "h", F.posexplode("hashes").alias("number", "chunk_hash")).where("chunk_hash IS NOT NULL")
+    hashes = narrow.groupBy("chunk_hash").agg(F.min(where).alias("a"), F.max(where).alias("b")).where("a <> b")
     repeated = settle(hashes.select("chunk_hash"), "chunk-hashes")
-    candidates = settle(chunks.join(repeated, "chunk_hash"), "chunks")
+    chunks = _maybe(_chunks(chunked(docs, lines, id, text)), repeated)
+    # both sides grow with the data, so this is a shuffle join at every size
+    candidates = settle(chunks.join(repeated.hint("merge"), "chunk_hash"), "chunks")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "h", "number")
     firsts = candidates.groupBy("chunk_hash", "chunk").agg(F.min(place).alias("first"))
     firsts = settle(firsts, "chunk-firsts")  # a join of two stored tables can be split at a hot chunk
@@ -92,16 +128,24 @@ def removals(docs: DataFrame, lines: int, id: str, text: str) -> DataFrame:
 
 def without_repeats(docs: DataFrame, lines: int = 4, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``<id>, n_lines, n_chunks, n_removed, n_lines_removed, <text>`` per row, the text as it is left."""
-    gone = removals(docs, lines, id, text).withColumnsRenamed({"id": "of", "h": "of_h"})
-    rows = chunked(docs, lines, id, text)
+    index = _index(docs, lines, id, text)
+    gone = removals(docs, index, lines, id, text).withColumnsRenamed({"id": "of", "h": "of_h"})
+    cuts = index.join(gone, F.col("id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h")), "left").select(
+        F.col("id").alias("of"), F.col("h").alias("of_h"), "lasts", "gone"
+    )
+    rows = docs.select(
+        F.col(f"`{id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("h"), F.split(F.col(f"`{text}`"), "\n").alias("text_lines")
+    )
     # the texts move by document, however small the other side is: the same plan at every size
-    joined = rows.join(gone.hint("merge"), F.col("id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h")), "left")
+    joined = rows.join(settle(cuts, "chunk-cuts").hint("merge"), F.col("id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h")))
     numbers = F.sequence(F.lit(0), F.size("lasts") - 1)
     kept = F.filter(numbers, lambda i: ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
-    spans = F.transform(kept, lambda i: F.struct(F.get("firsts", i).alias("a"), F.get("lasts", i).alias("b")))
-    left = F.transform(spans, lambda s: F.slice("text_lines", s["a"] + 1, s["b"] - s["a"] + 1))
+    first = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get("lasts", i - 1) + 1)
+    left = F.transform(kept, lambda i: F.slice("text_lines", first(i) + 1, F.get("lasts", i) - first(i) + 1))
     count = F.coalesce(F.size("text_lines"), F.lit(0))
-    lost = joined.withColumn("lines_left", F.when(F.col("text_lines").isNotNull(), F.flatten(left)))
+    # most documents lose nothing, and stay as they are
+    lines_left = F.when(F.col("gone").isNull(), F.col("text_lines")).otherwise(F.flatten(left))
+    lost = joined.withColumn("lines_left", F.when(F.col("text_lines").isNotNull(), lines_left))
     return lost.select(
         F.col("id").alias(id),
         F.when(F.col("text_lines").isNull(), 0).otherwise(count).cast("bigint").alias("n_lines"),
