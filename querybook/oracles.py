@@ -377,6 +377,9 @@ FROM reviews WHERE {SPLIT} = 'test'"""
     "helpfulness_model": base(
         f"SELECT count(*) AS n_test, true AS mse_is_of_rows, true AS fits FROM reviews WHERE {SPLIT} = 'test'"
     ),
+    "binned_model": base(
+        f"SELECT count(*) AS n_test, true AS fits, true AS as_good, 'rating' AS first_split FROM reviews WHERE {SPLIT} = 'test'"
+    ),
     "shap_importance": base("SELECT Id, true AS adds_up, true AS follows_rating FROM reviews"),
     "feature_ranking": f"""SELECT feature, true AS in_order, CASE feature WHEN 'rating' THEN 1 WHEN 'hour' THEN 2 END AS planted_place
 FROM (SELECT unnest({NAMES}) AS feature)""",

@@ -19,13 +19,15 @@ def top_n_per_group(
     n: int,
     spread_by: Sequence[str],
     rank: str = "rank",
-    salts: int = 32,
+    salts: int | None = None,
 ) -> DataFrame:
     """The first ``n`` rows of each group, numbered from 1.
 
     Each group is first cut to ``n`` rows in every one of ``salts`` slices, so the task that
-    ranks a group sees at most ``salts * n`` rows, however large the group is.
+    ranks a group sees at most ``salts * n`` rows, however large the group is. Without a number there are
+    as many slices as a shuffle has partitions, 32 at least.
     """
+    salts = salts or max(32, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sliced = df.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
     first = Window.partitionBy(*keys, "_salt").orderBy(*order)
     last = Window.partitionBy(*keys).orderBy(*order)
