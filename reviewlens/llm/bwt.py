@@ -3,30 +3,56 @@
 Each round puts one more symbol in front of every string of the collection and inserts the
 suffixes so lengthened into the sorted order of all suffixes met so far. The order itself is
 never stored: there are the symbols before the suffixes (the transform) and the lengths that
-neighbours have in common, two files that each round reads in sequence and writes anew with the
-round's insertions. A round keeps a position for each string, and the files of the round before.
+neighbours have in common, two files that each round reads in sequence, ``BLOCK`` symbols at a time, and
+writes anew with the round's insertions. A round keeps a few numbers for each string and for each symbol.
 """
 
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 from contextlib import ExitStack
 
 import numpy as np
 
 END = 255  # before a whole string; no byte of UTF-8
+BLOCK = 1 << 16  # symbols that a round holds at once
+FAR = 255  # more than any common prefix
 
 
-def _write(file, values: np.ndarray) -> None:
-    file.seek(0)
-    file.write(values)
+class _Files:
+    """The symbols and the common prefixes, in a task's own scratch that is gone with the task."""
 
+    def __init__(self, stack: ExitStack):
+        self.symbols, self.common = (stack.enter_context(tempfile.TemporaryFile(buffering=0)) for _ in range(2))
+        self.n = 0
 
-def _read(file, n: int) -> np.ndarray:
-    out = np.empty(n, np.uint8)
-    file.seek(0)
-    file.readinto(out)
-    return out
+    def clear(self) -> None:
+        self.n = 0
+        for file in (self.symbols, self.common):
+            file.seek(0)
+
+    def append(self, symbols: np.ndarray, common: np.ndarray) -> None:
+        self.symbols.write(np.ascontiguousarray(symbols, np.uint8))
+        self.common.write(np.ascontiguousarray(common, np.uint8))
+        self.n += len(symbols)
+
+    def blocks(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """First place, symbols and common prefixes of each block in turn."""
+        for file in (self.symbols, self.common):
+            file.seek(0)
+        for first in range(0, self.n, BLOCK):
+            size = min(BLOCK, self.n - first)
+            parts = []
+            for file in (self.symbols, self.common):
+                part = np.empty(size, np.uint8)
+                file.readinto(part)
+                parts.append(part)
+            yield first, *parts
+
+    def whole(self) -> tuple[np.ndarray, np.ndarray]:
+        parts = [(s, c) for _, s, c in self.blocks()]
+        return tuple(np.concatenate(x) if x else np.zeros(0, np.uint8) for x in zip(*parts))
 
 
 def _least(common: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -37,6 +63,80 @@ def _least(common: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarra
     return np.minimum.reduceat(common, bounds)[::2] if len(first) else common[:0]
 
 
+def _places(files: _Files, below: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the suffixes at the ascending places ``where``, lengthened by the symbols there: their rank among
+    all suffixes so lengthened, and what they have in common with the one before and the one after, without
+    the new symbol; ``FAR`` if that one begins with another symbol. ``below`` counts the smaller symbols.
+    """
+    rank, before, after = np.empty(len(where), np.int64), np.full(len(where), FAR, np.uint8), np.full(len(where), FAR, np.uint8)
+    seen = np.zeros(256, np.int64)  # of each symbol, in the blocks before
+    since = np.full(256, FAR, np.uint8)  # the least common prefix since its last one
+    waiting, so_far = np.full(256, -1), np.full(256, FAR, np.uint8)  # suffixes whose next one of their symbol has not come
+    for first, symbols, common in files.blocks():
+        a, b = np.searchsorted(where, (first, first + len(symbols)))
+        mine, here = np.arange(a, b), where[a:b] - first
+        counts = np.bincount(symbols, minlength=256)
+        starts = np.cumsum(counts) - counts
+        by_symbol = np.argsort(symbols, kind="stable")
+        present = np.flatnonzero(counts)
+        heads, tails = by_symbol[starts[present]], by_symbol[starts[present] + counts[present] - 1]
+        least_to = np.minimum.accumulate(common)
+
+        # those that wait for a symbol of this block have it; the others wait on
+        came = present[waiting[present] >= 0]
+        after[waiting[came]] = np.minimum(so_far[came], least_to[by_symbol[starts[came]]])
+        waiting[came] = -1
+        so_far = np.minimum(so_far, least_to[-1])
+
+        own = symbols[here]
+        inverse = np.empty(len(symbols), np.int64)
+        inverse[by_symbol] = np.arange(len(symbols))
+        at = inverse[here]
+        rank[a:b] = below[own] + seen[own] + at - starts[own]
+        down = np.arange(len(here))[::-1]
+        padded = np.append(common, np.uint8(FAR))
+        has = at > starts[own]
+        pick = down[has[down]]
+        before[mine[pick]] = _least(padded, by_symbol[at[pick] - 1] + 1, here[pick])
+        lone = ~has & (seen[own] > 0)
+        before[mine[lone]] = np.minimum(since[own[lone]], least_to[here[lone]])
+        has = at < starts[own] + counts[own] - 1
+        pick = down[has[down]]
+        after[mine[pick]] = _least(padded, here[pick] + 1, by_symbol[at[pick] + 1])
+
+        # the least from each place to the block's end, for what goes on in the next one
+        least_from = np.append(np.minimum.accumulate(common[::-1])[::-1], np.uint8(FAR))
+        open_ = ~has
+        waiting[own[open_]] = mine[open_]
+        so_far[own[open_]] = least_from[here[open_] + 1]
+        since = np.minimum(since, least_to[-1])
+        since[present] = least_from[tails + 1]
+        seen += counts
+    return rank, before, after
+
+
+def _insert(old: _Files, new: _Files, spots: np.ndarray, symbols: np.ndarray, common: np.ndarray, after: np.ndarray) -> None:
+    """Write ``new``: ``old`` with the values that belong at the ascending places ``spots``; ``after``, where
+    it is not ``FAR``, becomes the common prefix of what follows."""
+    new.clear()
+    place = spots - np.arange(len(spots))  # how much of the old file comes before each
+    held = FAR  # for the first value of the next block
+    for first, own_symbols, own_common in old.blocks():
+        last = first + len(own_symbols)
+        a, b = np.searchsorted(place, (first, last if last < old.n else old.n + 1))
+        grown_symbols = np.insert(own_symbols, place[a:b] - first, symbols[a:b])
+        grown_common = np.insert(own_common, place[a:b] - first, common[a:b])
+        if held != FAR:
+            grown_common[0] = held
+        follows = spots[a:b] + 1 - (first + a)
+        told = after[a:b] != FAR
+        inside = told & (follows < len(grown_common))
+        grown_common[follows[inside]] = after[a:b][inside]
+        beyond = after[a:b][told & ~inside]
+        held = int(beyond[0]) if len(beyond) else FAR
+        new.append(grown_symbols, grown_common)
+
+
 def transform(strings: list[bytes], most: int) -> tuple[np.ndarray, np.ndarray]:
     """The transform, and each suffix's common prefix with the one before it, ``most`` at most.
 
@@ -48,50 +148,26 @@ def transform(strings: list[bytes], most: int) -> tuple[np.ndarray, np.ndarray]:
     starts = np.cumsum([0] + [len(s) for s in strings[:-1]])
     place = starts + np.array([len(s) for s in strings]) - 1  # of each string's newest symbol
     with ExitStack() as stack:
-        # the task's own scratch files, overwritten in place and gone with the task
-        old, new = ([stack.enter_context(tempfile.TemporaryFile(buffering=0)) for _ in range(2)] for _ in range(2))
-        _write(old[0], data[place])
-        _write(old[1], np.zeros(m, np.uint8))
-        where, n = np.arange(m), m
+        old, new = _Files(stack), _Files(stack)
+        for first in range(0, m, BLOCK):
+            old.append(data[place[first : first + BLOCK]], np.zeros(len(place[first : first + BLOCK]), np.uint8))
+        counts, where = np.bincount(data[place], minlength=256), np.arange(m)
         while len(where):
-            symbols, common = _read(old[0], n), _read(old[1], n)
-            by_symbol = np.argsort(symbols, kind="stable")
-            rank = np.empty(n, np.int64)
-            rank[by_symbol] = np.arange(n)
-            at = rank[where]  # among all suffixes with one symbol more
-            order = np.argsort(-at)
-            where, place, starts, at = where[order], place[order], starts[order], at[order]
-
-            own = symbols[where]
-            before, after = by_symbol[np.maximum(at - 1, 0)], by_symbol[np.minimum(at + 1, n - 1)]
-            has_before = (at > 0) & (symbols[before] == own)
-            has_after = (at < n - 1) & (symbols[after] == own)
-            # positions descend within a symbol only; the ranges are read by position
-            shared = np.zeros(len(at), np.uint8)
-            shared_after = np.zeros(len(at), np.uint8)
-            padded = np.append(common, np.uint8(END))
-            down = np.argsort(-where)
-            pick = down[has_before[down]]
-            shared[pick] = np.minimum(_least(padded, before[pick] + 1, where[pick]), most - 1) + 1
-            pick = down[has_after[down]]
-            shared_after[pick] = np.minimum(_least(padded, where[pick] + 1, after[pick]), most - 1) + 1
-
-            place = place - 1
+            order = np.argsort(where)
+            where, place, starts = where[order], place[order], starts[order]
+            rank, before, after = _places(old, np.cumsum(counts) - counts, where)
+            order = np.argsort(rank)
+            rank, before, after, place, starts = rank[order], before[order], after[order], place[order] - 1, starts[order]
+            shared = np.where(before == FAR, 0, np.minimum(before, most - 1) + 1).astype(np.uint8)
+            shared_after = np.where(after == FAR, FAR, np.minimum(after, most - 1) + 1).astype(np.uint8)
             inside = place >= starts
-            spot = m + at
-            stay = np.ones(n + len(spot), bool)
-            stay[spot] = False
-            grown = np.empty(n + len(spot), np.uint8)
-            grown[stay] = symbols
-            grown[spot] = np.where(inside, data[place], END)
-            _write(new[0], grown)
-            grown[stay] = common
-            grown[spot] = shared
-            grown[spot[has_after] + 1] = shared_after[has_after]
-            _write(new[1], grown)
-            where, place, starts, n = spot[inside], place[inside], starts[inside], len(grown)
+            symbols = np.where(inside, data[place], END).astype(np.uint8)
+            spots = m + rank
+            _insert(old, new, spots, symbols, shared, shared_after)
+            counts = counts + np.bincount(symbols, minlength=256)
+            where, place, starts = spots[inside], place[inside], starts[inside]
             old, new = new, old
-        return _read(old[0], n), _read(old[1], n)
+        return old.whole()
 
 
 def repeated(strings: list[bytes], length: int) -> list[np.ndarray]:

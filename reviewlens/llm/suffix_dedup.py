@@ -19,9 +19,10 @@ The corpus is not one collection: it is dealt into many small ones that share no
    collection whose transform decides.
 4. Repeated starts go back to all occurrences of a piece, and by text to the documents.
 
-An anchor with more than ``crowd`` different pieces would be too much for one task. Its strings are
-grouped one by one instead, by anchor and a digest of 128 bits; equal strings are counted
-before they are shuffled, so no group grows with the data there.
+An anchor with more than ``crowd`` different pieces would be too much for one collection. Its strings are
+dealt one by one instead, by a hash of the whole string; those whose hash occurs twice, and those of
+pieces that occur twice, form collections of their own, a different string in each place, and the same
+transform decides them. Equal strings meet before they are shuffled, byte by byte, so no collection grows with the copies.
 
 Texts are known by 128 bits of hash. Equal texts are processed once: their pieces are counted by
 text before pieces are compared. Intermediate tables are settled.
@@ -255,29 +256,41 @@ def _collections(found: DataFrame, length: int, buckets: int) -> DataFrame:
         table = table.select(["anchor", "digest", "often"]).append_column("cover", made)
         return table.filter(pc.invert(table["often"])).drop_columns(["often"])
 
-    dealt = found.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
-    return dealt.groupBy("bucket").applyInArrow(run, "anchor bigint, digest bigint, cover array<bigint>")
+    return _by_bucket(found, "anchor", buckets).applyInArrow(run, "anchor bigint, digest bigint, cover array<bigint>")
 
 
-def _crowded(found: DataFrame, length: int) -> DataFrame:
-    """The same for anchors of many pieces, by grouping their strings one by one."""
+def _by_bucket(rows: DataFrame, key: str, buckets: int):
+    """Rows grouped into buckets by a hash of ``key``; a task has a few buckets, whatever they weigh."""
+    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+    return dealt.repartition(max(1, buckets // 8), "bucket").groupBy("bucket")
+
+
+def _crowded(found: DataFrame, length: int, bucket: int) -> DataFrame:
+    """The same for anchors of many pieces, a string at a time."""
 
     def explode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, raw in enumerate(batch.column("raw").to_pylist()):
                 n = len(raw) - length + 1
-                spans = map(raw.__getitem__, map(slice, range(n), range(length, n + length)))
-                digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, spans)), np.int64).reshape(-1, 2)
+                strings = list(map(raw.__getitem__, map(slice, range(n), range(length, n + length))))
+                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, strings), np.uint64, n).view(np.int64)
                 columns = {c: np.full(n, batch.column(c)[i].as_py()) for c in ("anchor", "digest", "often")}
-                yield pa.RecordBatch.from_pydict(
-                    columns | {"at": np.arange(n), "w1": digests[:, 0].copy(), "w2": digests[:, 1].copy()}
-                )
+                yield pa.RecordBatch.from_pydict(columns | {"at": np.arange(n), "w": hashes, "raw": strings})
 
-    schema = "anchor bigint, digest bigint, often boolean, at bigint, w1 bigint, w2 bigint"
+    schema = "anchor bigint, digest bigint, often boolean, at bigint, w bigint, raw binary"
     strings = settle(found.mapInArrow(explode, schema), "crowded-strings")
-    string = ["anchor", "w1", "w2"]
-    twice = strings.groupBy(*string).agg(F.count("*").alias("n"), F.max("often").alias("o")).where("n > 1 OR o")
-    starts = strings.join(twice.select(*string), string).groupBy("anchor", "digest").agg(F.collect_set("at").alias("at"))
+    shared = strings.groupBy("w").agg(F.count("*").alias("n"), F.max("often").alias("o")).where("n > 1 OR o")
+    met = strings.join(settle(shared.select("w"), "crowded-hashes"), "w")
+    different = settle(met.groupBy("w", "raw").agg(((F.count("*") > 1) | F.max("often")).alias("twice")), "crowded-different")
+
+    def run(table: pa.Table) -> pa.Table:
+        given, twice = table["raw"].to_pylist(), table["twice"].to_pylist()
+        flags = bwt.repeated([*given, *(raw for raw, more in zip(given, twice) if more)], length)[: len(given)]
+        return table.select(["w", "raw"]).filter(pa.array([bool(f[0]) for f in flags]))
+
+    buckets = max(1, different.count() // bucket)
+    repeated = settle(_by_bucket(different, "w", buckets).applyInArrow(run, "w bigint, raw binary"), "crowded-repeated")
+    starts = strings.join(repeated, ["w", "raw"]).groupBy("anchor", "digest").agg(F.collect_set("at").alias("at"))
 
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,7 +331,7 @@ def repeated_spans(texts: DataFrame, length: int, bucket: int = 2000, crowd: int
     n = mixed.where(F.col("kinds") <= crowd).agg(F.sum("kinds")).first()[0] or 0
     parts = [whole, _collections(few.drop("kinds"), length, max(1, n // bucket))]
     if not mixed.where(F.col("kinds") > crowd).isEmpty():
-        parts.append(_crowded(many.drop("kinds"), length))
+        parts.append(_crowded(many.drop("kinds"), length, bucket))
     cover = parts[0]
     for part in parts[1:]:
         cover = cover.union(part.where(F.size("cover") > 0))

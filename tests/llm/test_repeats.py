@@ -10,8 +10,11 @@ from reviewlens.llm import bwt, line_dedup, suffix_dedup
 from tests.llm.conftest import ODD, SMALL
 
 
+@pytest.mark.parametrize("block", [1, 2, 5, 1 << 16])
 @pytest.mark.parametrize("seed", range(12))
-def test_transform_and_common_prefixes_by_sorting(seed):
+def test_transform_and_common_prefixes_by_sorting(monkeypatch, seed, block):
+    """Whatever the blocks that the files are read in."""
+    monkeypatch.setattr(bwt, "BLOCK", block)
     r = random.Random(seed)
     strings = [bytes(r.choice(b"ab\x00") for _ in range(r.randint(1, 30))) for _ in range(r.randint(1, 12))]
     length = r.randint(1, 6)
