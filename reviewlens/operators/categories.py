@@ -171,23 +171,18 @@ def classify(
     """``Id, *keep, predicted_category, category_confidence`` for every review.
 
     Term counts are made inside the row and meet the model's terms without moving; the sums
-    per class collapse to one row per review before the only shuffle. Every review adds one
-    empty row after the join, so a text without a known term gets the class priors. Equal probabilities go to the first class by name.
+    per class collapse to one row per review before the only shuffle. What is summed is known terms, and
+    each review's first term, or an empty row, known or not, so that a text without a known term
+    gets the class priors. Equal probabilities go to the first class by name.
     """
-    bag = df.select("Id", *keep, F.inline(text.term_counts(text.terms(source))))
-    n, names = len(model.labels), ["_w", *(f"_t{i}" for i in range(len(model.labels)))]
+    counted = df.select("Id", *keep, F.posexplode_outer(text.term_counts(text.terms(source))).alias("_at", "_term"))
+    bag = counted.select("Id", *keep, "_at", F.col("_term.term").alias("term"), F.col("_term.tf").alias("tf"))
+    n = len(model.labels)
+    known = bag.join(model.table, "term", "left").where(F.col("idf").isNotNull() | (F.coalesce("_at", F.lit(0)) == 0))
     weight = F.col("tf") * F.col("idf")
-    hits = bag.join(model.table, "term").select(
-        "Id", *keep, weight.alias("_w"), *[(weight * F.get("ll", F.lit(i))).alias(f"_t{i}") for i in range(n)]
-    )
-    every = df.select("Id", *keep, *[F.lit(None).cast("double").alias(name) for name in names])
-    sums = (
-        hits.unionByName(every)
-        .groupBy("Id", *keep)
-        .agg(
-            F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_length"),
-            *[F.sum(f"_t{i}").alias(f"_s{i}") for i in range(n)],
-        )
+    sums = known.groupBy("Id", *keep).agg(
+        F.sqrt(F.sum(weight * weight)).alias("_length"),
+        *[F.sum(weight * F.get("ll", F.lit(i))).alias(f"_s{i}") for i in range(n)],
     )
     logits = F.array(
         *[
