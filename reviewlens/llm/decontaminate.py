@@ -2,8 +2,8 @@
 
 Words are runs of ASCII digits, ASCII letters (lower-cased) and all other characters beyond
 ASCII. A window is ``words`` consecutive words of an item; an item of fewer, but not none, is one
-window. The automaton's alphabet is the items' words: a window is a string of one symbol a word, so it
-has few nodes, and a match ends at a word's number. All windows go into one automaton, and each text
+window. A word is spelled by a few letters of its number, so the automaton has few nodes, and a match
+ends at a word's number. All windows go into one automaton, and each text
 is normalised and scanned once. Through the words' offsets, hits are mapped back to characters of
 the original text.
 
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from reviewlens.llm.columns import free_name, map_texts
 from reviewlens.session import settle
 
+BASE = 64
 #: Every byte of a word character as itself, lower-cased; every other byte as a blank.
 _NORMAL = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -47,35 +48,38 @@ def windows(text: str | None, words: int) -> list[tuple[bytes, ...]]:
     return [tuple(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))] if tokens else []
 
 
-def _symbol(number: int) -> str:
-    """A character for each number from 0 on, none of them a surrogate; 0 stands for all other words."""
-    return chr(number if number < 0xD800 else number + 0x800)
-
-
-def automaton(items: list[tuple[object, str]], words: int):
-    """The symbol of each word, and a machine that maps windows to (number of words, ids of its items)."""
-    owners: dict[tuple[bytes, ...], set] = {}
-    symbols: dict[bytes, str] = {}
-    for item, text in items:
-        for window in windows(text, words):
-            owners.setdefault(window, set()).update(() if item is None else (item,))
-    machine = ahocorasick.Automaton()
-    for window, ids in owners.items():
-        key = "".join(symbols.setdefault(word, _symbol(len(symbols) + 1)) for word in window)
-        machine.add_word(key, (len(window), tuple(ids)))
-    machine.make_automaton()
-    return (symbols, machine) if owners else None
-
-
-def scan(text: str | None, found) -> tuple[int, list[list[int]], set]:
-    """Number of words, hit runs of words as (first, end) in order, and items that occur."""
-    tokens = normal_words(text)
-    if found is None or not tokens:
-        return len(tokens), [], set()
-    symbols, machine = found
-    matches = list(machine.iter("".join(map(symbols.get, tokens, repeat(_symbol(0))))))
-    runs = _merge((end + 1 - n, end + 1) for end, (n, _) in matches)
-    return len(tokens), runs, {i for _, (_, ids) in matches for i in ids}
+class Windows:
+    """One automaton over windows: each word is ``digits`` letters of an alphabet of ``BASE`` for each
+    place, so that no node has many branches and no match begins inside a word."""
+
+    def __init__(self, items: list[tuple[object, str]], words: int):
+        owners: dict[tuple[bytes, ...], set] = {}
+        for item, text in items:
+            for window in windows(text, words):
+                owners.setdefault(window, set()).update(() if item is None else (item,))
+        known = sorted({word for window in owners for word in window})
+        self.digits = 1
+        while BASE**self.digits < len(known):
+            self.digits += 1
+        self.letters = {word: self._spelled(number) for number, word in enumerate(known)}
+        self.other = "\0" * self.digits
+        self.machine = ahocorasick.Automaton() if owners else None
+        for window, ids in owners.items():
+            self.machine.add_word("".join(map(self.letters.get, window)), (len(window), tuple(ids)))
+        if owners:
+            self.machine.make_automaton()
+
+    def _spelled(self, number: int) -> str:
+        return "".join(chr(1 + BASE * place + number // BASE**place % BASE) for place in range(self.digits))
+
+    def scan(self, text: str | None) -> tuple[int, list[list[int]], set]:
+        """Number of words, hit runs of words as (first, end) in order, and items that occur."""
+        tokens = normal_words(text)
+        if self.machine is None or not tokens:
+            return len(tokens), [], set()
+        found = list(self.machine.iter("".join(map(self.letters.get, tokens, repeat(self.other)))))
+        ends = [((end + 1) // self.digits, n) for end, (n, _) in found]
+        return len(tokens), _merge((end - n, end) for end, n in ends), {i for _, (_, ids) in found for i in ids}
 
 
 def original_spans(text: str | None, runs: list[list[int]]) -> list[list[int]]:
@@ -100,7 +104,7 @@ def _merge(runs) -> list[list[int]]:
 
 
 def hits(
-    docs: DataFrame, items: DataFrame, keep: list[str], name: str, words: int = 10, block_bytes: int = 2 << 20,
+    docs: DataFrame, items: DataFrame, keep: list[str], name: str, words: int = 10, block_bytes: int = 1 << 20,
     text: str = "text", item_id: str = "item_id", item_text: str = "text", unnamed: bool = False,
 ) -> DataFrame:
     """The columns ``keep`` of every row, and under ``name`` a struct of ``n_words``, hit ``runs``
@@ -118,14 +122,14 @@ def hits(
         given.append(docs.sparkSession.sparkContext.broadcast([tuple(r) for r in part.select("item", "t").collect()]))
 
     def make():
-        only = automaton(given[0].value, words) if len(given) == 1 else None
+        only = Windows(given[0].value, words) if len(given) == 1 else None
 
         def run(texts):
             found = [[0, [], set()] for _ in texts]
             for block in given:
-                machine = only if len(given) == 1 else automaton(block.value, words)
+                machine = only or Windows(block.value, words)
                 for t, so_far in zip(texts, found):
-                    so_far[0], runs, ids = scan(t, machine)
+                    so_far[0], runs, ids = machine.scan(t)
                     so_far[1] += runs
                     so_far[2] |= ids
             out = []

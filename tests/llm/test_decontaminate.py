@@ -77,13 +77,17 @@ def test_item_ids_that_are_texts(spark, documents, folder, block):
     assert got == {i: (len(x), sha256(",".join(x).encode()).hexdigest()) for i, x in {5: ["10", "9", "a"], 6: ["b-1"], 7: ["b-1"]}.items()}
 
 
-def test_many_different_words_keep_their_symbols():
-    """More words than there are characters before the surrogates."""
-    items = [(i, " ".join(f"w{10 * i + k}" for k in range(10))) for i in range(7000)]
-    machine = decontaminate.automaton(items, 10)
-    for i in (0, 5600, 6999):
-        assert decontaminate.scan(f"x {items[i][1]} unknown", machine) == (12, [[1, 11]], {i})
-    assert decontaminate.scan("w0 w1 unknown w2 w3", machine)[1:] == ([], set())
+def test_many_different_words_keep_their_letters():
+    """One, two and three letters a word; no match begins inside a word."""
+    for n in (3, 300, 7000):
+        items = [(i, " ".join(f"w{10 * i + k}" for k in range(10))) for i in range(n)]
+        machine = decontaminate.Windows(items, 10)
+        assert machine.digits == {3: 1, 300: 2, 7000: 3}[n]
+        for i in (0, n // 2, n - 1):
+            assert machine.scan(f"x {items[i][1]} unknown {items[i][1]}") == (22, [[1, 11], [12, 22]], {i})
+        assert machine.scan("w0 w1 unknown w2 w3")[1:] == ([], set())
+    single = decontaminate.Windows([(i, f"w{i}") for i in range(70)], 10)
+    assert [single.scan(f"w{i} w{j}")[2] for i in (0, 5, 69) for j in (64, 1)] == [{i, j} for i in (0, 5, 69) for j in (64, 1)]
 
 
 def test_keep_clean(spark, documents):
