@@ -16,8 +16,9 @@ from contextlib import ExitStack
 import numpy as np
 
 END = 255  # before a whole string; no byte of UTF-8
-BLOCK = 1 << 16  # symbols that a round holds at once
+BLOCK = 1 << 19  # symbols that a round holds at once
 FAR = 255  # more than any common prefix
+NUMBERS = np.arange(BLOCK, dtype=np.int32)
 
 
 class _Files:
@@ -78,39 +79,34 @@ def _places(files: _Files, below: np.ndarray, where: np.ndarray) -> tuple[np.nda
         counts = np.bincount(symbols, minlength=256)
         starts = np.cumsum(counts) - counts
         by_symbol = np.argsort(symbols, kind="stable")
-        present = np.flatnonzero(counts)
-        heads, tails = by_symbol[starts[present]], by_symbol[starts[present] + counts[present] - 1]
-        least_to = np.minimum.accumulate(common)
-
-        # those that wait for a symbol of this block have it; the others wait on
-        came = present[waiting[present] >= 0]
-        after[waiting[came]] = np.minimum(so_far[came], least_to[by_symbol[starts[came]]])
-        waiting[came] = -1
-        so_far = np.minimum(so_far, least_to[-1])
-
-        own = symbols[here]
-        inverse = np.empty(len(symbols), np.int64)
-        inverse[by_symbol] = np.arange(len(symbols))
-        at = inverse[here]
+        inverse = np.empty(len(symbols), np.int32)
+        inverse[by_symbol] = NUMBERS[: len(symbols)]
+        own, at = symbols[here], inverse[here]
         rank[a:b] = below[own] + seen[own] + at - starts[own]
         down = np.arange(len(here))[::-1]
         padded = np.append(common, np.uint8(FAR))
-        has = at > starts[own]
-        pick = down[has[down]]
+        first_here, last_here = at == starts[own], at == starts[own] + counts[own] - 1
+        pick = down[~first_here[down]]
         before[mine[pick]] = _least(padded, by_symbol[at[pick] - 1] + 1, here[pick])
-        lone = ~has & (seen[own] > 0)
-        before[mine[lone]] = np.minimum(since[own[lone]], least_to[here[lone]])
-        has = at < starts[own] + counts[own] - 1
-        pick = down[has[down]]
+        pick = down[~last_here[down]]
         after[mine[pick]] = _least(padded, here[pick] + 1, by_symbol[at[pick] + 1])
+        if len(symbols) == files.n:
+            break
 
-        # the least from each place to the block's end, for what goes on in the next one
+        # what goes on over the edges of blocks; those that wait for a symbol of this block have it
+        present = np.flatnonzero(counts)
+        least_to = np.minimum.accumulate(common)
         least_from = np.append(np.minimum.accumulate(common[::-1])[::-1], np.uint8(FAR))
-        open_ = ~has
-        waiting[own[open_]] = mine[open_]
-        so_far[own[open_]] = least_from[here[open_] + 1]
+        came = present[waiting[present] >= 0]
+        after[waiting[came]] = np.minimum(so_far[came], least_to[by_symbol[starts[came]]])
+        waiting[came] = -1
+        so_far = np.minimum(so_far, least_to[-1])
+        lone = first_here & (seen[own] > 0)
+        before[mine[lone]] = np.minimum(since[own[lone]], least_to[here[lone]])
+        waiting[own[last_here]] = mine[last_here]
+        so_far[own[last_here]] = least_from[here[last_here] + 1]
         since = np.minimum(since, least_to[-1])
-        since[present] = least_from[tails + 1]
+        since[present] = least_from[by_symbol[starts[present] + counts[present] - 1] + 1]
         seen += counts
     return rank, before, after
 
@@ -124,11 +120,15 @@ def _insert(old: _Files, new: _Files, spots: np.ndarray, symbols: np.ndarray, co
     for first, own_symbols, own_common in old.blocks():
         last = first + len(own_symbols)
         a, b = np.searchsorted(place, (first, last if last < old.n else old.n + 1))
-        grown_symbols = np.insert(own_symbols, place[a:b] - first, symbols[a:b])
-        grown_common = np.insert(own_common, place[a:b] - first, common[a:b])
+        fresh = place[a:b] - first + np.arange(b - a)
+        stays = np.ones(len(own_symbols) + b - a, bool)
+        stays[fresh] = False
+        grown_symbols, grown_common = np.empty(len(stays), np.uint8), np.empty(len(stays), np.uint8)
+        grown_symbols[stays], grown_symbols[fresh] = own_symbols, symbols[a:b]
+        grown_common[stays], grown_common[fresh] = own_common, common[a:b]
         if held != FAR:
             grown_common[0] = held
-        follows = spots[a:b] + 1 - (first + a)
+        follows = fresh + 1
         told = after[a:b] != FAR
         inside = told & (follows < len(grown_common))
         grown_common[follows[inside]] = after[a:b][inside]

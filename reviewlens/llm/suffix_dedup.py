@@ -307,7 +307,7 @@ def _crowded(found: DataFrame, length: int, bucket: int) -> DataFrame:
     return starts.mapInArrow(merge, "anchor bigint, digest bigint, cover array<bigint>")
 
 
-def repeated_spans(texts: DataFrame, length: int, bucket: int = 2000, crowd: int = 4000) -> DataFrame:
+def repeated_spans(texts: DataFrame, length: int, bucket: int = 2000, crowd: int = 16000) -> DataFrame:
     """``t1, t2, spots`` of the texts that lose bytes: first bytes of pieces, and what is covered there."""
     shared = _scan(texts, length).groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1").select("anchor")
     rows = _occurrences(texts, length).join(settle(shared, "anchors"), "anchor")
