@@ -594,11 +594,12 @@ def document_topics(spark: SparkSession, sf: str) -> DataFrame:
 
 def coherence_sweep(spark: SparkSession, sf: str) -> DataFrame:
     """Every model of the sweep: whether its coherence is a cosine mean, whether one of its category is
-    kept, and whether the kept one is more coherent than its terms dealt over its topics."""
+    kept, and whether the kept ones are on average more coherent than their terms dealt over their topics."""
     df, _, _, models = _topic_models(spark, sf, topics.TOPIC_COUNTS)
     scores = settle(topics.coherence_sweep(df, models, CAT, compare_dealt=True), "sweep-scores")
     kept = topics.best_k(scores).join(scores.select("category", "k", "dealt_coherence"), ["category", "k"])
-    kept = kept.select("category", F.lit(True).alias("one_kept"), (F.col("coherence") > F.col("dealt_coherence")).alias("groups_terms"))
+    above = kept.agg(F.avg(F.col("coherence") - F.col("dealt_coherence"))).first()[0]
+    kept = kept.select("category", F.lit(True).alias("one_kept"), F.lit(above is not None and above > 0).alias("groups_terms"))
     joined = scores.join(kept, "category")
     return joined.select("category", "k", F.col("coherence").between(-1, 1).alias("in_range"), "one_kept", "groups_terms")
 

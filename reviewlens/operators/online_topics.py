@@ -12,6 +12,7 @@ same whatever the partitions, and on every run.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from zlib import crc32
@@ -162,8 +163,8 @@ def _send(vectors: DataFrame, models: Sequence[OnlineModel]):
     return vectors.sparkSession.sparkContext.broadcast(sent)
 
 
-def _batch_sums(vectors: DataFrame, models: Sequence[OnlineModel]) -> tuple[dict[int, np.ndarray], dict[str, int]]:
-    """Expected counts of each model over the given reviews, and how many reviews each category has."""
+def _batch_sums(vectors: DataFrame, models: Sequence[OnlineModel]) -> dict[int, np.ndarray]:
+    """Expected counts of each model over the given reviews."""
     given = _send(vectors, models)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,8 +187,7 @@ def _batch_sums(vectors: DataFrame, models: Sequence[OnlineModel]) -> tuple[dict
         own, model = m == number, models[number]
         sums[number] = np.zeros((model.k, len(model.terms)))
         sums[number][topic[own], term[own]] = units[own] * UNIT
-    sizes = {r["category"]: r["n"] for r in vectors.groupBy("category").agg(F.count("*").alias("n")).collect()}
-    return sums, sizes
+    return sums
 
 
 def perplexities(vectors: DataFrame, models: Sequence[OnlineModel]) -> list[float | None]:
@@ -224,9 +224,11 @@ def fit_models(
     the columns and weights of a review's terms, and which batch of a pass it is in. A model's step
     counts a batch as much as all its category; a batch without reviews of it is no step.
     """
-    reviews = {r["category"]: r["n"] for r in vectors.groupBy("category").agg(F.count("*").alias("n")).collect()}
-    batches = vectors.agg(F.max("batch")).first()[0]
-    batches = 1 if batches is None else batches + 1
+    counted = vectors.groupBy("category", "batch").agg(F.count("*").alias("n")).collect()  # MOST_BATCHES a category at most
+    sizes = {(r["category"], r["batch"]): r["n"] for r in counted}
+    reviews: Counter[str] = Counter()
+    for (category, _), n in sizes.items():
+        reviews[category] += n
     models = [OnlineModel(c, k, terms) for c, terms in sorted(vocabularies.items()) for k in counts]
     group, room, groups = [], 0, []
     for model in models:
@@ -242,14 +244,14 @@ def fit_models(
         own = vectors.where(F.col("category").isin(sorted({m.category for m in group})))
         steps = [0] * len(group)
         for done in range(1, passes + 1):
-            for batch in range(batches):
-                sums, sizes = _batch_sums(own.where(F.col("batch") == batch), group)
+            for batch in sorted({b for _, b in sizes}):
+                sums = _batch_sums(own.where(F.col("batch") == batch), group)
                 for number, model in enumerate(group):
                     if number not in sums:
                         continue
                     steps[number] += 1
                     rate = (OFFSET + steps[number]) ** -DECAY
-                    whole = model.prior + sums[number] * (reviews[model.category] / sizes[model.category])
+                    whole = model.prior + sums[number] * (reviews[model.category] / sizes[model.category, batch])
                     model.weights = (1 - rate) * model.weights + rate * whole
             if done % EVERY == 0 or done == passes:
                 for model, value in zip(group, perplexities(own, group)):
