@@ -4,7 +4,8 @@ After Hoffman, Blei and Bach, "Online Learning for Latent Dirichlet Allocation",
 cut into disjoint batches by a hash of the review, so every review is read once a pass. One job
 handles a batch for all models: a task fits the topic shares of its reviews to the models of their
 category, sums the expected counts per topic and term, and only these sums move. The driver holds the
-models' parameters, ``k * vocabulary`` numbers each, and takes the step.
+models' parameters, ``k * vocabulary`` numbers each, and takes the step. As there are many jobs, all that
+does not change from pass to pass is done before: reviews are packed into arrays and kept by batch.
 
 Expected counts are rounded to ``UNIT`` and summed as integers: the sums, and so the models, are the
 same whatever the partitions, and on every run.
@@ -13,16 +14,20 @@ same whatever the partitions, and on every run.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
+from operator import add
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, SparkContext, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewlens.session import settle
+
 # Passes over the data, reviews of a batch, learning offset and decay, passes between perplexities.
 PASSES = 20
 BATCH = 4096
@@ -33,6 +38,7 @@ EVERY = 5
 ROUNDS, TOLERANCE = 100, 1e-3
 UNIT = 2.0**-24
 MOST_BATCHES = 64  # of a pass; beyond, batches grow
+CHUNK = 1024  # reviews that are fitted together, so that their products stay in the caches
 GROUP_BYTES = 64 << 20  # of parameters that are fitted, and sent out, together
 
 
@@ -84,37 +90,42 @@ def review_shares(offsets: np.ndarray, terms: np.ndarray, counts: np.ndarray, be
     """Dirichlet parameters of each review's topics; ``beta`` has a row for each term.
 
     Reviews are ``terms`` and ``counts`` from one offset to the next, none empty. Each settles by
-    itself, so that its result does not depend on its neighbours.
+    itself, so that its result does not depend on its neighbours. Inside, a row is a topic, so that
+    sums over a review's terms read memory in order.
     """
     sizes = np.diff(offsets)
-    shares = np.ones((len(sizes), beta.shape[1]))
+    shares = np.ones((beta.shape[1], len(sizes)))
     live = np.arange(len(sizes))
-    own_beta, own_counts, starts, of = beta[terms], counts, offsets[:-1], np.repeat(live, sizes)
+    own_beta, own_counts, starts = np.take(beta.T, terms, axis=1), counts, offsets[:-1]
     for _ in range(ROUNDS):
-        theta = np.exp(expected_log(shares[live]))
-        norm = (theta[of] * own_beta).sum(axis=1) + 1e-100
-        new = prior + theta * np.add.reduceat((own_counts / norm)[:, None] * own_beta, starts, axis=0)
-        moved = np.abs(new - shares[live]).mean(axis=1) >= TOLERANCE
-        shares[live] = new
+        old = shares[:, live]
+        theta = np.exp(expected_log(old.T).T)
+        spread = np.repeat(theta, sizes, axis=1)
+        spread *= own_beta
+        ratio = own_counts / (spread.sum(axis=0) + 1e-100)
+        np.multiply(own_beta, ratio, out=spread)
+        new = prior + theta * np.add.reduceat(spread, starts, axis=1)
+        shares[:, live] = new
+        moved = np.abs(new - old).mean(axis=0) >= TOLERANCE
         if moved.all():
             continue
-        entries = moved[of]
-        live, sizes = live[moved], sizes[moved]
-        if not len(live):
+        if not moved.any():
             break
-        own_beta, own_counts = own_beta[entries], own_counts[entries]
-        starts, of = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(live)), sizes)
-    return shares
+        entries = np.repeat(moved, sizes)
+        live, sizes = live[moved], sizes[moved]
+        own_beta, own_counts = own_beta[:, entries], own_counts[entries]
+        starts = np.cumsum(sizes) - sizes
+    return shares.T
 
 
 def expected_counts(offsets: np.ndarray, terms: np.ndarray, counts: np.ndarray, beta: np.ndarray, prior: float) -> np.ndarray:
     """Expected counts per topic and term, in whole units."""
     shares = review_shares(offsets, terms, counts, beta, prior)
-    of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    phi = np.exp(expected_log(shares))[of] * beta[terms]
-    phi *= (counts / (phi.sum(axis=1) + 1e-100))[:, None]
+    phi = np.repeat(np.exp(expected_log(shares)).T, np.diff(offsets), axis=1)
+    phi *= np.take(beta.T, terms, axis=1)
+    phi *= counts / (phi.sum(axis=0) + 1e-100)
     units = np.rint(phi / UNIT)
-    return np.stack([np.bincount(terms, column, len(beta)) for column in units.T]).astype(np.int64)
+    return np.stack([np.bincount(terms, row, len(beta)) for row in units]).astype(np.int64)
 
 
 def review_bounds(offsets: np.ndarray, terms: np.ndarray, counts: np.ndarray, beta: np.ndarray, prior: float) -> np.ndarray:
@@ -154,63 +165,82 @@ def _by_category(batches: Iterable[pa.RecordBatch], sent: dict) -> Iterator[tupl
             yield category, rows, offsets - offsets[0], np.asarray(terms.flatten()), np.asarray(counts.flatten())
 
 
-def _send(vectors: DataFrame, models: Sequence[OnlineModel]):
+def _send(context: SparkContext, models: Sequence[OnlineModel]):
     """A broadcast of (number, terms by topics, prior) of the models, by category."""
     sent: dict[str, list] = {}
     for number, model in enumerate(models):
         if model.weights is not None:
             sent.setdefault(model.category, []).append((number, np.exp(expected_log(model.weights)).T.copy(), model.prior))
-    return vectors.sparkSession.sparkContext.broadcast(sent)
+    return context.broadcast(sent)
 
 
-def _batch_sums(vectors: DataFrame, models: Sequence[OnlineModel]) -> dict[int, np.ndarray]:
-    """Expected counts of each model over the given reviews."""
-    given = _send(vectors, models)
+def chunked(vectors: DataFrame, sizes: dict[tuple[str, int], int]) -> dict[int, RDD]:
+    """Each batch's reviews as ``category, offsets, terms, counts`` arrays of some ``CHUNK`` reviews, kept.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The reviews of a category are dealt by a hash that the batches do not use, so that every chunk of a
+    large category has about as many. A fit reads a batch once a pass; only arrays are read again.
+    """
+    spark = vectors.sparkSession
+    largest: Counter[str] = Counter()
+    for (category, _), n in sizes.items():
+        largest[category] = max(largest[category], n)
+    slices = spark.createDataFrame([(c, -(-n // CHUNK)) for c, n in largest.items()], "category string, slices int")
+
+    def pack(key: tuple, table: pa.Table) -> pa.Table:
+        terms, counts = (table.column(c).combine_chunks() for c in ("terms", "weights"))
+        offsets = np.asarray(terms.offsets).astype(np.int64)
+        arrays = (offsets - offsets[0], np.asarray(terms.flatten()), np.asarray(counts.flatten()))
+        packed = [pa.array([a.tobytes()], pa.binary()) for a in arrays]
+        return pa.Table.from_arrays([*(pa.array([k.as_py()], t) for k, t in zip(key[:2], (pa.string(), pa.int32()))), *packed], names=fields)
+
+    def unpack(row) -> tuple:
+        return row[0], np.frombuffer(row[1], np.int64), np.frombuffer(row[2], np.int32), np.frombuffer(row[3], np.float64)
+
+    fields = ["category", "batch", "offsets", "terms", "counts"]
+    dealt = vectors.join(F.broadcast(slices), "category").withColumn("slice", F.pmod(F.hash("Id"), F.col("slices")))
+    chunks = dealt.select("category", "batch", "slice", "terms", "weights").groupBy("category", "batch", "slice")
+    kept = settle(chunks.applyInArrow(pack, "category string, batch int, offsets binary, terms binary, counts binary"), "topic-chunks", by="batch")
+    found: dict[int, RDD] = {}
+    for batch in sorted({b for _, b in sizes}):
+        most = sum(-(-n // CHUNK) for (_, b), n in sizes.items() if b == batch)
+        parts = min(most, spark.sparkContext.defaultParallelism)
+        rows = kept.where(F.col("batch") == batch).select("category", "offsets", "terms", "counts").repartition(parts)
+        found[batch] = rows.rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
+    return found
+
+
+def _summed(chunks: RDD, models: Sequence[OnlineModel], count: Callable) -> dict[int, np.ndarray]:
+    """The sum of ``count(offsets, terms, counts, beta, prior)`` over the chunks of each model's category.
+
+    A task sums its chunks first; what moves has the models' size, whatever the reviews.
+    """
+    given = _send(chunks.context, models)
+
+    def run(rows: Iterable[tuple]) -> Iterator[tuple[int, np.ndarray]]:
         totals: dict[int, np.ndarray] = {}
-        for category, _, offsets, terms, counts in _by_category(batches, given.value):
-            for number, beta, prior in given.value[category]:
-                own = expected_counts(offsets, terms, counts, beta, prior)
+        for category, *arrays in rows:
+            for number, beta, prior in given.value.get(category, ()):
+                own = count(*arrays, beta, prior)
                 totals[number] = totals[number] + own if number in totals else own
-        for number, total in totals.items():
-            topic, term = np.nonzero(total)
-            yield pa.RecordBatch.from_pydict(
-                {"m": pa.array(np.full(len(topic), number), pa.int32()), "topic": topic.astype(np.int32), "term": term.astype(np.int32), "units": total[topic, term]}
-            )
-
-    rows = vectors.select("category", "terms", "weights").mapInArrow(run, "m int, topic int, term int, units bigint")
-    table = rows.groupBy("m", "topic", "term").agg(F.sum("units").alias("units")).toArrow()
-    m, topic, term, units = (np.asarray(table.column(c).combine_chunks()) for c in ("m", "topic", "term", "units"))
-    sums = {}
-    for number in np.unique(m).tolist():
-        own, model = m == number, models[number]
-        sums[number] = np.zeros((model.k, len(model.terms)))
-        sums[number][topic[own], term[own]] = units[own] * UNIT
-    return sums
-
-
-def perplexities(vectors: DataFrame, models: Sequence[OnlineModel]) -> list[float | None]:
-    """The bound on each model's log perplexity, over all reviews of its category."""
-    given = _send(vectors, models)
+        return iter(totals.items())
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, list[int]] = {}
-        for category, _, offsets, terms, counts in _by_category(batches, given.value):
-            words = int(np.rint(counts / UNIT).sum())
-            for number, beta, prior in given.value[category]:
-                bound = int(np.rint(review_bounds(offsets, terms, counts, beta, prior) / UNIT).sum())
-                own = sums.setdefault(number, [0, 0])
-                own[0] += bound
-                own[1] += words
-        yield pa.RecordBatch.from_pydict(
-            {"m": pa.array(list(sums), pa.int32()), "bound": pa.array([b for b, _ in sums.values()], pa.int64()), "words": pa.array([w for _, w in sums.values()], pa.int64())}
-        )
-
-    rows = vectors.select("category", "terms", "weights").mapInArrow(run, "m int, bound bigint, words bigint")
-    told = {r["m"]: r for r in rows.groupBy("m").agg(F.sum("bound").alias("bound"), F.sum("words").alias("words")).collect()}
+    parts = min(len(models), chunks.context.defaultParallelism)
+    try:
+        return dict(chunks.mapPartitions(run).reduceByKey(add, parts).collect())
+    finally:
+        given.destroy()
+
+
+def _bound_and_words(offsets: np.ndarray, terms: np.ndarray, counts: np.ndarray, beta: np.ndarray, prior: float) -> np.ndarray:
+    bounds = review_bounds(offsets, terms, counts, beta, prior)
+    return np.array([np.rint(x / UNIT).sum() for x in (bounds, counts)]).astype(np.int64)
+
+
+def perplexities(chunks: RDD, models: Sequence[OnlineModel]) -> list[float | None]:
+    """The bound on each model's log perplexity, over all reviews of its category."""
+    told = _summed(chunks, models, _bound_and_words)
     return [
-        -(told[i]["bound"] * UNIT + topic_bound(model)) / (told[i]["words"] * UNIT) if i in told and told[i]["words"] else None
+        -(told[i][0] * UNIT + topic_bound(model)) / (told[i][1] * UNIT) if i in told and told[i][1] else None
         for i, model in enumerate(models)
     ]
 
@@ -241,28 +271,31 @@ def fit_models(
         group.append(model)
         room += model.weights.nbytes
     for group in [*groups, group] if group else []:
-        own = vectors.where(F.col("category").isin(sorted({m.category for m in group})))
+        names = {m.category for m in group}
+        own = {key: n for key, n in sizes.items() if key[0] in names}
+        chunks = chunked(vectors.where(F.col("category").isin(sorted(names))), own)
+        every = vectors.sparkSession.sparkContext.union(list(chunks.values()))
         steps = [0] * len(group)
         for done in range(1, passes + 1):
-            for batch in sorted({b for _, b in sizes}):
-                sums = _batch_sums(own.where(F.col("batch") == batch), group)
-                for number, model in enumerate(group):
-                    if number not in sums:
-                        continue
+            for batch, reviewed in chunks.items():
+                for number, counted_units in _summed(reviewed, group, expected_counts).items():
+                    model = group[number]
                     steps[number] += 1
                     rate = (OFFSET + steps[number]) ** -DECAY
-                    whole = model.prior + sums[number] * (reviews[model.category] / sizes[model.category, batch])
+                    whole = model.prior + counted_units * UNIT * (reviews[model.category] / sizes[model.category, batch])
                     model.weights = (1 - rate) * model.weights + rate * whole
             if done % EVERY == 0 or done == passes:
-                for model, value in zip(group, perplexities(own, group)):
+                for model, value in zip(group, perplexities(every, group)):
                     if value is not None:
                         model.trace.append((done, value))
+        for reviewed in chunks.values():
+            reviewed.unpersist()
     return models
 
 
 def shares(vectors: DataFrame, models: Sequence[OnlineModel], keep: Sequence[str] = ()) -> DataFrame:
     """``category, Id, *keep, k, topics``: the topic shares of every review under its category's models."""
-    given = _send(vectors, models)
+    given = _send(vectors.sparkSession.sparkContext, models)
     kept = vectors.select("category", "Id", *keep)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

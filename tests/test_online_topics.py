@@ -146,3 +146,19 @@ def test_every_review_is_in_one_batch(spark):
     rows = vectors.collect()
     assert sorted(r.Id for r in rows) == list(range(200)) and {r.batch for r in rows} == set(range(7))
     assert all(sum(w * w for w in r.weights) == pytest.approx(1) and r.terms == sorted(r.terms) for r in rows)
+
+
+def test_steps_read_kept_chunks(spark, monkeypatch):
+    rows, df, names = made(spark)
+    whole = ot.fit_models(df, names, (2,), passes=2)
+    monkeypatch.setattr(ot, "CHUNK", 10)
+    chunks = ot.chunked(df, {(c, b): sum(r[0] == c and r[4] == b for r in rows) for c in "ab" for b in range(3)})
+    assert sorted(chunks) == [0, 1, 2]
+    for batch, kept in chunks.items():
+        found = kept.collect()
+        told = sorted((c, t[a:b].tolist(), w[a:b].tolist()) for c, o, t, w in found for a, b in zip(o, o[1:]))
+        assert told == sorted((r[0], r[2], r[3]) for r in rows if r[4] == batch) and len(found) > 2
+    plans = []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda *a, **k: plans.append(a) or pytest.fail("a plan a step"))
+    cut = ot.fit_models(df, names, (2,), passes=2)
+    assert not plans and all(np.array_equal(a.weights, b.weights) and a.trace == b.trace for a, b in zip(whole, cut))
