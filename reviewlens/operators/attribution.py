@@ -112,20 +112,37 @@ class _Walk:
         """The sum over the leaves below of leaf and product, after adding what their edges give."""
         if node.left is None:
             return node.value * product
-        column, earlier, total = self.x[node.feature], path.get(node.feature), 0.0
+        column, earlier, total = self.x[node.feature], path.get(node.feature), None
         below_threshold = column <= node.threshold
+        if node.left.left is None and node.right.left is None:
+            return self.over_leaves(node, below_threshold, product, earlier)
         for child, here, share in ((node.left, below_threshold, node.left_share), (node.right, ~below_threshold, node.right_share)):
             passes, grown = here, product
             if earlier:
                 passes, share, grown = here & earlier[0], share * earlier[1], product / earlier[2]
             factor = (1 - self.t) * share + self.t * passes
             below = self.under(child, grown * factor, {**path, node.feature: (passes, share, factor)})
-            self.out[node.feature] += (passes - share) * (self.weights * below / factor).sum(axis=0)
+            self.out[node.feature] += (passes - share) * self.mean(below / factor)
             if earlier:  # the earlier edge of this feature has no part in the leaves of this one
-                self.out[node.feature] -= (earlier[0] - earlier[1]) * (self.weights * below / earlier[2]).sum(axis=0)
-            total = total + below
+                self.out[node.feature] -= (earlier[0] - earlier[1]) * self.mean(below / earlier[2])
+            total = below if total is None else total + below
         return total
 
+    def over_leaves(self, node: Node, below_threshold: np.ndarray, product: np.ndarray, earlier: tuple | None) -> np.ndarray:
+        """``under`` for a split of two leaves, half of all edges: both edges at once, their own factors never divided out."""
+        seen, known, grown = (earlier[0], earlier[1], product / earlier[2]) if earlier else (1.0, 1.0, product)
+        known_mean = known * (node.left_share * node.left.value + node.right_share * node.right.value)
+        own = np.where(below_threshold, node.left.value, node.right.value) * seen
+        total = grown * ((1 - self.t) * known_mean + self.t * own)
+        self.out[node.feature] += (own - known_mean) * self.mean(grown)
+        if earlier:
+            self.out[node.feature] -= (earlier[0] - earlier[1]) * self.mean(total / earlier[2])
+        return total
+
+    def mean(self, values: np.ndarray) -> np.ndarray:
+        """Over the rule's points."""
+        return np.einsum("p,pn->n", self.weights[:, 0], values)
+
 
 def attribute(trees: list[Node], x: np.ndarray) -> np.ndarray:
     """Shapley values of the rows of ``x``."""
@@ -157,7 +174,8 @@ def shap_values(model: HelpfulnessModel, scaled: DataFrame) -> DataFrame:
     schema = T.StructType(
         [T.StructField("Id", id_type), T.StructField("phi", T.ArrayType(T.DoubleType()))]
     )
-    filled = scaled.select("Id", *[F.coalesce(F.col(n), F.lit(0.0)).alias(n) for n in names])
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # few bytes, much work
+    filled = scaled.select("Id", *[F.coalesce(F.col(n), F.lit(0.0)).alias(n) for n in names]).repartition(parts)
     return filled.mapInPandas(run, schema).withColumn("base", F.lit(sum(tree.mean() for tree in trees)))
 
 

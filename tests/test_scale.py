@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlens.functions import text
-from reviewlens.operators import charts, coherence, lexicon, ranking, terms, topics
+from reviewlens.operators import attribution, charts, coherence, helpfulness, lexicon, ranking, terms, topics
 from reviewlens.schema import require_key
 from reviewlens.session import release, scratch_path, settle, settled_count, shared_dir
 
@@ -101,3 +101,14 @@ def test_settled_tables_are_released(spark):
     assert settled_count() == mark
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def test_attribution_uses_every_task(spark, monkeypatch):
+    leaves = attribution.Node(2.0), attribution.Node(-1.0)
+    tree = attribution.Node(0.0, 0, 0.5, *leaves, 0.25, 0.75)
+    monkeypatch.setattr(attribution, "model_trees", lambda *_: [tree])
+    scaled = spark.createDataFrame([(i, float(i % 2)) for i in range(200)], "Id bigint, rating double").coalesce(1)
+    values = attribution.shap_values(helpfulness.HelpfulnessModel(None, ["rating"]), scaled)
+    rows = values.withColumn("part", F.spark_partition_id()).collect()
+    assert len({r.part for r in rows}) == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    assert sorted((r.Id, r.phi[0] + r.base) for r in rows) == [(i, pytest.approx(-1.0 if i % 2 else 2.0)) for i in range(200)]
