@@ -240,7 +240,7 @@ def perplexities(chunks: RDD, models: Sequence[OnlineModel]) -> list[float | Non
     """The bound on each model's log perplexity, over all reviews of its category."""
     told = _summed(chunks, models, _bound_and_words)
     return [
-        -(told[i][0] * UNIT + topic_bound(model)) / (told[i][1] * UNIT) if i in told and told[i][1] else None
+        float(-(told[i][0] * UNIT + topic_bound(model)) / (told[i][1] * UNIT)) if i in told and told[i][1] else None
         for i, model in enumerate(models)
     ]
 
