@@ -659,10 +659,11 @@ def latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feature_tables_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    df, vocab = _topic_input(spark, sf)
-    root = scratch_path(spark, "features")
     stop = fx.parameter(spark, "stop_words")
-    bag = terms.bag_of_words(df, text.terms(F.col("clean_text")), [CAT], stop)
+    df = terms.kept_counts(fx.prepared(spark, sf), text.terms(F.col("clean_text")), [CAT], by=CAT)
+    vocab = terms.fit_vocabulary(df, terms.COUNTS, 1000, [CAT], stop)
+    root = scratch_path(spark, "features")
+    bag = terms.bag_of_words(df, terms.COUNTS, [CAT], stop)
     tables.write_features(terms.tfidf(bag, vocab, [CAT]), vocab, root, "20260101_000000")
     features, names = tables.load_features(spark, root)
     return features.join(names.select(CAT, "term", "df"), [CAT, "term"]).groupBy(CAT).agg(

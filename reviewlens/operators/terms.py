@@ -14,11 +14,27 @@ from reviewlens.operators.ranking import top_n_per_group
 from reviewlens.session import settle
 
 
+COUNTS = "term_counts"
+
+
+def kept_counts(df: DataFrame, tokens: Column, keys: Sequence[str] = (), by: str | None = None) -> DataFrame:
+    """``*keys, Id, term_counts``: a row for each review with the counts of its terms, settled once.
+
+    Counting is most of the work of a bag of words, so a table whose bag is read more than once, for its
+    vocabulary and again for its weights, is counted here and its bags are made from ``COUNTS``.
+    """
+    return settle(df.select(*keys, "Id", text.term_counts(tokens).alias(COUNTS)), "term-counts", by)
+
+
 def bag_of_words(
-    df: DataFrame, tokens: Column, keys: Sequence[str] = (), stop_words: DataFrame | None = None
+    df: DataFrame, tokens: Column | str, keys: Sequence[str] = (), stop_words: DataFrame | None = None
 ) -> DataFrame:
-    """``*keys, Id, term, tf``: term counts of each review, made inside its row."""
-    bag = df.select(*keys, "Id", F.inline(text.term_counts(tokens)))
+    """``*keys, Id, term, tf``: term counts of each review, made inside its row.
+
+    ``tokens`` are a review's tokens, or the name of the column where ``kept_counts`` has their counts.
+    """
+    counts = F.col(tokens) if isinstance(tokens, str) else text.term_counts(tokens)
+    bag = df.select(*keys, "Id", F.inline(counts))
     return bag if stop_words is None else without_stop_words(bag, stop_words)
 
 
@@ -55,7 +71,7 @@ def smooth_idf(n_docs: Column, df: Column) -> Column:
 
 def fit_vocabulary(
     df: DataFrame,
-    tokens: Column,
+    tokens: Column | str,
     max_features: int = 1000,
     keys: Sequence[str] = (),
     stop_words: DataFrame | None = None,

@@ -112,3 +112,26 @@ def test_attribution_uses_every_task(spark, monkeypatch):
     rows = values.withColumn("part", F.spark_partition_id()).collect()
     assert len({r.part for r in rows}) == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
     assert sorted((r.Id, r.phi[0] + r.base) for r in rows) == [(i, pytest.approx(-1.0 if i % 2 else 2.0)) for i in range(200)]
+
+
+def test_feature_tables_count_terms_once(spark, monkeypatch):
+    """The texts are counted into one settled table, from which both vocabulary and weights are made."""
+    rows = [(1, "c", "b a b x1"), (1, "c", "b cc cc"), (2, None, "a b"), (None, "d", "zz zz"), (3, "d", ""), (4, "d", None)]
+    df = spark.createDataFrame(rows, "Id bigint, category string, t string")
+    tokens = F.split("t", " ")
+    mark = settled_count()
+    kept = terms.kept_counts(df, tokens, ["category"], by="category")
+    for stop in (None, spark.createDataFrame([("b",)], "word string")):
+        made = [sorted(map(str, terms.bag_of_words(d, t, ["category"], stop).select("category", "Id", "term", "tf").collect())) for d, t in ((df, tokens), (kept, terms.COUNTS))]
+        assert made[0] == made[1] and made[0]
+        fitted = [sorted(map(str, terms.fit_vocabulary(d, t, 3, ["category"], stop).collect())) for d, t in ((df, tokens), (kept, terms.COUNTS))]
+        assert fitted[0] == fitted[1] and fitted[0]
+
+    from querybook import queries
+
+    counted, count = [], text.term_counts
+    monkeypatch.setattr(text, "term_counts", lambda t: counted.append(t) or count(t))
+    monkeypatch.setattr(queries.fx, "prepared", lambda spark, sf: df.withColumnRenamed("t", "clean_text"))
+    made = {r.category: (r.n_rows, r.n_terms) for r in queries.feature_tables_roundtrip(spark, "").collect()}
+    assert made == {"c": (2, 2), "d": (1, 1)} and len(counted) == 1
+    release(spark, mark)
