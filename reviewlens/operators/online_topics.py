@@ -38,7 +38,8 @@ EVERY = 5
 ROUNDS, TOLERANCE = 100, 1e-3
 UNIT = 2.0**-24
 MOST_BATCHES = 64  # of a pass; beyond, batches grow
-CHUNK = 1024  # reviews that are fitted together, so that their products stay in the caches
+CHUNK = 2048  # reviews that are fitted together
+LEAST_WIDTH, BLOCK_BYTES = 16, 8 << 20  # of padded reviews, and of the products of those of one width
 GROUP_BYTES = 64 << 20  # of parameters that are fitted, and sent out, together
 
 
@@ -63,12 +64,11 @@ class OnlineModel:
 
 def digamma(x: np.ndarray) -> np.ndarray:
     """The derivative of the logarithm of the gamma function, for positive numbers."""
-    out = np.zeros_like(x)
-    for i in range(6):
-        out -= 1 / (x + i)
+    t = x * (x + 5)  # the six fractions 1 / (x + i) in one
+    first = (2 * x + 5) * (3 * t * t + 20 * t + 24) / (t * (t + 4) * (t + 6))
     y = x + 6
     z = 1 / (y * y)
-    return out + np.log(y) - 0.5 / y - z * (1 / 12 - z * (1 / 120 - z * (1 / 252 - z * (1 / 240 - z / 132))))
+    return np.log(y) - 0.5 / y - z * (1 / 12 - z * (1 / 120 - z * (1 / 252 - z * (1 / 240 - z / 132)))) - first
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -86,36 +86,54 @@ def expected_log(weights: np.ndarray) -> np.ndarray:
     return digamma(weights) - digamma(weights.sum(axis=-1, keepdims=True))
 
 
+def _settle_shares(beta: np.ndarray, counts: np.ndarray, prior: float) -> np.ndarray:
+    """The shares of reviews of one width: ``beta`` is reviews by topics by terms, ``counts`` reviews by 1 by terms."""
+    shares = np.ones(beta.shape[:2])
+    rows, now = np.arange(len(shares)), shares
+    live = np.ones(len(shares), bool)
+    for _ in range(ROUNDS):
+        theta = np.exp(digamma(now))  # a factor common to a review's topics cancels out
+        ratio = np.matmul(theta[:, None, :], beta)
+        ratio += 1e-100
+        np.divide(counts, ratio, out=ratio)
+        new = np.matmul(beta, ratio.transpose(0, 2, 1))[:, :, 0]
+        new *= theta
+        new += prior
+        ends = live & (np.abs(new - now).mean(axis=1) < TOLERANCE)
+        now = new
+        if not ends.any():
+            continue
+        shares[rows[ends]] = now[ends]
+        live ^= ends
+        left = np.count_nonzero(live)
+        if not left:
+            return shares
+        if 4 * left <= 3 * len(live):  # until then, those that have settled go on unused
+            beta, counts, now, rows = beta[live], counts[live], now[live], rows[live]
+            live = np.ones(left, bool)
+    shares[rows[live]] = now[live]
+    return shares
+
+
 def review_shares(offsets: np.ndarray, terms: np.ndarray, counts: np.ndarray, beta: np.ndarray, prior: float) -> np.ndarray:
     """Dirichlet parameters of each review's topics; ``beta`` has a row for each term.
 
     Reviews are ``terms`` and ``counts`` from one offset to the next, none empty. Each settles by
-    itself, so that its result does not depend on its neighbours. Inside, a row is a topic, so that
-    sums over a review's terms read memory in order.
+    itself, so that its result does not depend on its neighbours. Inside, reviews are padded to the
+    next power of two of their own terms, and those of one width go through small matrix products.
     """
-    sizes = np.diff(offsets)
-    shares = np.ones((beta.shape[1], len(sizes)))
-    live = np.arange(len(sizes))
-    own_beta, own_counts, starts = np.take(beta.T, terms, axis=1), counts, offsets[:-1]
-    for _ in range(ROUNDS):
-        old = shares[:, live]
-        theta = np.exp(expected_log(old.T).T)
-        spread = np.repeat(theta, sizes, axis=1)
-        spread *= own_beta
-        ratio = own_counts / (spread.sum(axis=0) + 1e-100)
-        np.multiply(own_beta, ratio, out=spread)
-        new = prior + theta * np.add.reduceat(spread, starts, axis=1)
-        shares[:, live] = new
-        moved = np.abs(new - old).mean(axis=0) >= TOLERANCE
-        if moved.all():
-            continue
-        if not moved.any():
-            break
-        entries = np.repeat(moved, sizes)
-        live, sizes = live[moved], sizes[moved]
-        own_beta, own_counts = own_beta[:, entries], own_counts[entries]
-        starts = np.cumsum(sizes) - sizes
-    return shares.T
+    sizes, topics = np.diff(offsets), np.ascontiguousarray(beta.T)
+    widths = 1 << np.ceil(np.log2(np.maximum(sizes, LEAST_WIDTH))).astype(np.int64)
+    shares = np.empty((len(sizes), len(topics)))
+    for width in np.unique(widths).tolist():
+        alike, most = np.flatnonzero(widths == width), max(1, BLOCK_BYTES // (8 * width * len(topics)))
+        for i in range(0, len(alike), most):
+            rows, places = alike[i : i + most], np.arange(width)
+            held = places < sizes[rows, None]
+            at = np.where(held, offsets[rows, None] + places, 0)
+            own = np.ascontiguousarray(np.take(topics, terms[at], axis=1).transpose(1, 0, 2))
+            shares[rows] = _settle_shares(own, np.where(held, counts[at], 0.0)[:, None, :], prior)
+    return shares
 
 
 def expected_counts(offsets: np.ndarray, terms: np.ndarray, counts: np.ndarray, beta: np.ndarray, prior: float) -> np.ndarray:

@@ -73,6 +73,32 @@ def plain_fit(rows, category, k, n_terms, passes, batches, start):
     return lam
 
 
+@pytest.mark.parametrize("block", [1, 1 << 13, 1 << 30])
+def test_shares_do_not_depend_on_neighbours(monkeypatch, block):
+    """Reviews of one to many terms, each as it is alone and as it is word by word, however many go together."""
+    monkeypatch.setattr(ot, "BLOCK_BYTES", block)
+    rng = np.random.default_rng(6)
+    sizes = np.array([1, 2, 15, 16, 17, 63, 64, 65, 200, *rng.integers(1, 90, 60)])
+    terms = np.concatenate([np.sort(rng.choice(200, n, replace=False)) for n in sizes]).astype(np.int32)
+    counts, offsets = rng.uniform(0.05, 2.0, len(terms)), np.concatenate([[0], np.cumsum(sizes)])
+    beta = np.exp(ot.expected_log(rng.gamma(0.3, 2.0, (5, 200)) + 0.01)).T.copy()
+    whole = ot.review_shares(offsets, terms, counts, beta, 0.2)
+    for i, (a, b) in enumerate(zip(offsets, offsets[1:])):
+        alone = ot.review_shares(np.array([0, b - a]), terms[a:b], counts[a:b], beta, 0.2)
+        assert np.array_equal(alone[0], whole[i])
+        assert whole[i] == pytest.approx(plain_shares(terms[a:b], counts[a:b], beta.T, 0.2), rel=1e-9)
+
+
+def test_reviews_of_one_width_settle_together(monkeypatch):
+    """A round of a chunk is a few products, whatever its reviews: one width, one call."""
+    calls, settle_shares = [], ot._settle_shares
+    monkeypatch.setattr(ot, "_settle_shares", lambda beta, *rest: calls.append(beta.shape) or settle_shares(beta, *rest))
+    offsets = np.arange(0, 501 * 10, 10)
+    terms, counts = np.tile(np.arange(10, dtype=np.int32), 500), np.full(5000, 0.3)
+    ot.review_shares(offsets, terms, counts, np.full((10, 3), 0.1), 1 / 3)
+    assert calls == [(500, 3, ot.LEAST_WIDTH)]
+
+
 def test_equals_plain_numpy(spark):
     rows, df, names = made(spark)
     models = ot.fit_models(df, names, (2, 3), passes=3)

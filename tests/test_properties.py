@@ -154,6 +154,42 @@ def test_window_counts_by_listing_windows(spark, texts, size):
     assert got == expected | {("", ""): len(held)}
 
 
+@pytest.mark.parametrize("most_bits", [1 << 27, 1])
+def test_shared_windows_by_listing_windows(monkeypatch, most_bits):
+    """The counts of texts of one group, also where their windows are counted in many blocks."""
+    monkeypatch.setattr(coherence, "MOST_BITS", most_bits)
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(-1, 6, n).astype(np.int32) for n in [0, 1, 3, 4, 5, 64, 65, 700, *rng.integers(0, 90, 40)]]
+    a, b = np.array([(a, b) for a in range(6) for b in range(a, 6)]).T
+    windows = [set(t[s : s + 4].tolist()) for t in texts for s in range(max(len(t) - 4, 0) + 1)]
+    expected = [sum(x in w and y in w for w in windows) for x, y in zip(a, b)]
+    assert coherence._shared_windows(texts, 6, a, b, 4).tolist() == expected
+    assert coherence._shared_windows([t[t < 0] for t in texts], 6, a, b, 4).tolist() == [0] * len(a)
+
+
+def test_rows_of_one_id_lie_over_each_other(spark):
+    """Such rows count as one text, in a group at a time; all others stay where they are and give the same sums."""
+    words, rng = ["tea", "cup", "good", "not"], np.random.default_rng(5)
+    texts = [" ".join(rng.choice([*words, "other"], n)) for n in (3, 9, 2, 14, 0, 8, 5, 7)] + [None]
+    rows = list(zip([1, 1, 2, 3, 3, 4, 1, None, None], "xxxxxxyxx", texts))
+    df = settle(spark.createDataFrame(rows, "Id bigint, g string, clean_text string"), "texts")
+    pairs = [(g, *sorted(p)) for g in "xyz" for p in itertools.combinations_with_replacement(words, 2)]
+    table = settle(spark.createDataFrame(pairs, "g string, a string, b string"), "pairs")
+    got = {(r["g"], r["a"], r["b"]): r["n_both"] for r in coherence.pair_counts(df, table, ["g"], window=4).collect()}
+    covered, totals, present = {}, {}, {}
+    for i, g, t in rows:
+        held = _windows((t or "").split(), 4)
+        totals[g] = totals.get(g, 0) + len(held)
+        present.setdefault(g, set()).update((t or "").split())
+        for n, w in enumerate(held):
+            covered.setdefault((g, i, n), set()).update(w)
+    expected = {(g, "", ""): n for g, n in totals.items()}
+    for g, a, b in pairs:
+        if {a, b} & present.get(g, set()):
+            expected[g, a, b] = sum(k[0] == g and a in w and b in w for k, w in covered.items())
+    assert got == expected
+
+
 def test_coherence_by_its_definition(spark):
     texts = ["tea cup tea good kettle " * 3, "bad not very bad not", "tea cup", "good bad kettle of the"]
     rows = [(0, 1, "tea"), (0, 2, "cup"), (0, 3, "good"), (1, 1, "bad"), (1, 2, "not"), (1, 3, "zzz")]
