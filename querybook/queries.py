@@ -547,16 +547,17 @@ def coherence_by_k(spark: SparkSession, sf: str) -> DataFrame:
     return r6(charts.coherence_chart(rounded))
 
 
-def _topic_input(spark: SparkSession, sf: str, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+def _topic_input(spark: SparkSession, sf: str, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Reviews, the counts of their terms and the vocabulary of every category."""
     df = settle(fx.prepared(spark, sf).select("Id", CAT, "clean_text", *keep), "topic-reviews", CAT)
-    tokens = text.terms(F.col("clean_text"))
-    return df, terms.fit_vocabulary(df, tokens, 1000, [CAT], fx.parameter(spark, "stop_words"))
+    counted = terms.kept_counts(df, text.terms(F.col("clean_text")), [CAT, *keep], CAT)
+    return df, counted, terms.fit_vocabulary(counted, terms.COUNTS, 1000, [CAT], fx.parameter(spark, "stop_words"))
 
 
 def _topic_models(spark: SparkSession, sf: str, sizes: Sequence[int], keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame, list]:
     """Reviews, vocabulary, vectors and fitted models of every category."""
-    df, vocab = _topic_input(spark, sf, keep)
-    vectors = topics.topic_vectors(df, vocab, CAT, keep)
+    df, counted, vocab = _topic_input(spark, sf, keep)
+    vectors = topics.topic_vectors(counted, vocab, CAT, keep, tokens=terms.COUNTS)
     return df, vocab, vectors, topics.fit_all_topics(vectors, vocab, sizes, CAT)
 
 

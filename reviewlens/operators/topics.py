@@ -22,15 +22,17 @@ TOPIC_COUNTS = (5, 10, 15)
 
 
 def topic_vectors(
-    df: DataFrame, vocab: DataFrame, column: str = "predicted_category", keep: Sequence[str] = (), batch: int = BATCH
+    df: DataFrame, vocab: DataFrame, column: str = "predicted_category", keep: Sequence[str] = (), batch: int = BATCH,
+    tokens: str | None = None,
 ) -> DataFrame:
     """``category, Id, *keep, terms, weights, batch``: the TF-IDF row of every review, settled by batch.
 
     Reviews without any vocabulary term say nothing about topics and are left out. A pass has as
     many batches as the largest category has times ``batch`` reviews, ``MOST_BATCHES`` at most.
+    ``tokens`` names the column where ``terms.kept_counts`` has the reviews' counts; without it, texts are counted.
     """
-    spark, tokens = df.sparkSession, text.terms(F.col("clean_text"))
-    rows = tfidf(bag_of_words(df, tokens, [column, *keep]), vocab, [column], keep)
+    spark, counts = df.sparkSession, tokens or text.terms(F.col("clean_text"))
+    rows = tfidf(bag_of_words(df, counts, [column, *keep]), vocab, [column], keep)
     entry = F.sort_array(F.collect_list(F.struct("term_idx", "weight"))).alias("entries")
     # few bytes, much work: as many parts as tasks may run, whatever they weigh
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
