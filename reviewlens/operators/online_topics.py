@@ -196,33 +196,39 @@ def chunked(vectors: DataFrame, sizes: dict[tuple[str, int], int]) -> dict[int,
     """Each batch's reviews as ``category, offsets, terms, counts`` arrays of some ``CHUNK`` reviews, kept.
 
     The reviews of a category are dealt by a hash that the batches do not use, so that every chunk of a
-    large category has about as many. A fit reads a batch once a pass; only arrays are read again.
+    large category has about as many. A fit reads a batch once a pass; only arrays are read again. A
+    batch's chunks are numbered and dealt out in turn, so that no task has over one more than another.
     """
     spark = vectors.sparkSession
     largest: Counter[str] = Counter()
     for (category, _), n in sizes.items():
         largest[category] = max(largest[category], n)
-    slices = spark.createDataFrame([(c, -(-n // CHUNK)) for c, n in largest.items()], "category string, slices int")
+    counts = {c: -(-n // CHUNK) for c, n in sorted(largest.items())}
+    firsts = np.cumsum([0, *counts.values()]).tolist()
+    slices = spark.createDataFrame([(c, n, first) for (c, n), first in zip(counts.items(), firsts)], "category string, slices int, first int")
 
     def pack(key: tuple, table: pa.Table) -> pa.Table:
         terms, counts = (table.column(c).combine_chunks() for c in ("terms", "weights"))
         offsets = np.asarray(terms.offsets).astype(np.int64)
         arrays = (offsets - offsets[0], np.asarray(terms.flatten()), np.asarray(counts.flatten()))
         packed = [pa.array([a.tobytes()], pa.binary()) for a in arrays]
-        return pa.Table.from_arrays([*(pa.array([k.as_py()], t) for k, t in zip(key[:2], (pa.string(), pa.int32()))), *packed], names=fields)
+        return pa.Table.from_arrays([*(pa.array([k.as_py()], t) for k, t in zip(key, (pa.string(), pa.int32(), pa.int32()))), *packed], names=fields)
 
     def unpack(row) -> tuple:
         return row[0], np.frombuffer(row[1], np.int64), np.frombuffer(row[2], np.int32), np.frombuffer(row[3], np.float64)
 
-    fields = ["category", "batch", "offsets", "terms", "counts"]
-    dealt = vectors.join(F.broadcast(slices), "category").withColumn("slice", F.pmod(F.hash("Id"), F.col("slices")))
-    chunks = dealt.select("category", "batch", "slice", "terms", "weights").groupBy("category", "batch", "slice")
-    kept = settle(chunks.applyInArrow(pack, "category string, batch int, offsets binary, terms binary, counts binary"), "topic-chunks", by="batch")
+    fields = ["category", "batch", "number", "offsets", "terms", "counts"]
+    number = (F.col("first") + F.pmod(F.hash("Id"), F.col("slices"))).alias("number")
+    dealt = vectors.join(F.broadcast(slices), "category").select("category", "batch", number, "terms", "weights")
+    chunks = dealt.groupBy("category", "batch", "number").applyInArrow(
+        pack, "category string, batch int, number int, offsets binary, terms binary, counts binary"
+    )
+    kept = settle(chunks, "topic-chunks", by="batch")
     found: dict[int, RDD] = {}
     for batch in sorted({b for _, b in sizes}):
         most = sum(-(-n // CHUNK) for (_, b), n in sizes.items() if b == batch)
         parts = min(most, spark.sparkContext.defaultParallelism)
-        rows = kept.where(F.col("batch") == batch).select("category", "offsets", "terms", "counts").repartition(parts)
+        rows = kept.where(F.col("batch") == batch).repartitionById(parts, "number").select("category", "offsets", "terms", "counts")
         found[batch] = rows.rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
     return found
 
@@ -230,7 +236,8 @@ def chunked(vectors: DataFrame, sizes: dict[tuple[str, int], int]) -> dict[int,
 def _summed(chunks: RDD, models: Sequence[OnlineModel], count: Callable) -> dict[int, np.ndarray]:
     """The sum of ``count(offsets, terms, counts, beta, prior)`` over the chunks of each model's category.
 
-    A task sums its chunks first; what moves has the models' size, whatever the reviews.
+    A task sums its chunks first; what moves has the models' size, whatever the reviews. The sums of
+    a few tasks go to the driver as they are, those of more are added up on the way.
     """
     given = _send(chunks.context, models)
 
@@ -242,9 +249,13 @@ def _summed(chunks: RDD, models: Sequence[OnlineModel], count: Callable) -> dict
                 totals[number] = totals[number] + own if number in totals else own
         return iter(totals.items())
 
-    parts = min(len(models), chunks.context.defaultParallelism)
+    sums, totals = chunks.mapPartitions(run), {}
+    if chunks.getNumPartitions() * sum(m.weights.nbytes for m in models if m.weights is not None) > GROUP_BYTES:
+        sums = sums.reduceByKey(add, min(len(models), chunks.context.defaultParallelism))
     try:
-        return dict(chunks.mapPartitions(run).reduceByKey(add, parts).collect())
+        for number, own in sums.collect():
+            totals[number] = totals[number] + own if number in totals else own
+        return totals
     finally:
         given.destroy()
 

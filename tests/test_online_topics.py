@@ -174,6 +174,16 @@ def test_every_review_is_in_one_batch(spark):
     assert all(sum(w * w for w in r.weights) == pytest.approx(1) and r.terms == sorted(r.terms) for r in rows)
 
 
+def test_tasks_have_as_many_chunks(spark, monkeypatch):
+    """A step waits for its slowest task, so the chunks of a batch are dealt out evenly."""
+    rows, df, _ = made(spark, 400, 2)
+    monkeypatch.setattr(ot, "CHUNK", 7)
+    sizes = {(c, b): sum(r[0] == c and r[4] == b for r in rows) for c in "ab" for b in range(2)}
+    for kept in ot.chunked(df, sizes).values():
+        held = [len(part) for part in kept.glom().collect()]
+        assert len(held) == spark.sparkContext.defaultParallelism and max(held) - min(held) <= 1 and sum(held) > 20
+
+
 def test_steps_read_kept_chunks(spark, monkeypatch):
     rows, df, names = made(spark)
     whole = ot.fit_models(df, names, (2,), passes=2)
