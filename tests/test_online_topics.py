@@ -179,8 +179,16 @@ def test_tasks_have_as_many_chunks(spark, monkeypatch):
     rows, df, _ = made(spark, 400, 2)
     monkeypatch.setattr(ot, "CHUNK", 7)
     sizes = {(c, b): sum(r[0] == c and r[4] == b for r in rows) for c in "ab" for b in range(2)}
-    for kept in ot.chunked(df, sizes).values():
-        held = [len(part) for part in kept.glom().collect()]
+    many = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}  # files of few chunks
+    before = {name: spark.conf.get(name) for name in many}
+    try:
+        for name, value in many.items():
+            spark.conf.set(name, value)
+        dealt = [[len(part) for part in kept.glom().collect()] for kept in ot.chunked(df, sizes).values()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    for held in dealt:
         assert len(held) == spark.sparkContext.defaultParallelism and max(held) - min(held) <= 1 and sum(held) > 20
 
 
